@@ -14,23 +14,22 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def severity(score: Column | str, missing: str | None = None) -> Column:
-    """Severity word of a score; `missing` is used where there is no score."""
-    s = _col(score)
-    (name, cut), *rest = fixed.SEVERITY_CUTOFFS
-    out = F.when(s >= cut, name)
-    for name, cut in rest:
-        out = out.when(s >= cut, name)
-    return out.when(s.isNotNull(), fixed.LOWEST_SEVERITY).otherwise(F.lit(missing))
+def severity(score: str, missing: str | None = None) -> Column:
+    """Severity word of a score column; `missing` is used where there is no score."""
+    cuts = " ".join(f"WHEN {score} >= {cut} THEN '{name}'" for name, cut in fixed.SEVERITY_CUTOFFS)
+    other = "NULL" if missing is None else f"'{missing}'"
+    return F.expr(
+        f"CASE {cuts} WHEN {score} IS NOT NULL THEN '{fixed.LOWEST_SEVERITY}' ELSE {other} END"
+    )
 
 
-def weighted_score(score: Column | str, sev: Column | str) -> Column:
+def weighted_score(score: str, sev: str) -> Column:
     """Score times the weight of its severity as an exact decimal, 0 without severity."""
-    weight = F.lit(None).cast("decimal(3,2)")
-    for name, value in fixed.SEVERITY_WEIGHTS.items():
-        weight = F.when(_col(sev) == name, F.lit(value).cast("decimal(3,2)")).otherwise(weight)
-    exact = (_col(score).cast(SCORE_TYPE) * weight).cast(WEIGHTED_TYPE)
-    return F.coalesce(exact, F.lit(0).cast(WEIGHTED_TYPE))
+    cases = " ".join(
+        f"WHEN '{name}' THEN CAST({score} AS {SCORE_TYPE}) * {weight}"
+        for name, weight in fixed.SEVERITY_WEIGHTS.items()
+    )
+    return F.expr(f"coalesce(CAST(CASE {sev} {cases} END AS {WEIGHTED_TYPE}), CAST(0 AS {WEIGHTED_TYPE}))")
 
 
 def choose_cvss(entries: Column | str) -> Column:
@@ -88,8 +87,19 @@ def vector_metric(vector: Column | str, metric: str, legacy: bool = False) -> Co
     v = _col(vector)
     if legacy:
         return F.regexp_extract(v, metric + ":([^/]+)", 1)
-    after = F.split_part(F.concat(F.lit("/"), v), F.lit(f"/{metric}:"), F.lit(2))
-    return F.split_part(after, F.lit("/"), F.lit(1))
+    parts = F.concat(F.lit("/"), v)
+    at = F.instr(parts, f"/{metric}:")
+    value = F.substring_index(F.substring(parts, at + len(metric) + 2, F.length(parts)), "/", 1)
+    return F.when(at > 0, value).when(at == 0, F.lit(""))
+
+
+def _has(vector: str, metric: str, value: str, legacy: bool) -> str:
+    """Condition text: a metric has a value. Two plain text searches, no pattern matching."""
+    if legacy:
+        return f"coalesce(regexp_extract({vector}, '{metric}:([^/]+)', 1) = '{value}', false)"
+    parts = f"concat('/', {vector}, '/')"
+    at = f"instr({parts}, '/{metric}:')"
+    return f"coalesce({at} > 0 AND instr({parts}, '/{metric}:{value}/') = {at}, false)"
 
 
 def parse_vector(
@@ -107,29 +117,29 @@ def parse_vector(
 def risk_flags(
     df: DataFrame, vector: str = "vectorString", version: str = "cvssVersion", legacy: bool = False
 ) -> DataFrame:
-    """Add the parsed metrics and the eight risk flags (never null)."""
-    v2 = F.coalesce(F.col(version) == "2.0", F.lit(False))
-    v3 = F.coalesce(F.col(version) != "2.0", F.lit(False))
-    df = df.withColumns(parse_vector(vector, version, legacy))
-
-    def yes(cond: Column) -> Column:
-        return F.coalesce(cond, F.lit(False))
-
-    open_v2 = v2 & (F.col("Au") == "N")
-    df = df.withColumns(
-        {
-            "is_network_based": yes(F.col("AV") == "N"),
-            "is_no_ui": yes((v3 & (F.col("UI") == "N")) | open_v2),
-            "is_low_priv": yes((v3 & F.col("PR").isin("L", "N")) | open_v2),
-            "is_scope_changed": yes(v3 & (F.col("S") == "C")),
-            "is_high_conf": yes(F.col("C") == "H"),
-            "is_high_int": yes(F.col("I") == "H"),
-            "is_high_avail": yes(F.col("A") == "H"),
-        }
+    """Add the eight risk flags (never null)."""
+    v2, v3 = f"coalesce({version} = '2.0', false)", f"coalesce({version} <> '2.0', false)"
+
+    def has(metric: str, value: str) -> str:
+        return _has(vector, metric, value, legacy)
+
+    open_v2 = f"({v2} AND {has('Au', 'N')})"
+    flags = {
+        "is_network_based": has("AV", "N"),
+        "is_no_ui": f"({v3} AND {has('UI', 'N')}) OR {open_v2}",
+        "is_low_priv": f"({v3} AND ({has('PR', 'L')} OR {has('PR', 'N')})) OR {open_v2}",
+        "is_scope_changed": f"{v3} AND {has('S', 'C')}",
+        "is_high_conf": has("C", "H"),
+        "is_high_int": has("I", "H"),
+        "is_high_avail": has("A", "H"),
+    }
+    critical = (
+        "is_network_based AND is_no_ui AND is_low_priv AND (is_high_conf OR is_high_int "
+        f"OR is_high_avail) AND (is_scope_changed OR {v2})"
+    )
+    return df.selectExpr("*", *[f"{c} AS {n}" for n, c in flags.items()]).selectExpr(
+        "*", f"{critical} AS is_fully_critical"
     )
-    reach = F.col("is_network_based") & F.col("is_no_ui") & F.col("is_low_priv")
-    impact = F.col("is_high_conf") | F.col("is_high_int") | F.col("is_high_avail")
-    return df.withColumn("is_fully_critical", reach & impact & (F.col("is_scope_changed") | v2))
 
 
 def enrich(df: DataFrame, legacy: bool = False) -> DataFrame:

@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions import fixed
-from riskloom.functions.text import round2
 
 VENDOR, PRODUCT, CVE = "vendor", "product", "cveId"
 LEVEL_KEYS = {"global": [], "vendor": [VENDOR], "product": [VENDOR, PRODUCT]}
@@ -20,16 +19,21 @@ RISK_COLUMNS = {g: "is_network_based" if g == "network" else f"is_{g}" for g in
 BITS = fixed.SEVERITIES + fixed.RISK_GROUPS
 
 
-def condition_mask() -> Column:
-    """One bit per severity and risk group."""
-    tests = [F.col("severity") == s.capitalize() for s in fixed.SEVERITIES]
-    tests += [F.col(RISK_COLUMNS[g]) for g in fixed.RISK_GROUPS]
-    mask = F.lit(0)
-    for i, t in enumerate(tests):
-        mask = mask + F.when(t, F.lit(1 << i)).otherwise(F.lit(0))
-    return mask
+def condition_mask() -> str:
+    """Expression text: one bit per severity and risk group."""
+    tests = [f"severity = '{s.capitalize()}'" for s in fixed.SEVERITIES]
+    tests += [RISK_COLUMNS[g] for g in fixed.RISK_GROUPS]
+    return " + ".join(f"IF({t}, {1 << i}, 0)" for i, t in enumerate(tests))
 
 
+def thousandths(score: str) -> str:
+    """Exact whole thousandths of a score: sums stay in 64-bit integers, any order."""
+    return f"CAST(CAST({score} AS DECIMAL(18,3)) * 1000 AS BIGINT)"
+
+
+def points(total: str) -> str:
+    """Summed thousandths back to score points with two decimals, null becomes 0.0."""
+    return f"coalesce(CAST(round(CAST({total} AS DECIMAL(22,0)) / 1000, 2) AS DOUBLE), 0.0D)"
 
 
 def record_facts(
@@ -40,23 +44,18 @@ def record_facts(
     `unique` says the input already has one row per record, vendor and product (the
     lookup has), which saves the shuffle.
     """
-    net = F.when(F.col("is_network_based"), F.col(score))
+    scaled, mask = thousandths(score), condition_mask()
+    net = f"IF(is_network_based, {scaled}, NULL)"
     keys = list(dict.fromkeys([*group, VENDOR, PRODUCT, CVE]))
     if unique:
-        return df.select(
-            *keys, F.col(score).alias("_score"), net.alias("_net"), condition_mask().alias("_mask")
-        )
+        return df.selectExpr(*keys, f"{scaled} AS _score", f"{net} AS _net", f"{mask} AS _mask")
     return df.groupBy(*keys).agg(
-        F.sum(score).alias("_score"),
-        F.sum(net).alias("_net"),
-        F.bit_or(condition_mask()).alias("_mask"),
+        F.expr(f"sum({scaled}) AS _score"),
+        F.expr(f"sum({net}) AS _net"),
+        F.expr(f"bit_or({mask}) AS _mask"),
     )
 
 
-def _bit(mask: str, i: int) -> Column:
-    return F.getbit(F.col(mask), F.lit(i))
-
-
 def _suffix(group: str) -> str:
     return f"{group}_count" if group in fixed.SEVERITIES else f"{group}_cves"
 
@@ -75,22 +74,20 @@ def measure_names(level: str) -> list[str]:
     )
 
 
-def _zero(c: Column) -> Column:
-    return F.coalesce(c, F.lit(0)).cast("bigint")
+def _exprs(out: dict[str, str]) -> list[Column]:
+    return [F.expr(f"{text} AS {name}") for name, text in out.items()]
 
 
 def product_measures(facts: DataFrame, group: list[str]) -> DataFrame:
     """11 measures; a fact is one record of one product already."""
-    known = F.col(CVE).isNotNull()
-    return facts.groupBy(*group).agg(
-        round2(F.sum("_score")).alias("exposure_index"),
-        round2(F.sum("_net")).alias("network_exposure_index"),
-        F.count(CVE).alias("distinct_cves"),
-        *[
-            _zero(F.sum(F.when(known, _bit("_mask", i)))).alias(f"distinct_{_suffix(b)}")
-            for i, b in enumerate(BITS)
-        ],
-    )
+    out = {
+        "exposure_index": points("sum(_score)"),
+        "network_exposure_index": points("sum(_net)"),
+        "distinct_cves": f"count({CVE})",
+    }
+    for i, b in enumerate(BITS):
+        out[f"distinct_{_suffix(b)}"] = f"count_if({CVE} IS NOT NULL AND getbit(_mask, {i}) = 1)"
+    return facts.groupBy(*group).agg(*_exprs(out))
 
 
 def wide_measures(facts: DataFrame, group: list[str], parts: list[str]) -> DataFrame:
@@ -99,43 +96,35 @@ def wide_measures(facts: DataFrame, group: list[str], parts: list[str]) -> DataF
     `parts` are the pair columns still distinct inside the group (product, or vendor and
     product). One grouping-sets pass gives a row per record and a row per part value.
     """
-    whole = F.col(CVE).isNotNull()
-    for p in parts:
-        whole = whole & F.col(p).isNotNull()
     members = [CVE, *parts]
+    whole = " AND ".join(f"{m} IS NOT NULL" for m in members)
     # The pair test needs the real key values, so it is taken before the grouping sets.
-    pairs = facts.withColumn("_pair", F.when(whole, F.col("_mask"))).select(
-        *group, *members, "_score", "_net", "_mask", "_pair"
+    pairs = facts.selectExpr(
+        *group, *members, "_score", "_net", "_mask", f"IF({whole}, _mask, NULL) AS _pair"
     )
-    sets = [[*group, m] for m in members]
-    by_member = pairs.groupingSets(sets, *group, *members).agg(
-        F.grouping(CVE).alias("_not_record"),
-        *[F.grouping(p).alias(f"_not_{p}") for p in parts],
-        F.sum("_score").alias("_score"),
-        F.sum("_net").alias("_net"),
-        F.bit_or("_mask").alias("_mask"),
-        F.count("_pair").alias("_pairs"),
-        *[F.sum(_bit("_pair", i).cast("bigint")).alias(f"_pairs_{b}") for i, b in enumerate(BITS)],
-    )
-    record = F.col("_not_record") == 0
-    known = record & F.col(CVE).isNotNull()
+    sums = {f"_not_{m}": f"grouping({m})" for m in members}
+    sums |= {"_score": "sum(_score)", "_net": "sum(_net)", "_mask": "bit_or(_mask)", "_pairs": "count(_pair)"}
+    sums |= {f"_pairs_{b}": f"count_if(getbit(_pair, {i}) = 1)" for i, b in enumerate(BITS)}
+    by_member = pairs.groupingSets([[*group, m] for m in members], *group, *members).agg(*_exprs(sums))
+
+    record = f"_not_{CVE} = 0"
+    known = f"{record} AND {CVE} IS NOT NULL"
 
-    def of_records(c: str) -> Column:
-        return F.sum(F.when(record, F.col(c)))
+    def of_records(c: str) -> str:
+        return f"sum(IF({record}, {c}, NULL))"
 
     out = {
-        "exposure_index": round2(of_records("_score")),
-        "network_exposure_index": round2(of_records("_net")),
-        "total_cves": _zero(of_records("_pairs")),
-        "distinct_cves": F.count(F.when(known, 1)),
+        "exposure_index": points(of_records("_score")),
+        "network_exposure_index": points(of_records("_net")),
+        "total_cves": f"coalesce({of_records('_pairs')}, 0L)",
+        "distinct_cves": f"count_if({known})",
     }
     for p in parts:
-        out[f"affected_{p}s"] = F.count(F.when(F.col(f"_not_{p}") == 0, F.col(p)))
+        out[f"affected_{p}s"] = f"count_if(_not_{p} = 0 AND {p} IS NOT NULL)"
     for i, b in enumerate(BITS):
-        out[_suffix(b)] = _zero(of_records(f"_pairs_{b}"))
-        out[f"distinct_{_suffix(b)}"] = _zero(F.sum(F.when(known, _bit("_mask", i))))
-    aggs = [c.alias(n) for n, c in out.items()]
-    return by_member.groupBy(*group).agg(*aggs)
+        out[_suffix(b)] = f"coalesce({of_records(f'_pairs_{b}')}, 0L)"
+        out[f"distinct_{_suffix(b)}"] = f"count_if({known} AND getbit(_mask, {i}) = 1)"
+    return by_member.groupBy(*group).agg(*_exprs(out))
 
 
 def exposure(
@@ -155,14 +144,13 @@ def exposure(
     return out.select(*group, *measure_names(level))
 
 
-# grain -> (grouping column made from the published time, columns of the finished table)
-def _grain_column(grain: str, published: str) -> Column:
+def _grain_text(grain: str, published: str) -> str:
     if grain == "instant":
-        return F.col(published)
-    day = F.to_date(published)
+        return published
+    day = f"to_date({published})"
     if grain == "daily":
         return day
-    return F.trunc(day, "month" if grain == "monthly" else "year")
+    return f"trunc({day}, '{'month' if grain == 'monthly' else 'year'}')"
 
 
 def level_table(
@@ -175,20 +163,18 @@ def level_table(
 ) -> DataFrame:
     """Level table of one date grain: `daily`, `monthly`, `yearly` (or `instant`, which
     keeps one row per published time instead of per day)."""
-    marked = df.withColumn("_grain", _grain_column(grain, published))
+    marked = df.selectExpr("*", f"{_grain_text(grain, published)} AS _grain")
     out = exposure(marked, level, ["_grain"], score, unique)
-    keys, measures = LEVEL_KEYS[level], measure_names(level)
-    g = F.col("_grain")
-    dates = {"year_published": F.year(g)}
+    dates = ["year(_grain) AS year_published"]
     if grain == "monthly":
-        dates |= {"month_published": F.month(g), "month_date": g}
+        dates += ["month(_grain) AS month_published", "_grain AS month_date"]
     elif grain == "yearly":
-        dates["year_date"] = g
+        dates.append("_grain AS year_date")
     elif grain == "instant":
-        dates |= {published: g, "date_published": F.to_date(g)}
+        dates += [f"_grain AS {published}", "to_date(_grain) AS date_published"]
     else:
-        dates["date_published"] = g
-    return out.select(*keys, *[c.alias(n) for n, c in dates.items()], *measures)
+        dates.append("_grain AS date_published")
+    return out.selectExpr(*LEVEL_KEYS[level], *dates, *measure_names(level))
 
 
 def trailing_table(
@@ -215,19 +201,19 @@ def index_by_level(
     Scores are summed by day, vendor and product first; the nine groupings then run over
     that much smaller set in one pass.
     """
-    day = F.to_date(published)
     base = (
-        df.groupBy(day.alias("day"), VENDOR, PRODUCT)
-        .agg(F.sum(score).alias("_score"))
-        .withColumns({"month": F.trunc("day", "month"), "year": F.trunc("day", "year")})
+        df.selectExpr(f"to_date({published}) AS day", VENDOR, PRODUCT, f"{thousandths(score)} AS _score")
+        .groupBy("day", VENDOR, PRODUCT)
+        .agg(F.sum("_score").alias("_score"))
+        .selectExpr("*", "trunc(day, 'month') AS month", "trunc(day, 'year') AS year")
     )
     dates = {"daily": "day", "monthly": "month", "yearly": "year"}
     sets = [[d, *LEVEL_KEYS[lv]] for d in dates.values() for lv in fixed.LEVELS]
     cols = ["day", "month", "year", VENDOR, PRODUCT]
+    marks = {f"_not_{c}": f"grouping({c})" for c in cols}
     grouped = base.groupingSets(sets, *cols).agg(
-        round2(F.sum("_score")).alias("exposure_index"),
-        *[F.grouping(c).alias(f"_g_{c}") for c in cols],
+        *_exprs({"exposure_index": points("sum(_score)"), **marks})
     )
-    grain = F.when(F.col("_g_day") == 0, "daily").when(F.col("_g_month") == 0, "monthly").otherwise("yearly")
-    level = F.when(F.col(f"_g_{PRODUCT}") == 0, "product").when(F.col(f"_g_{VENDOR}") == 0, "vendor").otherwise("global")
-    return grouped.select(F.concat(grain, F.lit("_"), level).alias("level"), "exposure_index")
+    grain = "CASE WHEN _not_day = 0 THEN 'daily' WHEN _not_month = 0 THEN 'monthly' ELSE 'yearly' END"
+    level = f"CASE WHEN _not_{PRODUCT} = 0 THEN 'product' WHEN _not_{VENDOR} = 0 THEN 'vendor' ELSE 'global' END"
+    return grouped.selectExpr(f"concat({grain}, '_', {level}) AS level", "exposure_index")

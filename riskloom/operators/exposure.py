@@ -9,6 +9,8 @@ group, record or vendor sends at most one row per task and key.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions import fixed
@@ -217,3 +219,33 @@ def index_by_level(
     grain = "CASE WHEN _not_day = 0 THEN 'daily' WHEN _not_month = 0 THEN 'monthly' ELSE 'yearly' END"
     level = f"CASE WHEN _not_{PRODUCT} = 0 THEN 'product' WHEN _not_{VENDOR} = 0 THEN 'vendor' ELSE 'global' END"
     return grouped.selectExpr(f"concat({grain}, '_', {level}) AS level", "exposure_index")
+
+
+def touched_grains(grain: str, *frames: DataFrame, published: str = "datePublished") -> DataFrame:
+    """Distinct dates of a grain that occur in the frames."""
+    parts = [df.selectExpr(f"{_grain_text(grain, published)} AS _grain") for df in frames]
+    return reduce(DataFrame.unionByName, parts).distinct()
+
+
+GRAIN_DATE = {"daily": "date_published", "monthly": "month_date", "yearly": "year_date"}
+
+
+def refresh_level(
+    old: DataFrame,
+    rows: DataFrame,
+    touched: DataFrame,
+    grain: str,
+    level: str,
+    published: str = "datePublished",
+    unique: bool = False,
+) -> DataFrame:
+    """Level table after recomputing only the touched dates, in one job.
+
+    `rows` are the enriched rows after the change, `touched` the dates of changed rows
+    before and after it (a moved record touches both).
+    """
+    affected = rows.selectExpr("*", f"{_grain_text(grain, published)} AS _grain").join(
+        touched, "_grain", "left_semi"
+    ).drop("_grain")
+    kept = old.join(touched.withColumnRenamed("_grain", GRAIN_DATE[grain]), GRAIN_DATE[grain], "left_anti")
+    return kept.unionByName(level_table(affected, grain, level, published, unique=unique))

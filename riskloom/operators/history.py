@@ -67,6 +67,13 @@ def split_current(target: DataFrame, flag: str = "currentFlag") -> tuple[DataFra
     return target.where(F.col(flag)), target.where(~F.coalesce(F.col(flag), F.lit(False)))
 
 
+def read_current(master: DataFrame, published: str = "datePublished") -> DataFrame:
+    """Current rows with their year and date."""
+    return master.where("currentFlag").withColumns(
+        {"year_published": F.year(published), "date_published": F.to_date(published)}
+    )
+
+
 def scd2_merge(
     target: DataFrame,
     source: DataFrame,

@@ -70,3 +70,11 @@ def collect_distinct(df: DataFrame, keys: list[str], arrays: dict[str, str]) ->
         part = members.groupBy(*keys).agg(F.array_sort(F.collect_list("_m")).alias(name))
         out = part if out is None else out.join(part, keys, "full_outer")
     return out
+
+
+def consolidate_first(
+    df: DataFrame, keys: list[str], newest: list[str], arrays: list[str]
+) -> DataFrame:
+    """One row per key: scalars of the newest row, distinct union of the array columns."""
+    scalars = latest_per_key(df.drop(*arrays), keys, newest)
+    return scalars.join(collect_distinct(df, keys, {a: a for a in arrays}), keys, "left")

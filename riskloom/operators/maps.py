@@ -119,8 +119,9 @@ def cpe_hierarchy(df: DataFrame, name: str) -> DataFrame:
     parts = df.select(cpe_browse_parts(name).alias("p")).select("p.*")
     steps = (
         "array(struct(concat('prefix:', prefix) AS index_key, cpetype AS member), "
-        "struct(cpetype, vendor), struct(concat('v:', vendor), product), "
-        "struct(concat('p:', product), remainder))"
+        "struct(cpetype AS index_key, vendor AS member), "
+        "struct(concat('v:', vendor) AS index_key, product AS member), "
+        "struct(concat('p:', product) AS index_key, remainder AS member))"
     )
     return parts.selectExpr(f"inline({steps})").where("index_key IS NOT NULL AND member IS NOT NULL").distinct()
 

@@ -75,6 +75,17 @@ def collect_distinct(df: DataFrame, keys: list[str], arrays: dict[str, str]) ->
 def consolidate_first(
     df: DataFrame, keys: list[str], newest: list[str], arrays: list[str]
 ) -> DataFrame:
-    """One row per key: scalars of the newest row, distinct union of the array columns."""
-    scalars = latest_per_key(df.drop(*arrays), keys, newest)
-    return scalars.join(collect_distinct(df, keys, {a: a for a in arrays}), keys, "left")
+    """One row per key: scalars of the newest row (the greatest other columns break ties)
+    and the distinct union of the array columns, in one aggregation.
+
+    Equal arrays of a key collapse on the map side.
+    """
+    others = [c for c in df.columns if c not in keys and c not in newest and c not in arrays]
+    merged = [
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set(a)))).alias(a) for a in arrays
+    ]
+    return (
+        df.groupBy(*keys)
+        .agg(F.max(F.struct(*newest, *others)).alias("_newest"), *merged)
+        .select(*keys, "_newest.*", *arrays)
+    )

@@ -2,6 +2,7 @@
 
 from riskloom.plans import (  # noqa: F401
     expression_queries,
+    file_queries,
     level_queries,
     table_queries,
 )

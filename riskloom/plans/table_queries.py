@@ -164,8 +164,10 @@ add(
         slim(s, d).withColumn("cvssData", F.expr("array(flag, 'L' || line)")), KEY, ["lastModified"], ["cvssData"]
     ).withColumn("cvssData", F.array_join("cvssData", ","))),
     f"WITH {SLIM_SQL}, m AS (SELECT DISTINCT vendor, product, cveId, unnest([flag, 'L' || line]) AS x FROM slim), "
-    "a AS (SELECT vendor, product, cveId, string_agg(x, ',' ORDER BY x) AS cvssData FROM m GROUP BY ALL) "
-    f"SELECT {SHOW}, cvssData FROM {_latest_sql('true')} JOIN a USING (vendor, product, cveId)",
+    "a AS (SELECT vendor, product, cveId, string_agg(x, ',' ORDER BY x) AS cvssData FROM m GROUP BY ALL), "
+    "f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vendor, product, cveId ORDER BY lastModified DESC NULLS LAST, "
+    + ", ".join(f"{c} DESC NULLS LAST" for c in DATA if c != "lastModified")
+    + f") AS rn FROM slim) WHERE rn = 1) SELECT {SHOW}, cvssData FROM f JOIN a USING (vendor, product, cveId)",
 )
 add(
     "jn4_delete_matching",

@@ -20,8 +20,10 @@ def prefix_sum(
     name: str,
     bucket: Column | None = None,
     buckets_at_most: int = 0,
+    total: str | None = None,
 ) -> DataFrame:
-    """Running sum of `value` per key in `order`, current row included.
+    """Running sum of `value` per key in `order`, current row included; `total` names an
+    optional column with the sum over the whole key.
 
     Without `bucket` one window per key does it; right when a key has few rows by its
     nature (one per calendar day). With `bucket`, a value that rises with `order`, the
@@ -32,7 +34,8 @@ def prefix_sum(
     rows = Window.unboundedPreceding, Window.currentRow
     if bucket is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*rows)
-        return df.withColumn(name, F.sum(value).over(w))
+        out = df.withColumn(name, F.sum(value).over(w))
+        return out.withColumn(total, F.sum(value).over(Window.partitionBy(*keys))) if total else out
     marked = df.withColumn("_bucket", bucket).withColumn("_value", value)
     inner = Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(*rows)
     totals = marked.groupBy(*keys, "_bucket").agg(F.sum("_value").alias("_total"))
@@ -41,13 +44,14 @@ def prefix_sum(
         *[F.col(k).alias("_o_" + k) for k in keys],
         F.col("_bucket").alias("_o__bucket"),
         F.coalesce(F.sum("_total").over(outer), F.lit(0)).alias("_offset"),
+        F.sum("_total").over(Window.partitionBy(*keys)).alias("_all"),
     )
     if 0 < buckets_at_most <= 100_000 and not keys:
         offsets = F.broadcast(offsets)  # at most `buckets_at_most` rows
     return (
         marked.join(offsets, _keys_match(marked, offsets, [*keys, "_bucket"]), "left")
         .withColumn(name, F.sum("_value").over(inner) + F.coalesce(F.col("_offset"), F.lit(0)))
-        .select(*df.columns, name)
+        .select(*df.columns, name, *([F.col("_all").alias(total)] if total else []))
     )
 
 

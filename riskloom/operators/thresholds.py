@@ -36,20 +36,16 @@ def percentiles(counts: DataFrame) -> DataFrame:
 
     The rank of a value is a distributed running count; no level is collected anywhere.
     """
-    totals = counts.groupBy("level").agg(
-        F.sum("n").alias("total_count"), F.min("value").alias("min_val"), F.max("value").alias("max_val")
+    ranked = prefix_sum(
+        counts, ["level"], ["value"], F.col("n"), "rank", _value_bucket(F.col("value")), total="size"
     )
-    ranked = prefix_sum(counts, ["level"], ["value"], F.col("n"), "rank", _value_bucket(F.col("value")))
-    sizes = F.broadcast(totals.select("level", "total_count"))  # one row per level
-    found = ranked.join(sizes, "level").groupBy("level").agg(
-        *[
-            F.min(
-                F.when(F.col("rank") >= F.ceil(F.col("total_count") * F.lit(q)), F.col("value"))
-            ).alias(name)
-            for name, q in fixed.QUARTILES.items()
-        ]
+    cuts = [
+        F.expr(f"min(IF(rank >= ceil(size * {q}D), value, NULL)) AS {name}")
+        for name, q in fixed.QUARTILES.items()
+    ]
+    return ranked.groupBy("level").agg(
+        F.sum("n").alias("total_count"), F.min("value").alias("min_val"), F.max("value").alias("max_val"), *cuts
     )
-    return totals.join(found, "level")
 
 
 def approx_percentiles(df: DataFrame, value: str = "exposure_index", accuracy: int = 10_000) -> DataFrame:

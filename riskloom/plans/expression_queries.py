@@ -15,6 +15,7 @@ def _lines(columns: str, base: str = sql.RECORDS, source: str = "records") -> st
     return f"WITH {base} SELECT orderKey, line, price, {columns} FROM {source}"
 
 
+# The engines map the one letter below to different upper-case forms, so it is left out.
 add_columns(
     "exp1_normalize_cve_id", "documents", "doc_id",
     {"id": lambda: text.normalize_cve_id("source"), "body": lambda: F.md5(text.normalize_cve_id(F.translate("text", "ß", "")))},
@@ -321,7 +322,7 @@ add_columns(
     },
     _lines("""'{"version":"' || cvssVersion || '","vectorString":"' || flag || '","baseScore":' || line || '.0}' AS entry"""),
 )
-_NVD = """named_struct('id', cveId,
+_NVD = """named_struct('id', cveId, 'lastModified', CAST(lastModified AS STRING), 'vulnStatus', 'Analyzed',
  'descriptions', array(named_struct('lang', 'es', 'value', product), named_struct('lang', IF(line = 1, 'es', 'en'), 'value', vendor)),
  'metrics', map(
    'cvssMetricV2', array(named_struct('source', flag, 'type', 'Primary', 'impactScore', 2.0D, 'exploitabilityScore', 3.0D,

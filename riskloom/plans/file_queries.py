@@ -22,7 +22,7 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ingest record per line, documents as JSON text. Lines 1-4 carry a CNA document,
     lines 3-6 an NVD document, line 7 none."""
     cna = f"to_json(struct({_META} AS cveMetadata, ({_CNA}).containers AS containers))"
-    nvd = f"to_json(struct(({_NVD}).*, CAST(lastModified AS STRING) AS lastModified, 'Analyzed' AS vulnStatus))"
+    nvd = f"to_json({_NVD})"
     rows = feed.records(spark, sf_dir).selectExpr(
         f"'{_TS}' AS ingestionTimestamp", "vendor", "product",
         f"IF(line <= 4, array(array(lower(cveId) || ' ', {cna})), array()) AS cvelistv5",

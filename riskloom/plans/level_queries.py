@@ -31,7 +31,9 @@ def _running(spark: SparkSession, sf_dir: str, level: str) -> DataFrame:
 
 
 def _indexes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exposure.index_by_level(feed.enriched(spark, sf_dir))
+    """Index of all levels, kept in the shared folder since thresholds read it several times
+    (in the pipeline the level tables are written tables)."""
+    return exposure.index_by_level(feed.enriched(spark, sf_dir)).checkpoint()
 
 
 def _union_levels(spark: SparkSession, sf_dir: str) -> DataFrame:

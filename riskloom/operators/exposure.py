@@ -222,8 +222,8 @@ def index_by_level(
 
 
 def touched_grains(grain: str, *frames: DataFrame, published: str = "datePublished") -> DataFrame:
-    """Distinct dates of a grain that occur in the frames."""
-    parts = [df.selectExpr(f"{_grain_text(grain, published)} AS _grain") for df in frames]
+    """Distinct dates of a grain that occur in the frames (null for records without a date)."""
+    parts = [df.selectExpr(f"{_grain_text(grain, published)} AS _touched") for df in frames]
     return reduce(DataFrame.unionByName, parts).distinct()
 
 
@@ -242,10 +242,13 @@ def refresh_level(
     """Level table after recomputing only the touched dates, in one job.
 
     `rows` are the enriched rows after the change, `touched` the dates of changed rows
-    before and after it (a moved record touches both).
+    before and after it (a moved record touches both). There are at most as many touched
+    dates as days in the calendar, so they are broadcast; a shuffle by date would put all
+    rows of a hot day into one task.
     """
-    affected = rows.selectExpr("*", f"{_grain_text(grain, published)} AS _grain").join(
-        touched, "_grain", "left_semi"
-    ).drop("_grain")
-    kept = old.join(touched.withColumnRenamed("_grain", GRAIN_DATE[grain]), GRAIN_DATE[grain], "left_anti")
-    return kept.unionByName(level_table(affected, grain, level, published, unique=unique))
+    dates = F.broadcast(touched)
+    marked = rows.selectExpr("*", f"{_grain_text(grain, published)} AS _grain")
+    affected = marked.join(dates, marked["_grain"].eqNullSafe(dates["_touched"]), "left_semi")
+    kept = old.join(dates, old[GRAIN_DATE[grain]].eqNullSafe(dates["_touched"]), "left_anti")
+    fresh = level_table(affected.drop("_grain"), grain, level, published, unique=unique)
+    return kept.unionByName(fresh)

@@ -1,7 +1,7 @@
 """Writers and table maintenance on plain files.
 
-Nothing overwrites a folder that is being read: new data goes to a new folder, and a
-version marker makes it current.
+Whole tables are never overwritten while they are read: new data goes to a new folder, and
+a version marker makes it current. Partition overwrites stage their files first.
 """
 
 from __future__ import annotations
@@ -39,9 +39,12 @@ def save_table(df: DataFrame, name: str, partitions: list[str] = (), mode: str =
     (writer.partitionBy(*partitions) if partitions else writer).saveAsTable(name)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partitions: list[str]) -> None:
-    """Replace only the partitions that occur in `df`."""
-    writer = balanced(df, *partitions).write.mode("overwrite").partitionBy(*partitions)
+def overwrite_partitions(df: DataFrame, path: str, partitions: list[str], sort: list[str] = ()) -> None:
+    """Replace only the partitions that occur in `df` (which may come from the same folder)."""
+    out = balanced(df, *partitions)
+    if sort:
+        out = out.sortWithinPartitions(*partitions, *sort)
+    writer = out.write.mode("overwrite").partitionBy(*partitions)
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 

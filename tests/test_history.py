@@ -11,7 +11,6 @@ from riskloom.operators.exposure import level_table
 from riskloom.plans import staging, store, views
 from riskloom.functions.scoring import enrich
 from riskloom.session import shared_dir
-from riskloom.sources import sinks
 from tests.conftest import rows
 
 KEY = ["k"]
@@ -104,9 +103,9 @@ def master_source(spark, *data):
 D = dt.datetime
 FIRST = [("v_1", "p", "CVE-1", 9.5, D(2023, 5, 1), D(2023, 6, 1)), ("v 1", "p", "CVE-1", None, D(2023, 5, 1), D(2023, 6, 1)),
          ("v2", "p", "CVE-2", 5.0, D(2022, 5, 1), D(2023, 6, 1)), ("v2", "q", "CVE-2", 5.0, D(2022, 5, 1), D(2023, 6, 1)),
-         ("v3", "p", "CVE-3", 2.0, D(2021, 1, 1), D(2023, 6, 1))]
-SECOND = [("v 1", "p", "CVE-1", 9.0, D(2023, 5, 1), D(2023, 7, 1)), ("v2", "p", "CVE-2", 7.5, D(2022, 7, 1), D(2023, 7, 1)),
-          ("v4", "p", "CVE-4", 4.0, D(2020, 1, 1), D(2023, 7, 1)), ("v3", "p", "CVE-3", 9.9, D(2020, 2, 2), D(2023, 6, 1))]
+         ("v3", "p", "CVE-3", 2.0, D(2021, 1, 1), D(2023, 6, 1)), ("v6", "p", "CVE-6", 3.0, None, D(2023, 6, 1))]
+SECOND = [("v5", "p", "CVE-5", 8.0, None, D(2023, 7, 1)), ("v 1", "p", "CVE-1", 9.0, D(2023, 5, 1), D(2023, 7, 1)), ("v2", "p", "CVE-2", 7.5, D(2022, 7, 1), D(2023, 7, 1)),
+          ("v4", "p", "CVE-4", 4.0, D(2020, 1, 1), D(2023, 7, 1)), ("v3", "p", "CVE-3", 9.9, D(2020, 2, 2), D(2023, 7, 2))]
 
 
 def test_store_keeps_history(spark):
@@ -115,8 +114,8 @@ def test_store_keeps_history(spark):
     store.merge_into(spark, root, master_source(spark, *SECOND), ts(2))
     store.merge_into(spark, root, master_source(spark, *SECOND), ts(3))
     whole = store.read_master(spark, root)
-    assert whole.where("currentFlag").count() == 6
-    assert rows(whole.where("NOT currentFlag"), "vendor", "product", "validTo") == [("v 1", "p", at(2)), ("v2", "p", at(2))]
+    assert whole.where("currentFlag").count() == 8
+    assert rows(whole.where("NOT currentFlag"), "vendor", "product", "validTo") == [("v 1", "p", at(2)), ("v2", "p", at(2)), ("v3", "p", at(2))]
     first = staging.empty_master(master_source(spark, *FIRST))
     expect = first
     for data, day in ((FIRST, 1), (SECOND, 2), (SECOND, 3)):
@@ -133,22 +132,27 @@ def built(spark):
     step, full = shared_dir(spark, "test-views"), shared_dir(spark, "test-views")
     views.run(one, step, "backfill", as_of, at(2))
     views.run(two, step, "incremental", as_of, at(4))
+    views.run(two, step, "incremental", as_of, at(4))
     views.run(two, full, "backfill", as_of, at(4))
     return step, full
 
 
 @pytest.mark.parametrize("table", ["lookup", "daily_global", "daily_vendor", "daily_product", "monthly_global", "monthly_product",
-                                   "yearly_global", "yearly_vendor", "trailing_12mo_vendor", "daily_product_running",
+                                   "scored", "yearly_global", "yearly_vendor", "trailing_12mo_vendor", "daily_product_running",
                                    "daily_global_running", "exposure_index_thresholds", "meta"])
 def test_refresh_equals_full_build(spark, built, table):
-    step, full = (sinks.read_version(spark, f"{root}/{table}") for root in built)
+    step, full = (views.read_view(spark, root, table) for root in built)
     cols = sorted(step.columns)
     assert rows(step, *cols) == rows(full, *cols)
     assert step.count() > 0
 
 
+def test_year_without_rows_is_dropped(spark, built):
+    assert rows(views.read_view(spark, built[0], "yearly_global"), "year_published") == [(2020,), (2022,), (2023,), (None,)]
+
+
 def test_moved_record_leaves_no_old_day(spark, built):
-    days = [str(r[0]) for r in rows(sinks.read_version(spark, f"{built[0]}/daily_vendor").where("vendor = 'V2'"), "date_published")]
+    days = [str(r[0]) for r in rows(views.read_view(spark, built[0], "daily_vendor").where("vendor = 'V2'"), "date_published")]
     assert days == ["2022-05-01", "2022-07-01"]
 
 

@@ -21,10 +21,16 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).count().where("count > 1").drop("count")
 
 
+def mark_duplicates(df: DataFrame, keys: list[str], name: str = "repeated") -> DataFrame:
+    """Rows with a flag whether their key repeats: one grouped count and one join."""
+    dup = duplicate_keys(df, keys).withColumn(name, F.lit(True))
+    return df.join(dup, keys, "left").withColumn(name, F.coalesce(F.col(name), F.lit(False)))
+
+
 def split_duplicates(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """(rows whose key repeats, rows whose key is unique)."""
-    dup = duplicate_keys(df, keys)
-    return df.join(dup, keys, "left_semi"), df.join(dup, keys, "left_anti")
+    marked = mark_duplicates(df, keys, "_repeated")
+    return marked.where("_repeated").drop("_repeated"), marked.where("NOT _repeated").drop("_repeated")
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

@@ -19,10 +19,14 @@ PAIR = ["vendor", "product"]
 EDGE = ["vendor", "product", "cveId"]
 
 
-def build_map(df: DataFrame, vendor: str, product: str, cve: str) -> DataFrame:
-    """Distinct sanitised pairs with their ids; names are cleaned before the one shuffle."""
+def build_map(df: DataFrame, vendor: str, product: str, cve: str, extra: list[str] = ()) -> DataFrame:
+    """Distinct sanitised pairs with their ids; names are cleaned before the one shuffle.
+
+    `extra` columns (such as the source of a row) become part of the key.
+    """
     return (
         df.select(
+            *extra,
             sanitize_key_field(vendor).alias("vendor"),
             sanitize_key_field(product).alias("product"),
             F.col(cve).alias("cveId"),

@@ -117,7 +117,17 @@ def _lookup(spark, sf_dir):
         F.count("*").alias("n"), F.countDistinct("vendor").alias("vendors"))
 
 
-add("lookup_from_staging", _lookup)
+_LOOKUP_SQL = f"""WITH {sql.RECORDS},
+e AS (SELECT vendor, product, cveId, '3.1' AS ver, line::DOUBLE AS score, '' AS src FROM records WHERE line <= 4 AND flag <> 'R'
+   UNION ALL SELECT vendor, product, cveId, '3.1', line + 0.5, '' FROM records WHERE line <= 4 AND flag IN ('R', 'A') AND line <> 3),
+n AS (SELECT vendor, product, cveId, '2.0' AS ver, line::DOUBLE AS score, flag AS src FROM records WHERE line BETWEEN 3 AND 6
+   UNION ALL SELECT vendor, product, cveId, '3.1', line + 1, flag FROM records WHERE line BETWEEN 3 AND 6 AND line <> 4),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vendor, product, cveId ORDER BY score DESC, src, ver) AS rn
+   FROM (SELECT * FROM n UNION ALL SELECT * FROM e ANTI JOIN n USING (vendor, product, cveId))) WHERE rn = 1),
+k AS (SELECT DISTINCT vendor, product, cveId FROM records WHERE line <= 6)
+SELECT CASE WHEN score >= 9 THEN 'Critical' WHEN score >= 7 THEN 'High' WHEN score >= 4 THEN 'Medium' WHEN score IS NOT NULL THEN 'Low' ELSE '' END AS severity,
+ coalesce(ver, '') AS cvssVersion, count(*) AS n, count(DISTINCT vendor) AS vendors FROM k LEFT JOIN best USING (vendor, product, cveId) GROUP BY ALL"""
+add("lookup_from_staging", _lookup, _LOOKUP_SQL)
 
 
 # --- files --------------------------------------------------------------------------------
@@ -209,3 +219,105 @@ add(
         messages.dedupe_messages(_events(s, d).selectExpr("user_id || '-' || event_type AS message_id", "event_type AS body")), s, "messages"),
     "SELECT DISTINCT user_id || '-' || event_type AS message_id, event_type AS body FROM events",
 )
+
+
+# --- more files ---------------------------------------------------------------------------
+def _orders(spark, sf_dir, where="true"):
+    return feed.table(spark, sf_dir, "orders").where(where).select("o_orderkey", "o_orderstatus", "o_orderpriority")
+
+
+_ORDERS_SQL = "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders"
+
+
+def _csv(spark, sf_dir):
+    path = shared_dir(spark, "csv")
+    rows = _orders(spark, sf_dir).withColumn("marks", F.array("o_orderstatus", "o_orderpriority"))
+    sinks.export_csv(rows, path)
+    schema = "o_orderkey bigint, o_orderstatus string, o_orderpriority string, marks string"
+    back = spark.read.schema(schema).option("header", True).option("escape", "\\").csv(path)
+    return back.select("o_orderkey", "o_orderstatus", "o_orderpriority", F.from_json("marks", "array<string>").getItem(1).alias("mark"))
+
+
+add("snk4_export_csv", _csv, "SELECT o_orderkey, o_orderstatus, o_orderpriority, o_orderpriority AS mark FROM orders")
+
+
+def _parquet(spark, sf_dir):
+    path = shared_dir(spark, "parquet")
+    sinks.export_parquet(_orders(spark, sf_dir), path, sort=["o_orderkey"])
+    return spark.read.parquet(path)
+
+
+add("snk4_export_parquet", _parquet, _ORDERS_SQL)
+
+
+def _new_files(spark, sf_dir):
+    table, out, state = (shared_dir(spark, "export-" + n) for n in ("table", "out", "state"))
+    sinks.write_table(_orders(spark, sf_dir, "o_orderstatus <> 'P'"), table)
+    sinks.export_new_files(spark, table, out, state, backfill=True)
+    sinks.write_table(_orders(spark, sf_dir, "o_orderstatus = 'P'"), table)
+    sinks.export_new_files(spark, table, out, state, backfill=False)
+    return spark.read.parquet(out)
+
+
+add("snk6_export_new_files", _new_files, _ORDERS_SQL)
+
+
+def _swapped(spark, sf_dir):
+    root = shared_dir(spark, "swap")
+    sinks.swap_table(_orders(spark, sf_dir), root, ["o_orderstatus"])
+    current = sinks.read_version(spark, root)
+    sinks.swap_table(current.withColumn("o_orderkey", F.col("o_orderkey") + 1), root, ["o_orderstatus"])
+    return sinks.read_version(spark, root).select("o_orderkey", "o_orderstatus", "o_orderpriority")
+
+
+add("snk8_swap_table", _swapped, _ORDERS_SQL.replace("o_orderkey,", "o_orderkey + 1 AS o_orderkey,"))
+
+
+def _epss_file(spark, sf_dir):
+    path = shared_dir(spark, "epss-csv")
+    raw = feed.table(spark, sf_dir, "events").selectExpr(
+        "'CVE-' || event_id AS cve", "IF(event_type = 'error', 'x', CAST(value AS STRING)) AS epss", "'0.25' AS percentile")
+    raw.write.option("header", True).option("compression", "gzip").csv(path)
+    good, bad = feeds.read_epss(spark, path, F.lit("2024-01-31").cast("date"))
+    return flat(good.withColumn("readable", F.lit(True)).unionByName(bad.withColumn("readable", F.lit(False))))
+
+
+add(
+    "src6_read_epss", _epss_file,
+    "SELECT 'CVE-' || event_id AS \"cveId\", CASE WHEN event_type <> 'error' THEN value END AS epss, 0.25::DOUBLE AS percentile, "
+    "'2024-01-31' AS date, event_type <> 'error' AND value IS NOT NULL AS readable FROM events",
+)
+_NAME = "'s3://b/' || vendor || '_cve_' || product || IF(line = 1, '_raw.json', '_raw_2025-03-0' || line || '_19-55-48.json')"
+add(
+    "src9_metadata_from_filename",
+    lambda s, d: flat(records.metadata_from_filename(
+        feed.records(s, d).selectExpr("vendor AS real_vendor", "orderKey", "line", "price", f"{_NAME} AS source_file")).drop("source_file")),
+    f"WITH {sql.RECORDS} SELECT vendor AS real_vendor, orderKey, line, price, CASE WHEN line = 1 THEN '' ELSE vendor END AS vendor, "
+    "CASE WHEN line = 1 THEN '' ELSE product END AS product, CASE WHEN line <> 1 THEN '2025-03-0' || line || ' 19:55:48' END AS ingestionTimestamp, "
+    "CASE WHEN line <> 1 THEN '2025-03-0' || line END AS ingestionDate FROM records",
+)
+
+
+def _gunzip(spark, sf_dir):
+    src, dst = shared_dir(spark, "zipped"), shared_dir(spark, "unzipped")
+    _orders(spark, sf_dir).repartition(6).write.option("compression", "gzip").json(src)
+    failed = records.gunzip_files(spark, src, dst).where("NOT ok").count()
+    rows = spark.read.schema("o_orderkey bigint, o_orderstatus string, o_orderpriority string").option("recursiveFileLookup", True).json(dst)
+    return rows.withColumn("failed", F.lit(failed))
+
+
+add("src10_gunzip_files", _gunzip, _ORDERS_SQL.replace(" FROM", ", 0 AS failed FROM").replace("0 AS", "0::INTEGER AS"))
+add(
+    "src2_read_ingest_documents",
+    lambda s, d: _documents(s, d),
+    f"WITH {sql.RECORDS} SELECT vendor, count(*) AS records, count(*) FILTER (line = 7) AS empty FROM records GROUP BY vendor",
+)
+
+
+def _documents(spark, sf_dir):
+    path = shared_dir(spark, "documents")
+    envelopes(spark, sf_dir).write.partitionBy("vendor").json(path)
+    found = records.read_ingest_documents(spark, f"{path}/*/*.json")
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "vendor=([^/]+)/", 1)
+    return found.withColumn("vendor", folder).groupBy("vendor").agg(
+        F.count("*").alias("records"), F.count_if(~F.col("cveDataAvailable")).alias("empty"))

@@ -79,8 +79,7 @@ add(
 
 
 def _split(spark, sf_dir):
-    many, one = keys.split_duplicates(slim(spark, sf_dir), KEY)
-    return flat(many.withColumn("repeated", F.lit(True)).unionByName(one.withColumn("repeated", F.lit(False))))
+    return flat(keys.mark_duplicates(slim(spark, sf_dir), KEY))
 
 
 add(
@@ -328,12 +327,18 @@ add(
         F.sum(F.size("cves")).alias("cve_count"), F.count("*").alias("parts"), F.min("cves").getItem(0).alias("first_cve")),
     MAP_SQL + " SELECT vendor, product, count(*) AS cve_count, CAST(ceil(count(*) / 100) AS BIGINT) AS parts, min(cveId) AS first_cve FROM e GROUP BY ALL",
 )
+def _meta(spark, sf_dir):
+    def build(where, day):
+        return maps.build_meta(edges(spark, sf_dir, where), "nvd_ts", F.lit(day).cast("timestamp"))
+
+    known = build(_OLD_B, "2000-12-20").checkpoint()  # meta tables are written tables
+    new = build(_NEW_B, "2001-01-01").unionByName(build("true", "2000-12-20")).checkpoint()
+    return flat(maps.record_build(known, new))
+
+
 add(
     "agg18_build_meta",
-    lambda s, d: flat(maps.record_build(
-        maps.build_meta(edges(s, d, _OLD_B), "nvd_ts", F.lit("2000-12-20").cast("timestamp")),
-        maps.build_meta(edges(s, d, _NEW_B), "nvd_ts", F.lit("2001-01-01").cast("timestamp")).unionByName(
-            maps.build_meta(edges(s, d), "nvd_ts", F.lit("2000-12-20").cast("timestamp"))))),
+    _meta,
     MAP_SQL + " SELECT 'nvd_ts' AS collection, '2000-12-20 00:00:00' AS ts, count(DISTINCT (vendor, product)) AS count FROM o "
     "UNION ALL SELECT 'nvd_ts', '2001-01-01 00:00:00', count(DISTINCT (vendor, product)) FROM n",
 )
@@ -365,8 +370,8 @@ add(
 
 def _diff(spark, sf_dir):
     def build(where):
-        both = [edges(spark, sf_dir, f"({where}) AND {side}").withColumn("source", F.lit(n)) for n, side in (("nvd", OLD), ("cvelist", NEW))]
-        return both[0].unionByName(both[1])
+        raw = feed.records(spark, sf_dir).where(where).selectExpr(f"{_RAW_V} AS v", "product", "cveId", "status AS source")
+        return maps.build_map(raw, "v", "product", "cveId", ["source"])
 
     modified = feed.records(spark, sf_dir).where("line = 5 AND flag = 'R' AND price < 2000").select("cveId")
     return maps.diff_builds(build(_NEW_B), build(_OLD_B), modified)
@@ -466,9 +471,11 @@ _WM = "TIMESTAMP '2000-06-01 00:00:00'"
 
 
 def _sync(spark, sf_dir):
-    full = history.scd2_merge(master(spark, sf_dir), slim(spark, sf_dir, NEW), KEY, F.lit(RUN_TS).cast("timestamp_ntz"))
-    before = history.sync_full(master(spark, sf_dir).where("validFrom <= TIMESTAMP_NTZ '2000-06-01 00:00:00'"))
-    return flat(history.sync_incremental(before, full, history.next_watermark(before, F.lit(RUN_TS).cast("timestamp_ntz"))))
+    stored = master(spark, sf_dir).checkpoint()  # master and warehouse table are written tables
+    stamp = F.lit(RUN_TS).cast("timestamp_ntz")
+    merged = history.scd2_merge(stored, slim(spark, sf_dir, NEW), KEY, stamp).checkpoint()
+    before = history.sync_full(stored.where("validFrom <= TIMESTAMP_NTZ '2000-06-01 00:00:00'"))
+    return flat(history.sync_incremental(before, merged, history.next_watermark(before, stamp)))
 
 
 _SCD_BODY = _scd2_sql("s.lastModified IS NOT NULL AND (c.lastModified IS NULL OR c.lastModified < s.lastModified)", f"TIMESTAMP '{RUN_TS}'")
@@ -503,8 +510,11 @@ def _levels_after(spark, sf_dir, grain, level):
     """Levels of the old lookup, refreshed for the updated keys only."""
     rows = feed.enriched(spark, sf_dir)
     cols = [*KEY, "datePublished", "lastModified", "severity", "weighted_score", *fixed.RISK_FLAGS, "flag", "orderKey", "line", "price"]
-    old = keys.latest_per_key(rows.where(OLD).select(*cols), KEY, ["lastModified"])
-    updates = keys.latest_per_key(rows.where(f"{NEW} AND line IN (5, 7) AND price < 5000").select(*cols), KEY, ["lastModified"])
+    # Lookup, updates and level tables are written tables in the pipeline.
+    old = keys.latest_per_key(rows.where(OLD).select(*cols), KEY, ["lastModified"]).checkpoint()
+    updates = keys.latest_per_key(
+        rows.where(f"{NEW} AND line IN (5, 7) AND price < 5000").select(*cols), KEY, ["lastModified"]
+    ).checkpoint()
     lookup = history.refresh_lookup(old, updates)
     replaced = old.join(keys.key_set(updates, KEY), KEY, "left_semi")
     touched = exposure.touched_grains(grain, updates, replaced)

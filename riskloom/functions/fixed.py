@@ -39,8 +39,8 @@ CNA_SCHEMA = (
     "containers struct<cna:struct<"
     f"datePublic:string,descriptions:{_TEXTS},"
     f"impacts:array<struct<capecId:string,descriptions:{_TEXTS}>>,"
-    f"metrics:{_V31_METRICS},problemTypes:{_PROBLEM_TYPES},"
-    "affected:array<struct<vendor:string,product:string>>>,"
+    f"metrics:{_V31_METRICS},problemTypes:{_PROBLEM_TYPES}"
+    ",affected:array<struct<vendor:string,product:string>>>,"
     f"adp:array<struct<problemTypes:{_PROBLEM_TYPES},metrics:{_V31_METRICS}>>>"
 )
 
@@ -54,6 +54,10 @@ NVD_SCHEMA = (
     "configurations array<struct<nodes:array<struct<cpeMatch:array<struct<criteria:string>>>>>>"
 )
 
+# Parts of the documents that staging reads; the bulky rest is skipped while parsing.
+CNA_STAGING_SCHEMA = CNA_SCHEMA.replace(",affected:array<struct<vendor:string,product:string>>", "")
+NVD_STAGING_SCHEMA = NVD_SCHEMA.rpartition(", configurations")[0]
+
 CVSS_FIELDS = [
     ("source", "string"),
     ("type", "string"),

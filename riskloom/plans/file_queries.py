@@ -287,6 +287,21 @@ add(
     "SELECT 'CVE-' || event_id AS \"cveId\", CASE WHEN event_type <> 'error' THEN value END AS epss, 0.25::DOUBLE AS percentile, "
     "'2024-01-31' AS date, event_type <> 'error' AND value IS NOT NULL AS readable FROM events",
 )
+
+
+def _kev_documents(spark, sf_dir):
+    path = shared_dir(spark, "kev-documents")
+    item = "named_struct('cveID', '{p}-' || o_orderkey, 'dateAdded', CAST(to_date(o_orderdate) AS STRING), 'product', o_orderpriority)"
+    docs = feed.table(spark, sf_dir, "orders").selectExpr(f"array({item.format(p='CVE')}, {item.format(p='CVX')}) AS vulnerabilities")
+    docs.write.json(path)
+    return flat(feeds.kev_rows(feeds.read_kev(spark, path, multi_line=False)).select("cveId", "product", "dateAdded", "day", "notes"))
+
+
+add(
+    "src5_read_kev", _kev_documents,
+    "SELECT p || o_orderkey AS \"cveId\", o_orderpriority AS product, o_orderdate::DATE::VARCHAR AS \"dateAdded\", "
+    "o_orderdate::DATE::VARCHAR AS day, NULL::VARCHAR AS notes FROM orders, (VALUES ('CVE-'), ('CVX-')) v(p)",
+)
 _NAME = "'s3://b/' || vendor || '_cve_' || product || IF(line = 1, '_raw.json', '_raw_2025-03-0' || line || '_19-55-48.json')"
 add(
     "src9_metadata_from_filename",

@@ -31,8 +31,8 @@ def normalize(raw: DataFrame, drop_unscored: bool = False) -> DataFrame:
     same keys and so reuses that partitioning. `drop_unscored` leaves out NVD documents
     that carry no metric.
     """
-    cna = nested.flatten_cna(nested.explode_pairs(raw, "cvelistv5", fixed.CNA_SCHEMA, _INGEST))
-    nvd = nested.flatten_nvd(nested.explode_pairs(raw, "fkie_nvd", fixed.NVD_SCHEMA, _INGEST))
+    cna = nested.flatten_cna(nested.explode_pairs(raw, "cvelistv5", fixed.CNA_STAGING_SCHEMA, _INGEST))
+    nvd = nested.flatten_nvd(nested.explode_pairs(raw, "fkie_nvd", fixed.NVD_STAGING_SCHEMA, _INGEST))
     if drop_unscored:
         nvd = nvd.where(F.size("nvdCvss") > 0)
     cna = consolidate_first(cna, _KEYS, ["dateUpdated"], ["cnaCvss", "cnaCapec", "cnaCwe"])

@@ -23,9 +23,9 @@ def read_master(spark: SparkSession, root: str) -> DataFrame:
     current = sinks.read_version(spark, f"{root}/current")
     if not paths.exists(spark, f"{root}/closed"):
         return current.drop("year_published")
-    # A closed folder counts once the current version of the same run exists.
-    done = sinks.versions(spark, f"{root}/current")
-    closed = spark.read.parquet(f"{root}/closed").where(F.col("run").isin(done))
+    # A closed folder counts once the current version of the same run (or a later one) exists.
+    done = sinks.versions(spark, f"{root}/current")[-1]
+    closed = spark.read.parquet(f"{root}/closed").where(F.col("run") <= done)
     return current.unionByName(closed.drop("run")).drop("year_published")
 
 

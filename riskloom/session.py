@@ -8,12 +8,17 @@ from pyspark.sql import SparkSession
 
 
 def build_session(app: str = "riskloom", **conf: str) -> SparkSession:
-    """Session with UTC times and adaptive execution (coalescing and skew splitting)."""
+    """Session with UTC times, adaptive execution (coalescing and skew splitting) and stream
+    state on disk."""
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
     )
     for k, v in conf.items():
         builder = builder.config(k.replace("__", "."), v)

@@ -7,10 +7,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from riskloom.functions import fixed
 
 
-def read_kev(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON document per file, one row per entry of `vulnerabilities`."""
+def read_kev(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """One JSON document per file (or per line), one row per entry of `vulnerabilities`."""
     doc = spark.read.schema(f"vulnerabilities array<struct<{fixed.KEV_ITEM_SCHEMA.replace(' string', ':string')}>>")
-    return doc.option("multiLine", True).json(path).select(F.inline("vulnerabilities"))
+    return doc.option("multiLine", multi_line).json(path).select(F.inline("vulnerabilities"))
 
 
 def kev_rows(items: DataFrame) -> DataFrame:

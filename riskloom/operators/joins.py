@@ -1,8 +1,7 @@
 """Keyed joins.
 
 Keys are made unique before a join wherever the result allows it, so matching is 1:1 and
-one hot key cannot blow up a task; the sides that may repeat keys sit on the left, where
-adaptive execution can split a skewed partition. No join strategy is forced.
+one hot key cannot blow up a task. A side that may repeat keys goes through `hot_join`.
 """
 
 from __future__ import annotations
@@ -10,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom.functions import fixed
-from riskloom.operators.keys import key_set, latest_per_key
+from riskloom.operators.keys import hot_join, key_set, latest_per_key
 
 
 def merge_sources(
@@ -52,9 +51,12 @@ def attach(df: DataFrame, extra: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(extra, keys, "left")
 
 
-def delete_matching(target: DataFrame, keys_of: DataFrame, keys: list[str]) -> DataFrame:
-    """DELETE ... WHERE EXISTS."""
-    return target.join(key_set(keys_of, keys), keys, "left_anti")
+def delete_matching(
+    target: DataFrame, keys_of: DataFrame, keys: list[str], repeats: bool = False
+) -> DataFrame:
+    """DELETE ... WHERE EXISTS. Say `repeats` when the target has many rows per key."""
+    gone = key_set(keys_of, keys)
+    return hot_join(target, gone, keys, "left_anti") if repeats else target.join(gone, keys, "left_anti")
 
 
 def insert_missing(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
@@ -105,8 +107,9 @@ def search(
     wanted = key_set(requests, ["vendor", "product"])
     out = None
     for source, edges in maps.items():
-        ids = edges.join(wanted, ["vendor", "product"])
-        part = ids.join(documents[source], "cveId").withColumn("source", F.lit(source))
+        # A pair may own a large share of the ids, and an id may belong to many pairs.
+        ids = hot_join(edges, wanted, ["vendor", "product"], "left_semi").checkpoint()
+        part = hot_join(ids, documents[source], ["cveId"], "inner").withColumn("source", F.lit(source))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 

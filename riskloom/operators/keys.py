@@ -16,15 +16,47 @@ def key_set(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.select(*keys).distinct()
 
 
+def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & left[k].eqNullSafe(right["_h_" + k])
+    return cond
+
+
+HOT_SHARE = 1e-4
+
+
+def hot_join(
+    left: DataFrame, right: DataFrame, keys: list[str], how: str, share: float = HOT_SHARE
+) -> DataFrame:
+    """Join a side that may repeat keys with one that has a row per key, safe for hot keys.
+
+    Keys (nulls included) with more than `share` of the left rows, of which there can be
+    only `1 / share`, are joined by broadcasting their right rows: those left rows are not
+    shuffled at all. All others take the usual join. `how` is inner, left, left_semi or
+    left_anti. The left side is read more than once: hand over a table.
+    """
+    total = left.select(F.count("*")).scalar()
+    hot = F.broadcast(
+        left.groupBy(*keys)
+        .agg(F.count("*").alias("_rows"))
+        .where(F.col("_rows") > total * F.lit(share))
+        .select(*[F.col(k).alias("_h_" + k) for k in keys])
+    )
+    few = F.broadcast(right.join(hot, _same(right, hot, keys), "left_semi"))
+    usual = left.join(hot, _same(left, hot, keys), "left_anti").join(right, keys, how)
+    return usual.unionByName(left.join(hot, _same(left, hot, keys), "left_semi").join(few, keys, how))
+
+
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys found on more than one row."""
     return df.groupBy(*keys).count().where("count > 1").drop("count")
 
 
 def mark_duplicates(df: DataFrame, keys: list[str], name: str = "repeated") -> DataFrame:
-    """Rows with a flag whether their key repeats: one grouped count and one join."""
+    """Rows with a flag whether their key repeats."""
     dup = duplicate_keys(df, keys).withColumn(name, F.lit(True))
-    return df.join(dup, keys, "left").withColumn(name, F.coalesce(F.col(name), F.lit(False)))
+    return hot_join(df, dup, keys, "left").withColumn(name, F.coalesce(F.col(name), F.lit(False)))
 
 
 def split_duplicates(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:

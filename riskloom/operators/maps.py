@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions.text import cpe_browse_parts, sanitize_key_field
 from riskloom.operators.joins import insert_missing
-from riskloom.operators.keys import key_set
+from riskloom.operators.keys import hot_join, key_set
 
 PAIR = ["vendor", "product"]
 EDGE = ["vendor", "product", "cveId"]
@@ -49,7 +49,7 @@ def pack(edges: DataFrame, size: int = 10_000) -> DataFrame:
     big = map_sizes(edges).where(F.col("cve_count") > size).select(
         *PAIR, F.ceil(F.col("cve_count") / size).alias("_parts")
     )
-    spread = edges.join(big, PAIR, "left").withColumn(
+    spread = hot_join(edges, big, PAIR, "left").withColumn(
         "part", F.expr("pmod(crc32(CAST(cveId AS BINARY)), coalesce(_parts, 1L))")
     )
     return spread.groupBy(*PAIR, "part").agg(F.array_sort(F.collect_list("cveId")).alias("cves"))
@@ -113,7 +113,7 @@ def diff_builds(new: DataFrame, old: DataFrame, changed_ids: DataFrame, source:
     Builds are edges with a `source` column; `changed_ids` has a `cveId` column.
     """
     moved = compare_builds(new, old, [source]).where("side <> 3").select(*PAIR)
-    touched = new.join(key_set(changed_ids, ["cveId"]), "cveId", "left_semi").select(*PAIR)
+    touched = hot_join(new, key_set(changed_ids, ["cveId"]), ["cveId"], "left_semi").select(*PAIR)
     return moved.unionByName(touched).distinct()
 
 

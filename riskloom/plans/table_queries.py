@@ -170,7 +170,7 @@ add(
 )
 add(
     "jn4_delete_matching",
-    lambda s, d: flat(joins.delete_matching(target(s, d), slim(s, d, NEW), KEY)),
+    lambda s, d: flat(joins.delete_matching(target(s, d), slim(s, d, NEW), KEY)),  # one row per key
     TS + f" SELECT {SHOW} FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.vendor = t.vendor AND s.product = t.product AND s.cveId = t.cveId)",
 )
 add(
@@ -215,7 +215,9 @@ def _search(spark, sf_dir):
         "nvd": latest(nvd, ["cveId"]).select("cveId", "cvssScore", "orderKey"),
         "cvelist": latest(cl.where("line <> 2"), ["cveId"]).select("cveId", "cvssScore", "orderKey"),
     }
-    return joins.search(requests, {"nvd": nvd.select(*KEY).distinct(), "cvelist": cl.select(*KEY).distinct()}, docs)
+    # Maps and documents are written tables in the pipeline.
+    stored = {n: df.select(*KEY).distinct().checkpoint() for n, df in (("nvd", nvd), ("cvelist", cl))}
+    return joins.search(requests, stored, {n: df.checkpoint() for n, df in docs.items()})
 
 
 add(
@@ -323,7 +325,7 @@ add(
 )
 add(
     "agg17_packed_map",
-    lambda s, d: maps.pack(edges(s, d), 100).groupBy("vendor", "product").agg(
+    lambda s, d: maps.pack(edges(s, d).checkpoint(), 100).groupBy("vendor", "product").agg(
         F.sum(F.size("cves")).alias("cve_count"), F.count("*").alias("parts"), F.min("cves").getItem(0).alias("first_cve")),
     MAP_SQL + " SELECT vendor, product, count(*) AS cve_count, CAST(ceil(count(*) / 100) AS BIGINT) AS parts, min(cveId) AS first_cve FROM e GROUP BY ALL",
 )
@@ -374,7 +376,7 @@ def _diff(spark, sf_dir):
         return maps.build_map(raw, "v", "product", "cveId", ["source"])
 
     modified = feed.records(spark, sf_dir).where("line = 5 AND flag = 'R' AND price < 2000").select("cveId")
-    return maps.diff_builds(build(_NEW_B), build(_OLD_B), modified)
+    return maps.diff_builds(build(_NEW_B).checkpoint(), build(_OLD_B), modified)  # a written build
 
 
 _DIFF_SQL = (

@@ -176,3 +176,25 @@ def test_no_plan_collects_a_level_in_one_task(lookup):
     for level in fixed.LEVELS:
         plan = exposure.level_table(lookup, "daily", level)._jdf.queryExecution().executedPlan().toString()
         assert "SinglePartition" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("share", [0.2, 1e-4, 2.0])
+def test_hot_join(spark, how, share):
+    left = spark.range(600).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 AND id < 300 THEN NULL ELSE 'k' || id % 50 END AS k", "id AS v")
+    right = spark.range(30).selectExpr("IF(id = 0, 'hot', 'k' || id) AS k", "id AS w")
+    assert rows(keys.hot_join(left, right, ["k"], how, share)) == rows(left.join(right, ["k"], how))
+
+
+def test_hot_join_shuffles_no_hot_row(spark):
+    """The plan joins hot rows by broadcast even where automatic broadcasts are off."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = spark.range(100).selectExpr("id % 3 AS k", "id AS v")
+        right = spark.range(5).selectExpr("id AS k", "id AS w")
+        plan = keys.hot_join(left, right, ["k"], "inner")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") >= 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskloom.plans import feed
+from riskloom.session import ensure_shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,7 +16,11 @@ CHECKS: dict[str, str] = {}
 
 
 def add(name: str, query: Query, check: str | None = None) -> None:
-    QUERIES[name] = query
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_shared_folder(spark)
+        return query(spark, sf_dir)
+
+    QUERIES[name] = run
     if check is not None:
         CHECKS[name] = check
 

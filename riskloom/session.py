@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -25,9 +26,19 @@ def build_session(app: str = "riskloom", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def ensure_shared_folder(spark: SparkSession) -> None:
+    """Checkpoint folder: the one the cluster names in `spark.checkpoint.dir`. Only a local
+    session without that setting (a test) gets a temporary one."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="riskloom-"))
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A fresh path below the shared folder that the cluster names in `spark.checkpoint.dir`."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+    """A fresh path below the shared folder."""
+    ensure_shared_folder(spark)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     return "/".join([base.rstrip("/"), "riskloom", *parts, uuid.uuid4().hex])

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from riskloom.session import build_session  # noqa: E402
+from riskloom.session import build_session, ensure_shared_folder  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -21,10 +21,7 @@ def spark(tmp_path_factory):
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        folder = str(tmp_path_factory.mktemp("checkpoints"))
-        session.conf.set("spark.checkpoint.dir", folder)
-        session.sparkContext.setCheckpointDir(folder)
+    ensure_shared_folder(session)
     yield session
     session.stop()
 

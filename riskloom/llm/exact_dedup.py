@@ -31,7 +31,8 @@ def frequent(rows: DataFrame, key: str, top: int = TOP, tracked: int = TRACKED)
     """
     parts = rows.where(F.col(key).isNotNull()).select(F.col(key), F.expr(f"spark_partition_id() % {MERGERS}").alias("part"))
     sums = parts.groupBy("part").agg(F.expr(f"approx_top_k_accumulate({key}, {tracked})").alias("summary"))
-    whole = sums.agg(F.expr("approx_top_k_combine(summary)").alias("summary")).where("summary IS NOT NULL")
+    # Grouped by a constant: without a key, a task that gets no summary would have none to pass on.
+    whole = sums.groupBy(F.lit(0).alias("all")).agg(F.expr("approx_top_k_combine(summary)").alias("summary"))
     items = whole.select(F.explode(F.expr(f"approx_top_k_estimate(summary, {top})")).alias("found"))
     return items.select(F.col("found.item").alias(key))
 

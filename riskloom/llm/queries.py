@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from riskloom.llm import bpe, exact_dedup
+from riskloom.llm import bpe, chat, exact_dedup, pii
 
 QUERIES = {
     "op2_bpe": bpe.query,
+    "op3_chat_format": chat.query,
+    "op7_pii": pii.query,
     "op10_exact_dedup": exact_dedup.query,
 }
 CHECKS = {
+    "op3_chat_format": chat.CHECK,
     "op10_exact_dedup": exact_dedup.CHECK,
 }

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from riskloom.llm import bpe, chat, exact_dedup, order_minhash, pii
+from riskloom.llm import bpe, chat, decontam, exact_dedup, order_minhash, pii
 
 QUERIES = {
     "op2_bpe": bpe.query,
     "op3_chat_format": chat.query,
     "op5_minhash": order_minhash.query,
+    "op6_decontam": decontam.query,
     "op7_pii": pii.query,
     "op10_exact_dedup": exact_dedup.query,
 }

@@ -53,7 +53,8 @@ def _sums(values: Column, start: Column) -> Column:
 
 
 def running(values: Column) -> Column:
-    """Running sums of an int array, block by block, so that work stays far below the square."""
+    """Running sums of an int array, block by block, so that work stays far below the square. Pass a
+    column, not an expression: it is read once for each block."""
     zero = F.lit(0)
     total = lambda part: F.aggregate(part, zero, lambda a, x: a + x)
     blocks = F.transform(
@@ -114,24 +115,30 @@ def find(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
         scans.append(F.when(may, F.split(body, pattern, -1)).otherwise(none).alias(f"__gap_{kind}"))
         scans.append(F.when(may, F.regexp_extract_all(body, F.lit(pattern), F.lit(0))).otherwise(none).alias(f"__hit_{kind}"))
     found = rows.select(*keys, *scans)
+    found = found.select("*", *[_steps(kind).alias(f"__step_{kind}") for kind in PATTERNS])
     return found.select(*keys, F.flatten(F.array(*[_spans(kind) for kind in PATTERNS])).alias("spans"))
 
 
-def _spans(kind: str) -> Column:
-    """Confirmed spans of one kind from its matches and the texts between them."""
+def _steps(kind: str) -> Column:
+    """Characters from the start of each match (or of the text) to the start of the next."""
     gaps, hits = F.col(f"__gap_{kind}"), F.col(f"__hit_{kind}")
     count = F.size(hits)
-    sizes = F.transform(hits, F.length)
-    steps = F.zip_with(
+    return F.zip_with(
         F.slice(F.transform(gaps, F.length), F.lit(1), count),
-        F.slice(F.concat(F.array(F.lit(0)), sizes), F.lit(1), count),
+        F.slice(F.concat(F.array(F.lit(0)), F.transform(hits, F.length)), F.lit(1), count),
         lambda gap, hit: gap + hit,
     )
+
+
+def _spans(kind: str) -> Column:
+    """Confirmed spans of one kind from its matches and the texts between them."""
+    gaps, hits = F.col(f"__gap_{kind}"), F.col(f"__hit_{kind}")
+    count = F.size(hits)
     around = F.zip_with(
         F.slice(gaps, F.lit(1), count), F.slice(gaps, F.lit(2), count),
         lambda a, b: F.lower(F.concat(F.right(a, F.lit(REACH)), F.lit(" "), F.left(b, F.lit(REACH)))),
     )
-    proposed = F.arrays_zip(running(steps).alias("start"), hits.alias("hit"), around.alias("around"))
+    proposed = F.arrays_zip(running(F.col(f"__step_{kind}")).alias("start"), hits.alias("hit"), around.alias("around"))
     good = F.filter(proposed, lambda z: confirmed(kind, z["hit"]))
     scored = F.transform(
         good,

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from riskloom.llm import bpe, chat, decontam, exact_dedup, order_minhash, pii
+from riskloom.llm import bpe, chat, decontam, exact_dedup, order_minhash, pii, token_counts, warc
 
 QUERIES = {
     "op2_bpe": bpe.query,
     "op3_chat_format": chat.query,
+    "op4_warc": warc.query,
     "op5_minhash": order_minhash.query,
     "op6_decontam": decontam.query,
     "op7_pii": pii.query,
+    "op9_token_counts": token_counts.query,
     "op10_exact_dedup": exact_dedup.query,
 }
 CHECKS = {
     "op3_chat_format": chat.CHECK,
+    "op4_warc": warc.CHECK,
     "op10_exact_dedup": exact_dedup.CHECK,
 }

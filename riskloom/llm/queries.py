@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from riskloom.llm import bpe, chat, decontam, exact_dedup, order_minhash, pii, token_counts, warc
+from riskloom.llm import bpe, chat, decontam, exact_dedup, order_minhash, pii, quality, token_counts, warc
 
 QUERIES = {
+    "op1_quality": quality.query,
     "op2_bpe": bpe.query,
     "op3_chat_format": chat.query,
     "op4_warc": warc.query,

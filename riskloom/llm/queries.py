@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskloom.llm import bpe, chat, decontam, exact_dedup, order_minhash, pii, quality, token_counts, warc
+from riskloom.llm import bpe, chat, decontam, exact_dedup, lm_scoring, order_minhash, pii, quality, token_counts, warc
 
 QUERIES = {
     "op1_quality": quality.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_minhash": order_minhash.query,
     "op6_decontam": decontam.query,
     "op7_pii": pii.query,
+    "op8_lm_scoring": lm_scoring.query,
     "op9_token_counts": token_counts.query,
     "op10_exact_dedup": exact_dedup.query,
 }

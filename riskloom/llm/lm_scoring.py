@@ -33,7 +33,10 @@ from riskloom.llm.words import small
 FOLDS, HELD_OUT = 7, 2
 #: Broadcast tokens at most and their longest length in bytes; symbols; entries of a task's counter.
 HEAD, LONGEST, WORDS, CLASSES, COUNTED = 100_000, 64, 1000, 256, 500_000
-WIDTH, NOISE, STEPS, RATE = 32, 10.0, 150, 0.03
+WIDTH, NOISE, STEPS, RATE = 32, 10.0, 100, 0.03
+#: Pairs that each context is credited with, spread by the symbols' frequency: rare contexts stay close
+#: to it.
+PRIOR = 100.0
 SYMBOLS = 1 + WORDS + CLASSES
 _ROWS = 256
 
@@ -166,27 +169,27 @@ def train(pairs: np.ndarray, steps: int = STEPS, seed: int = 1) -> np.ndarray:
 
     Scores are log-bilinear: (context vector x context matrix) . target vector + bias. Adam on the
     expected noise-contrastive objective with NOISE noise symbols, drawn by smoothed frequency, for
-    each pair.
+    each pair. PRIOR pairs by that frequency are added to each context.
     """
     size = len(pairs)
     draws = np.random.default_rng(seed)
-    before = pairs.sum(1)
     noise = (pairs.sum(0) + 1) / (pairs.sum() + size)
+    pairs = pairs + PRIOR * noise
+    before = pairs.sum(1)
     values = [
         draws.normal(0, 0.1, (size, WIDTH)), np.eye(WIDTH), draws.normal(0, 0.1, (size, WIDTH)), np.log(noise)[None],
     ]
     values = [v.astype(np.float32) for v in values]
     first, second = [np.zeros_like(v) for v in values], [np.zeros_like(v) for v in values]
     level = np.log(NOISE * noise).astype(np.float32)
-    total = max(pairs.sum(), 1.0)
-    active = np.flatnonzero(before)
+    total = pairs.sum()
     for step in range(1, steps + 1):
         context, matrix, target, bias = values
         slopes = [np.zeros_like(v) for v in values]
-        for k in range(0, len(active), _ROWS):
-            rows = active[k : k + _ROWS]
+        for k in range(0, size, _ROWS):
+            rows = slice(k, k + _ROWS)
             mapped = context[rows] @ matrix
-            data = 1 / (1 + np.exp(level - mapped @ target.T - bias))
+            data = 1 / (1 + np.exp(np.minimum(level - mapped @ target.T - bias, 80)))
             push = (pairs[rows] / total).astype(np.float32)
             push = push * (1 - data) - (NOISE * before[rows, None] / total * noise).astype(np.float32) * data
             back = push @ target

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions import fixed
-from riskloom.operators.joins import newer_than, upsert, warehouse_columns
+from riskloom.operators.joins import fits, newer_than, upsert, warehouse_columns
 from riskloom.operators.keys import latest_per_key
 
 NEWER = (
@@ -114,17 +114,27 @@ def merge_changed(
     return pairs.selectExpr(*[f"IF({take}, s.`{c}`, t.`{c}`) AS `{c}`" for c in target.columns])
 
 
-def sync_full(master: DataFrame) -> DataFrame:
-    """Current rows in warehouse types: the full-load path."""
-    return warehouse_columns(master.where("currentFlag"))
+def sync_full(master: DataFrame, keys: list[str] = fixed.RECORD_KEY) -> DataFrame:
+    """Current rows in warehouse types: the full-load path. Rows whose keys don't fit are left to
+    `sync_rejects`."""
+    return warehouse_columns(master.where("currentFlag").where(fits(keys)))
+
+
+def sync_rejects(master: DataFrame, keys: list[str] = fixed.RECORD_KEY) -> DataFrame:
+    """Current rows that the warehouse can't hold, because a key is longer than its column."""
+    return master.where("currentFlag").where(~fits(keys))
 
 
 def sync_incremental(
     current: DataFrame, master: DataFrame, watermark: DataFrame, keys: list[str] = fixed.RECORD_KEY
 ) -> DataFrame:
-    """Warehouse table after upserting the newest master row of each key above the watermark."""
+    """Warehouse table after upserting the newest master row of each key above the watermark.
+
+    Rows are told apart by their whole keys; only columns that aren't keys are cut. Rows whose keys
+    don't fit are left to `sync_rejects`, as in the full load.
+    """
     fresh = newer_than(master, "validFrom", watermark, "last_run_ts")
-    changes = latest_per_key(warehouse_columns(fresh), keys, ["validFrom"])
+    changes = warehouse_columns(latest_per_key(fresh.where(fits(keys)), keys, ["validFrom"]))
     return upsert(current, changes.select(*current.columns), keys)
 
 

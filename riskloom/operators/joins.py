@@ -6,9 +6,10 @@ one hot key cannot blow up a task. A side that may repeat keys goes through `hot
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions import fixed
+from riskloom.sources.staged import stored
 from riskloom.operators.keys import hot_join, key_set, latest_per_key
 
 
@@ -108,7 +109,7 @@ def search(
     out = None
     for source, edges in maps.items():
         # A pair may own a large share of the ids, and an id may belong to many pairs.
-        ids = hot_join(edges, wanted, ["vendor", "product"], "left_semi").checkpoint()
+        ids = stored(hot_join(edges, wanted, ["vendor", "product"], "left_semi"), "search")
         part = hot_join(ids, documents[source], ["cveId"], "inner").withColumn("source", F.lit(source))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
@@ -129,7 +130,17 @@ def upsert_documents(target: DataFrame, changed: DataFrame, key: str, newest: li
     return upsert(target, latest_per_key(changed, [key], newest), [key])
 
 
+def fits(keys: list[str], widths: dict[str, int] = fixed.WAREHOUSE_WIDTHS) -> Column:
+    """Whether the key columns of a row fit the warehouse table uncut."""
+    cond = F.lit(True)
+    for k in keys:
+        if k in widths:
+            cond = cond & F.coalesce(F.length(F.col(k).cast("string")) <= widths[k], F.lit(True))
+    return cond
+
+
 def warehouse_columns(df: DataFrame, widths: dict[str, int] = fixed.WAREHOUSE_WIDTHS) -> DataFrame:
-    """Cut text columns to the widths of the warehouse table."""
+    """Cut text columns to the widths of the warehouse table. Rows whose keys don't fit must be
+    taken out first (see `fits`): cut keys of different rows could be the same."""
     narrow = {c: F.substring(F.col(c).cast("string"), 1, n) for c, n in widths.items() if c in df.columns}
     return df.withColumns(narrow)

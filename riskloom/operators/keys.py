@@ -23,29 +23,34 @@ def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return cond
 
 
-HOT_SHARE = 1e-4
+HOT_SHARE, SALTS = 1e-4, 32
 
 
 def hot_join(
-    left: DataFrame, right: DataFrame, keys: list[str], how: str, share: float = HOT_SHARE
+    left: DataFrame, right: DataFrame, keys: list[str], how: str, share: float = HOT_SHARE, salts: int = SALTS
 ) -> DataFrame:
     """Join a side that may repeat keys with one that has a row per key, safe for hot keys.
 
-    Keys (nulls included) with more than `share` of the left rows, of which there can be
-    only `1 / share`, are joined by broadcasting their right rows: those left rows are not
-    shuffled at all. All others take the usual join. `how` is inner, left, left_semi or
-    left_anti. The left side is read more than once: hand over a table.
+    Keys with more than `share` of the left rows, of which there can be only `1 / share`, are
+    known to both sides by broadcast. Their left rows are dealt over `salts` tasks and their
+    right rows sent to each of these; all other keys take the usual way of the same join. Rows
+    of the right side, however wide, are never broadcast. Null keys match null keys. `how` is
+    inner, left, left_semi or left_anti. The left side is read twice: hand over a table.
     """
-    total = left.select(F.count("*")).scalar()
+    counts = left.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    total = counts.select(F.sum("_rows")).scalar()
     hot = F.broadcast(
-        left.groupBy(*keys)
-        .agg(F.count("*").alias("_rows"))
-        .where(F.col("_rows") > total * F.lit(share))
-        .select(*[F.col(k).alias("_h_" + k) for k in keys])
+        counts.where(F.col("_rows") > total * F.lit(share)).select(*[F.col(k).alias("_h_" + k) for k in keys], F.lit(salts).alias("_salts"))
     )
-    few = F.broadcast(right.join(hot, _same(right, hot, keys), "left_semi"))
-    usual = left.join(hot, _same(left, hot, keys), "left_anti").join(right, keys, how)
-    return usual.unionByName(left.join(hot, _same(left, hot, keys), "left_semi").join(few, keys, how))
+    dealt = F.when(F.col("_salts").isNotNull(), F.pmod(F.monotonically_increasing_id(), F.col("_salts"))).otherwise(0).cast("int")
+    each = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    salted = left.join(hot, _same(left, hot, keys), "left").select(*left.columns, dealt.alias("_salt"))
+    copies = right.join(hot, _same(right, hot, keys), "left").select(
+        *[F.col(k).alias("_h_" + k) for k in keys], *[c for c in right.columns if c not in keys], each.alias("_h__salt")
+    )
+    joined = salted.join(copies, _same(salted, copies, [*keys, "_salt"]), how)
+    extra = [] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in keys]
+    return joined.select(*left.columns, *extra)
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -53,10 +58,11 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).count().where("count > 1").drop("count")
 
 
-def mark_duplicates(df: DataFrame, keys: list[str], name: str = "repeated") -> DataFrame:
-    """Rows with a flag whether their key repeats."""
+def mark_duplicates(df: DataFrame, keys: list[str], name: str = "repeated", share: float = HOT_SHARE) -> DataFrame:
+    """Rows with a flag whether their key repeats; null keys count like any other. The rows are
+    read three times: hand over a table."""
     dup = duplicate_keys(df, keys).withColumn(name, F.lit(True))
-    return hot_join(df, dup, keys, "left").withColumn(name, F.coalesce(F.col(name), F.lit(False)))
+    return hot_join(df, dup, keys, "left", share).withColumn(name, F.coalesce(F.col(name), F.lit(False)))
 
 
 def split_duplicates(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -99,15 +105,25 @@ def latest_partition(df: DataFrame, col: str) -> DataFrame:
 def collect_distinct(df: DataFrame, keys: list[str], arrays: dict[str, str]) -> DataFrame:
     """Distinct members of array columns per key; `arrays` maps output name to input.
 
-    Copies collapse before the shuffle: members go through a distinct row form first,
-    so no task ever sees the repeated arrays of one key.
+    Every key stays, null keys too; a key whose arrays are all empty or null gets an empty array.
+    All arrays go through one long form (key, array, member), made distinct with map-side
+    combining, so no task ever sees the repeated arrays of one key. A marker row per key and task
+    keeps keys without members.
     """
-    out = None
-    for name, arr in arrays.items():
-        members = df.select(*keys, F.explode(arr).alias("_m")).distinct()
-        part = members.groupBy(*keys).agg(F.array_sort(F.collect_list("_m")).alias(name))
-        out = part if out is None else out.join(part, keys, "full_outer")
-    return out
+    member = dict(df.select(*[F.explode(a).alias(n) for n, a in arrays.items()][:1]).dtypes)
+    kind = next(iter(member.values()))
+    listed = [
+        F.transform(F.coalesce(F.col(a), F.array().cast(f"array<{kind}>")), _entry(n)) for n, a in arrays.items()
+    ]
+    marker = F.array(F.struct(F.lit("").alias("a"), F.lit(None).cast(kind).alias("m")))
+    rows = df.select(*keys, F.explode(F.concat(marker, *listed)).alias("_e")).select(*keys, "_e.a", "_e.m").distinct()
+    return rows.groupBy(*keys).agg(
+        *[F.array_sort(F.collect_list(F.when(F.col("a") == n, F.col("m")))).alias(n) for n in arrays]
+    )
+
+
+def _entry(name: str):
+    return lambda m: F.struct(F.lit(name).alias("a"), m.alias("m"))
 
 
 def consolidate_first(

@@ -19,7 +19,6 @@ def prefix_sum(
     value: Column,
     name: str,
     bucket: Column | None = None,
-    buckets_at_most: int = 0,
     total: str | None = None,
 ) -> DataFrame:
     """Running sum of `value` per key in `order`, current row included; `total` names an
@@ -46,8 +45,6 @@ def prefix_sum(
         F.coalesce(F.sum("_total").over(outer), F.lit(0)).alias("_offset"),
         F.sum("_total").over(Window.partitionBy(*keys)).alias("_all"),
     )
-    if 0 < buckets_at_most <= 100_000 and not keys:
-        offsets = F.broadcast(offsets)  # at most `buckets_at_most` rows
     return (
         marked.join(offsets, _keys_match(marked, offsets, [*keys, "_bucket"]), "left")
         .withColumn(name, F.sum("_value").over(inner) + F.coalesce(F.col("_offset"), F.lit(0)))
@@ -69,19 +66,19 @@ def running_total(
     """
     exact = F.col(value).cast("decimal(28,2)")
     by_year = F.year(date) if not keys else None
-    out = prefix_sum(df, keys, [date], exact, name, by_year, 10_000)
+    out = prefix_sum(df, keys, [date], exact, name, by_year)
     return out.withColumn(name, F.round(F.col(name), 2).cast("double"))
 
 
 def batch_rows(
-    df: DataFrame, order: list[str], size: int, name: str = "batch", buckets: int = 4096
+    df: DataFrame, order: list[str], size: int, name: str = "batch", per_bucket: int = 1 << 16
 ) -> DataFrame:
     """Number rows into consecutive batches of exactly `size` (the last may be short).
 
-    Numbering runs per hash bucket of the (unique) order columns and adds the counts of
-    earlier buckets, at most `buckets` of them.
+    Numbering runs per hash bucket of the (unique) order columns and adds the counts of earlier
+    buckets. The number of buckets follows from the number of rows, about `per_bucket` in each.
     """
     text = F.concat_ws("|", *[F.col(c).cast("string") for c in order])
-    bucket = F.pmod(F.crc32(text.cast("binary")), F.lit(buckets))
-    numbered = prefix_sum(df, [], order, F.lit(1).cast("bigint"), "_n", bucket, buckets)
+    buckets = df.select(F.greatest(F.lit(1), F.ceil(F.count("*") / per_bucket)).cast("bigint")).scalar()
+    numbered = prefix_sum(df, [], order, F.lit(1).cast("bigint"), "_n", F.pmod(F.xxhash64(text), buckets))
     return numbered.withColumn(name, F.floor((F.col("_n") - 1) / size).cast("bigint")).drop("_n")

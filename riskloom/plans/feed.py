@@ -41,21 +41,16 @@ COLUMNS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Share out a scan that yields fewer tasks than there are cores (one small file).
-
-    Inputs of any size have more tasks than cores and pass through without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """One input table. A session that works on a single small file (a bench on one machine) may ask
+    for its rows in `riskloom.scan.partitions` parts; on a cluster the setting is absent."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    parts = spark.conf.get("riskloom.scan.partitions", None)
+    return rows.repartition(int(parts)) if parts else rows
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Record-shaped rows with severity."""
-    lines = spread(table(spark, sf_dir, "lineitem"))
+    lines = table(spark, sf_dir, "lineitem")
     df = lines.selectExpr(*[f"{text} AS {name}" for name, text in COLUMNS.items()])
     return df.withColumn("severity", severity("cvssScore", missing=""))
 

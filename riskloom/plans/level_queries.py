@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from riskloom.functions import fixed
 from riskloom.operators import exposure, running, thresholds
 from riskloom.plans import check_sql as sql, feed
+from riskloom.sources.staged import stored
 from riskloom.plans.registry import add, flat
 
 def _as_of():
@@ -26,14 +27,14 @@ def _trailing(spark: SparkSession, sf_dir: str, months: int, level: str) -> Data
 def _running(spark: SparkSession, sf_dir: str, level: str) -> DataFrame:
     daily = exposure.level_table(feed.enriched(spark, sf_dir), "daily", level)
     if level == "global":
-        daily = daily.checkpoint()  # read twice below; one row per day
+        daily = stored(daily, "daily")  # read twice below; one row per day
     return flat(running.running_total(daily, exposure.LEVEL_KEYS[level], "date_published"))
 
 
 def _indexes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Index of all levels, kept in the shared folder since thresholds read it several times
     (in the pipeline the level tables are written tables)."""
-    return exposure.index_by_level(feed.enriched(spark, sf_dir)).checkpoint()
+    return stored(exposure.index_by_level(feed.enriched(spark, sf_dir)), "levels")
 
 
 def _union_levels(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,7 +41,7 @@ def add_columns(name: str, table: str, keep: str, columns: dict[str, Column | Ca
     """
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        source = feed.records(spark, sf_dir) if table == "records" else feed.spread(feed.table(spark, sf_dir, table))
+        source = feed.records(spark, sf_dir) if table == "records" else feed.table(spark, sf_dir, table)
         made = [c().alias(n) for n, c in columns.items()]
         return flat(source.select(*keep.split(), *made))
 

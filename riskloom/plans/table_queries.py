@@ -10,6 +10,7 @@ from riskloom.functions import fixed, text
 from riskloom.operators import exposure, history, joins, keys, maps, quality, running, serving
 from riskloom.plans import check_sql as sql, feed
 from riskloom.plans.registry import add, flat
+from riskloom.sources.staged import stored
 
 KEY = fixed.RECORD_KEY
 SLIM = "vendor product cveId datePublished lastModified cvssScore flag orderKey line price".split()
@@ -79,12 +80,15 @@ add(
 
 
 def _split(spark, sf_dir):
-    return flat(keys.mark_duplicates(slim(spark, sf_dir), KEY))
+    """A share that only some keys reach, so that both ways of the join carry rows."""
+    rows = stored(slim(spark, sf_dir).withColumn("vendor", F.expr("nullif(vendor, 'V3')")), "rows")
+    return flat(keys.mark_duplicates(rows, KEY, share=2.5e-4))
 
 
 add(
     "jn3_split_duplicates", _split,
-    f"WITH {SLIM_SQL} SELECT {SHOW}, count(*) OVER (PARTITION BY vendor, product, cveId) > 1 AS repeated FROM slim",
+    f"WITH {SLIM_SQL}, x AS (SELECT * REPLACE (nullif(vendor, 'V3') AS vendor) FROM slim) SELECT {SHOW}, "
+    "count(*) OVER (PARTITION BY vendor, product, cveId) > 1 AS repeated FROM x",
 )
 add(
     "exp16_risk_flags",
@@ -149,13 +153,15 @@ add(
 add(
     "agg1_collect_distinct",
     lambda s, d: keys.collect_distinct(
-        slim(s, d).selectExpr("cveId", "array(flag, vendor) AS marks", "array('L' || line) AS lines"),
+        slim(s, d).selectExpr(
+            "nullif(cveId, 'CVE-1995-3') AS cveId", "IF(line = 1, NULL, IF(line > 4, array(), array(flag, vendor))) AS marks", "array('L' || line) AS lines"),
         ["cveId"], {"marks": "marks", "lines": "lines"},
     ).select("cveId", F.array_join("marks", ",").alias("marks"), F.array_join("lines", ",").alias("lines")),
-    f"WITH {SLIM_SQL}, m AS (SELECT DISTINCT cveId, unnest([flag, vendor]) AS x FROM slim), "
+    f"WITH {SLIM_SQL}, k AS (SELECT * REPLACE (nullif(cveId, 'CVE-1995-3') AS cveId) FROM slim), "
+    "m AS (SELECT DISTINCT cveId, unnest([flag, vendor]) AS x FROM k WHERE line BETWEEN 2 AND 4), "
     "a AS (SELECT cveId, string_agg(x, ',' ORDER BY x) AS marks FROM m GROUP BY cveId), "
-    "b AS (SELECT cveId, string_agg(DISTINCT 'L' || line, ',' ORDER BY 'L' || line) AS lines FROM slim GROUP BY cveId) "
-    "SELECT cveId, marks, lines FROM a JOIN b USING (cveId)",
+    "b AS (SELECT cveId, string_agg(DISTINCT 'L' || line, ',' ORDER BY 'L' || line) AS lines FROM k GROUP BY cveId) "
+    "SELECT b.cveId, coalesce(marks, '') AS marks, lines FROM b LEFT JOIN a ON a.cveId IS NOT DISTINCT FROM b.cveId",
 )
 add(
     "agg3_consolidate_first",
@@ -208,7 +214,7 @@ add(
 
 
 def _search(spark, sf_dir):
-    requests = feed.table(spark, sf_dir, "supplier").where("s_acctbal < 5000").selectExpr(
+    requests = feed.table(spark, sf_dir, "supplier").selectExpr(
         "'V' || (s_suppkey % 20) AS vendor", "'P' || (s_nationkey % 12) AS product")
     nvd, cl = slim(spark, sf_dir, OLD), slim(spark, sf_dir, NEW)
     docs = {
@@ -216,14 +222,14 @@ def _search(spark, sf_dir):
         "cvelist": latest(cl.where("line <> 2"), ["cveId"]).select("cveId", "cvssScore", "orderKey"),
     }
     # Maps and documents are written tables in the pipeline.
-    stored = {n: df.select(*KEY).distinct().checkpoint() for n, df in (("nvd", nvd), ("cvelist", cl))}
-    return joins.search(requests, stored, {n: df.checkpoint() for n, df in docs.items()})
+    edges = {n: stored(df.select(*KEY).distinct(), "map") for n, df in (("nvd", nvd), ("cvelist", cl))}
+    return joins.search(requests, edges, {n: stored(df, "documents") for n, df in docs.items()})
 
 
 add(
     "jn11_search", _search,
     f"WITH {SLIM_SQL}, req AS (SELECT DISTINCT 'V' || (s_suppkey % 20) AS vendor, 'P' || (s_nationkey % 12) AS product "
-    f"FROM supplier WHERE s_acctbal < 5000), nd AS {_latest_sql(OLD, ['cveId'])}, "
+    f"FROM supplier), nd AS {_latest_sql(OLD, ['cveId'])}, "
     f"cd AS {_latest_sql(NEW + ' AND line <> 2', ['cveId'])} "
     "SELECT vendor, product, cveId, nd.cvssScore, nd.orderKey, 'nvd' AS source FROM "
     f"(SELECT DISTINCT vendor, product, cveId FROM slim WHERE {OLD}) JOIN req USING (vendor, product) "
@@ -300,8 +306,8 @@ add(
 
 # --- vendor/product maps ------------------------------------------------------------------
 _RAW_V = "CASE WHEN line = 1 THEN ' ' || vendor || ' ' WHEN line = 2 THEN lower(vendor) WHEN vendor = 'V7' THEN 'N/A' ELSE vendor END"
-_NEW_B = "datePublished < TIMESTAMP '2001-01-01 00:00:00' AND NOT (flag = 'N' AND line = 1 AND vendor = 'V4')"
-_OLD_B = "datePublished < TIMESTAMP '2000-12-20 00:00:00'"
+# Two builds of the map: one from either half of the rows.
+_NEW_B, _OLD_B = "status = 'O'", "status = 'F'"
 
 
 def edges(spark, sf_dir, where="true"):
@@ -325,16 +331,15 @@ add(
 )
 add(
     "agg17_packed_map",
-    lambda s, d: maps.pack(edges(s, d).checkpoint(), 100).groupBy("vendor", "product").agg(
-        F.sum(F.size("cves")).alias("cve_count"), F.count("*").alias("parts"), F.min("cves").getItem(0).alias("first_cve")),
-    MAP_SQL + " SELECT vendor, product, count(*) AS cve_count, CAST(ceil(count(*) / 100) AS BIGINT) AS parts, min(cveId) AS first_cve FROM e GROUP BY ALL",
+    lambda s, d: maps.pack(stored(edges(s, d), "edges"), 100).select("vendor", "product", F.explode("cves").alias("cveId")),
+    MAP_SQL + " SELECT vendor, product, cveId FROM e",
 )
 def _meta(spark, sf_dir):
     def build(where, day):
         return maps.build_meta(edges(spark, sf_dir, where), "nvd_ts", F.lit(day).cast("timestamp"))
 
-    known = build(_OLD_B, "2000-12-20").checkpoint()  # meta tables are written tables
-    new = build(_NEW_B, "2001-01-01").unionByName(build("true", "2000-12-20")).checkpoint()
+    known = stored(build(_OLD_B, "2000-12-20"), "meta")  # meta tables are written tables
+    new = stored(build(_NEW_B, "2001-01-01").unionByName(build("true", "2000-12-20")), "meta")
     return flat(maps.record_build(known, new))
 
 
@@ -375,15 +380,15 @@ def _diff(spark, sf_dir):
         raw = feed.records(spark, sf_dir).where(where).selectExpr(f"{_RAW_V} AS v", "product", "cveId", "status AS source")
         return maps.build_map(raw, "v", "product", "cveId", ["source"])
 
-    modified = feed.records(spark, sf_dir).where("line = 5 AND flag = 'R' AND price < 2000").select("cveId")
-    return maps.diff_builds(build(_NEW_B).checkpoint(), build(_OLD_B), modified)  # a written build
+    modified = feed.records(spark, sf_dir).where("line = 5").select("cveId")
+    return maps.diff_builds(stored(build(_NEW_B), "build"), build(_OLD_B), modified)  # a written build
 
 
 _DIFF_SQL = (
     f"WITH {sql.RECORDS}, n AS {_edges_sql(_NEW_B, ', status')}, o AS {_edges_sql(_OLD_B, ', status')} "
     "SELECT vendor, product FROM n ANTI JOIN o USING (vendor, product, cveId, status) UNION "
     "SELECT vendor, product FROM o ANTI JOIN n USING (vendor, product, cveId, status) UNION "
-    "SELECT vendor, product FROM n WHERE cveId IN (SELECT cveId FROM records WHERE line = 5 AND flag = 'R' AND price < 2000)"
+    "SELECT vendor, product FROM n WHERE cveId IN (SELECT cveId FROM records WHERE line = 5)"
 )
 add("cdc1_diff_builds", _diff, _DIFF_SQL)
 add(
@@ -398,14 +403,19 @@ add(
 
 
 def _batches(spark, sf_dir):
-    rows = slim(spark, sf_dir).select(*KEY).distinct().checkpoint()  # read twice while numbering
-    return running.batch_rows(rows, KEY, fixed.BATCH_SIZE).groupBy("batch").agg(F.count("*").alias("rows"), F.count_distinct(*KEY).alias("keys"))
+    """Every key with the size of its batch, and whether it is in one batch only."""
+    rows = stored(slim(spark, sf_dir).select(*KEY).distinct(), "keys")  # read again while numbering
+    numbered = stored(running.batch_rows(rows, KEY, fixed.BATCH_SIZE, per_bucket=1000), "batches")
+    sizes = numbered.groupBy("batch").agg(F.count("*").alias("rows"))
+    full = sizes.agg(F.count_if(F.col("rows") == fixed.BATCH_SIZE).alias("full_batches"), F.count("*").alias("batches"))
+    own = numbered.groupBy(*KEY).agg(F.count("*").alias("found"))
+    return own.crossJoin(F.broadcast(full))  # one row
 
 
 add(
     "win4_batch_rows", _batches,
-    f"WITH {SLIM_SQL}, k AS (SELECT DISTINCT vendor, product, cveId FROM slim), r AS (SELECT row_number() OVER () - 1 AS i FROM k) "
-    "SELECT CAST(i // 10 AS BIGINT) AS batch, count(*) AS rows, count(*) AS keys FROM r GROUP BY ALL",
+    f"WITH {SLIM_SQL}, k AS (SELECT DISTINCT vendor, product, cveId FROM slim), n AS (SELECT count(*) AS n FROM k) "
+    "SELECT k.*, 1::BIGINT AS found, CAST(n // 10 AS BIGINT) AS full_batches, CAST(ceil(n / 10) AS BIGINT) AS batches FROM k, n",
 )
 
 # --- history and merges -------------------------------------------------------------------
@@ -420,6 +430,20 @@ def master(spark, sf_dir) -> DataFrame:
     return current.unionByName(closed)
 
 
+def whole_master(spark, sf_dir) -> DataFrame:
+    """History from all rows: the newest of each key is current, the others are closed."""
+    rows = slim(spark, sf_dir).withColumn("validFrom", F.col("datePublished"))
+    ranked = rows.withColumn("currentFlag", F.expr(
+        "row_number() OVER (PARTITION BY vendor, product, cveId ORDER BY lastModified DESC NULLS LAST, "
+        + ", ".join(f"{c} ASC NULLS LAST" for c in DATA if c != "lastModified") + ") = 1"))
+    return ranked.selectExpr(*SLIM, "validFrom", "IF(currentFlag, NULL, datePublished + INTERVAL '9' DAY) AS validTo", "currentFlag")
+
+
+_WHOLE_SQL = (
+    f"WITH {SLIM_SQL}, m AS (SELECT *, datePublished AS validFrom, CASE WHEN currentFlag THEN NULL ELSE datePublished + INTERVAL '9' DAY END AS validTo "
+    "FROM (SELECT *, row_number() OVER (PARTITION BY vendor, product, cveId ORDER BY lastModified DESC NULLS LAST, "
+    + ", ".join(f"{c} ASC NULLS LAST" for c in DATA if c != "lastModified") + ") = 1 AS currentFlag FROM slim))"
+)
 _MASTER_SQL = (
     f"WITH {SLIM_SQL}, s AS {_latest_sql(NEW)}, c AS (SELECT *, datePublished AS validFrom, NULL::TIMESTAMP AS validTo, true AS currentFlag "
     f"FROM {_latest_sql(_CUR)}), h AS (SELECT {', '.join(SLIM)}, datePublished AS validFrom, datePublished + INTERVAL '9' DAY AS validTo, "
@@ -473,10 +497,10 @@ _WM = "TIMESTAMP '2000-06-01 00:00:00'"
 
 
 def _sync(spark, sf_dir):
-    stored = master(spark, sf_dir).checkpoint()  # master and warehouse table are written tables
+    known = stored(master(spark, sf_dir), "master")  # master and warehouse table are written tables
     stamp = F.lit(RUN_TS).cast("timestamp_ntz")
-    merged = history.scd2_merge(stored, slim(spark, sf_dir, NEW), KEY, stamp).checkpoint()
-    before = history.sync_full(stored.where("validFrom <= TIMESTAMP_NTZ '2000-06-01 00:00:00'"))
+    merged = stored(history.scd2_merge(known, slim(spark, sf_dir, NEW), KEY, stamp), "master")
+    before = history.sync_full(known.where("validFrom <= TIMESTAMP_NTZ '2000-06-01 00:00:00'"))
     return flat(history.sync_incremental(before, merged, history.next_watermark(before, stamp)))
 
 
@@ -493,9 +517,29 @@ add(
 )
 add(
     "cdc5_sync_full",
-    lambda s, d: flat(history.sync_full(master(s, d))),
-    _MASTER_SQL + f" SELECT {SHOW}, {_VALID} FROM m WHERE currentFlag",
+    lambda s, d: flat(history.sync_full(whole_master(s, d))),
+    _WHOLE_SQL + f" SELECT {SHOW}, {_VALID} FROM m WHERE currentFlag",
 )
+_LONG = "CASE WHEN line = 2 THEN repeat('x', 1024) || vendor ELSE vendor END"
+
+
+def _long_keys(spark, sf_dir, mode):
+    """Vendors that differ only behind the width of their column: rejected, not merged, either way."""
+    known = stored(whole_master(spark, sf_dir).withColumn("vendor", F.expr(_LONG)), "master")
+    if mode == "full":
+        held = history.sync_full(known)
+    else:
+        before = history.sync_full(known.where("validFrom <= TIMESTAMP_NTZ '2000-06-01 00:00:00'"))
+        held = history.sync_incremental(before, known.where("currentFlag"), history.next_watermark(before))
+    rejects = history.sync_rejects(known)
+    return flat(held.withColumn("held", F.lit(True)).unionByName(rejects.withColumn("held", F.lit(False))))
+
+
+for _mode in ("full", "incremental"):
+    add(
+        f"cdc5_long_keys_{_mode}", partial(_long_keys, mode=_mode),
+        _WHOLE_SQL + f", l AS (SELECT * REPLACE ({_LONG} AS vendor) FROM m) SELECT {SHOW}, {_VALID}, line <> 2 AS held FROM l WHERE currentFlag",
+    )
 add(
     "cdc6_refresh_lookup",
     lambda s, d: flat(history.refresh_lookup(target(s, d), source(s, d).withColumn("extra", F.lit(1)))),
@@ -503,8 +547,8 @@ add(
 )
 add(
     "cdc8_advance_watermark",
-    lambda s, d: flat(history.next_watermark(master(s, d).where("validFrom < TIMESTAMP_NTZ '2000-06-01 00:00:00'"), F.lit(RUN_TS).cast("timestamp_ntz"))),
-    _MASTER_SQL + f" SELECT max(validFrom)::VARCHAR AS last_run_ts FROM m WHERE validFrom < {_WM}",
+    lambda s, d: flat(history.next_watermark(whole_master(s, d), F.lit(RUN_TS).cast("timestamp_ntz"))),
+    _WHOLE_SQL + " SELECT max(validFrom)::VARCHAR AS last_run_ts FROM m",
 )
 
 
@@ -513,10 +557,8 @@ def _levels_after(spark, sf_dir, grain, level):
     rows = feed.enriched(spark, sf_dir)
     cols = [*KEY, "datePublished", "lastModified", "severity", "weighted_score", *fixed.RISK_FLAGS, "flag", "orderKey", "line", "price"]
     # Lookup, updates and level tables are written tables in the pipeline.
-    old = keys.latest_per_key(rows.where(OLD).select(*cols), KEY, ["lastModified"]).checkpoint()
-    updates = keys.latest_per_key(
-        rows.where(f"{NEW} AND line IN (5, 7) AND price < 5000").select(*cols), KEY, ["lastModified"]
-    ).checkpoint()
+    old = stored(keys.latest_per_key(rows.where(OLD).select(*cols), KEY, ["lastModified"]), "lookup")
+    updates = stored(keys.latest_per_key(rows.where(NEW).select(*cols), KEY, ["lastModified"]), "updates")
     lookup = history.refresh_lookup(old, updates)
     replaced = old.join(keys.key_set(updates, KEY), KEY, "left_semi")
     touched = exposure.touched_grains(grain, updates, replaced)
@@ -536,7 +578,7 @@ def _after_sql(grain: str, level: str) -> str:
         )
 
     return (
-        f"WITH {sql.ENRICHED}, a AS {newest(OLD)}, b AS {newest(f'{NEW} AND line IN (5, 7) AND price < 5000')}, "
+        f"WITH {sql.ENRICHED}, a AS {newest(OLD)}, b AS {newest(NEW)}, "
         "z AS (SELECT * FROM b UNION ALL SELECT * FROM a ANTI JOIN b USING (vendor, product, cveId)) "
         + sql.level_select(grain, level, source="z")
     )
@@ -553,16 +595,16 @@ add(
 )
 add(
     "src4_read_current",
-    lambda s, d: flat(history.read_current(master(s, d))),
-    _MASTER_SQL + f" SELECT {SHOW}, {_VALID}, year(datePublished)::INTEGER AS year_published, datePublished::DATE::VARCHAR AS date_published FROM m WHERE currentFlag",
+    lambda s, d: flat(history.read_current(whole_master(s, d))),
+    _WHOLE_SQL + f" SELECT {SHOW}, {_VALID}, year(datePublished)::INTEGER AS year_published, datePublished::DATE::VARCHAR AS date_published FROM m WHERE currentFlag",
 )
 add(
     "src8_upsert_documents",
     lambda s, d: joins.upsert_documents(
-        feed.table(s, d, "documents").where("lang <> 'de'").select("doc_id", "lang", "n_chars"),
-        feed.table(s, d, "documents").where("n_chars % 3 = 0").selectExpr("doc_id", "upper(lang) AS lang", "n_chars + 1 AS n_chars"),
+        feed.table(s, d, "documents").where("lang <> 'de'"),
+        feed.table(s, d, "documents").where("n_chars % 3 = 0").selectExpr("doc_id", "'new: ' || text AS text", "upper(lang) AS lang", "source", "n_chars + 1 AS n_chars"),
         "doc_id", ["n_chars"]),
-    "SELECT doc_id, CASE WHEN n_chars % 3 = 0 THEN upper(lang) ELSE lang END AS lang, CASE WHEN n_chars % 3 = 0 THEN n_chars + 1 ELSE n_chars END AS n_chars "
+    "SELECT doc_id, CASE WHEN n_chars % 3 = 0 THEN 'new: ' || text ELSE text END AS text, source, CASE WHEN n_chars % 3 = 0 THEN upper(lang) ELSE lang END AS lang, CASE WHEN n_chars % 3 = 0 THEN n_chars + 1 ELSE n_chars END AS n_chars "
     "FROM documents WHERE lang <> 'de' OR n_chars % 3 = 0",
 )
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -27,18 +26,24 @@ def build_session(app: str = "riskloom", **conf: str) -> SparkSession:
 
 
 def ensure_shared_folder(spark: SparkSession) -> None:
-    """Checkpoint folder: the one the cluster names in `spark.checkpoint.dir`. Only a local
-    session without that setting (a test) gets a temporary one."""
+    """Checkpoint folder: the one the cluster names in `spark.checkpoint.dir`, a folder that driver
+    and executors share."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
-        if not named and not context.master.startswith("local"):
+        if not named:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="riskloom-"))
+        context.setCheckpointDir(named)
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A fresh path below the shared folder."""
+    """A fresh path below the shared folder, in a folder of the application that is removed when its
+    JVM ends."""
     ensure_shared_folder(spark)
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return "/".join([base.rstrip("/"), "riskloom", *parts, uuid.uuid4().hex])
+    own = "/".join([base.rstrip("/"), "riskloom", spark.sparkContext.applicationId])
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(own)
+    files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(hadoop)
+    files.deleteOnExit(hadoop)
+    return "/".join([own, *parts, uuid.uuid4().hex])

@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="6g",
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")
     ensure_shared_folder(session)

@@ -1,7 +1,8 @@
-"""History table stored in two parts: current rows (versioned) and closed rows (append only).
+"""History table stored in parts: current rows by a bucket of their key, closed rows by run.
 
-A merge rewrites the current part and appends the rows it closed; the closed history,
-most of the table, is neither read nor rewritten.
+A merge reads and writes only the buckets that hold keys of the batch and adds the rows it closed
+as a part of its own; the closed history, most of the table, is neither read nor rewritten. Both
+count from one manifest on, so a merge happens whole or not at all.
 """
 
 from __future__ import annotations
@@ -11,49 +12,48 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from riskloom.functions import fixed
 from riskloom.operators.history import scd2_changes
 from riskloom.operators.keys import latest_per_key
-from riskloom.sources import paths, sinks
+from riskloom.sources import parts
+from riskloom.sources.parts import PART
+from riskloom.sources.staged import stored
 
+#: Buckets within each year of record ids.
+BUCKETS = 8
 
-def _year(df: DataFrame) -> DataFrame:
-    return df.withColumn("year_published", F.coalesce(F.year("datePublished"), F.lit(0)))
+
+def bucket_of(keys: list[str]) -> Column:
+    """Year in the record id and hash of the key: batches mostly hold ids of few years."""
+    year = F.regexp_extract(F.coalesce("cveId", F.lit("")), r"-(\d{4})-", 1) if "cveId" in keys else F.lit("")
+    return F.concat_ws("-", F.when(year == "", "0").otherwise(year), F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("string")).alias(PART)
 
 
 def read_master(spark: SparkSession, root: str) -> DataFrame:
     """The whole history: current and closed rows."""
-    current = sinks.read_version(spark, f"{root}/current")
-    if not paths.exists(spark, f"{root}/closed"):
-        return current.drop("year_published")
-    # A closed folder counts once the current version of the same run (or a later one) exists.
-    done = sinks.versions(spark, f"{root}/current")[-1]
-    closed = spark.read.parquet(f"{root}/closed").where(F.col("run") <= done)
-    return current.unionByName(closed.drop("run")).drop("year_published")
+    manifest = parts.current(spark, root)
+    whole = parts.read(spark, root, manifest, "current").drop(PART)
+    if "closed" not in manifest.tables:
+        return whole
+    return whole.unionByName(parts.read(spark, root, manifest, "closed").drop(PART))
 
 
 def merge_into(
     spark: SparkSession, root: str, source: DataFrame, run_ts: Column, keys: list[str] = fixed.RECORD_KEY
 ) -> str:
-    """Merge new master rows into the stored history; returns the new version.
-
-    Closed rows go to a folder named after the version that makes them valid, so a repeated
-    run overwrites its own folder and never counts twice.
-    """
-    current_root = f"{root}/current"
-    known = sinks.versions(spark, current_root)
-    version = f"v{int(known[-1][1:]) + 1 if known else 1:08d}"
-    unique = latest_per_key(source, keys, ["lastModified"])
-    if known:
-        current = sinks.read_version(spark, current_root).drop("year_published")
-        changes = scd2_changes(current, unique, keys, run_ts)
+    """Merge new master rows into the stored history; returns the run's name."""
+    old = parts.current(spark, root)
+    new = old.next()
+    unique = stored(latest_per_key(source, keys, ["lastModified"]).withColumn(PART, bucket_of(keys)), "batch")
+    touched = sorted(r[0] for r in unique.select(PART).distinct().collect())  # names of buckets
+    unique = unique.drop(PART)
+    if old.number:
+        known = parts.read(spark, root, old, "current", touched).drop(PART)
+        changes = stored(scd2_changes(known, unique, keys, run_ts), "changes")
     else:
         changes = unique.withColumns(
             {"validFrom": run_ts, "validTo": F.lit(None).cast("timestamp"), "currentFlag": F.lit(True)}
         )
-    staged = f"{root}/_staged/{version}"
-    sinks.write_table(_year(changes), staged, ["currentFlag"], mode="overwrite")
-    rows = spark.read.schema(_year(changes).schema).parquet(staged)
-    closed = rows.where(~F.col("currentFlag"))
-    if known:
-        sinks.write_table(closed, f"{root}/closed/run={version}", ["year_published"], mode="overwrite")
-    sinks.swap_table(rows.where("currentFlag"), current_root, ["year_published"], sort=keys)
-    paths.remove(spark, staged)
-    return version
+    parts.write(changes.where("currentFlag").withColumn(PART, bucket_of(keys)), root, new, "current", touched, sort=keys)
+    closed = changes.where("NOT currentFlag").withColumn(PART, F.lit(new.run))
+    if old.number:
+        parts.write(closed, root, new, "closed", [])
+    parts.commit(spark, root, new)
+    return new.run

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -34,3 +36,25 @@ def create_once(spark: SparkSession, path: str) -> None:
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
+
+
+def write_once(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole or not at all; fails when somebody else wrote it first."""
+    fs, p = _fs(spark, path)
+    part = spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}-{uuid.uuid4().hex}")
+    out = fs.create(part, False)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    if fs.exists(p) or not fs.rename(part, p):
+        fs.delete(part, False)
+        raise FileExistsError(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """Content of a small file."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()

@@ -11,6 +11,7 @@ from riskloom.operators.exposure import level_table
 from riskloom.plans import staging, store, views
 from riskloom.functions.scoring import enrich
 from riskloom.session import shared_dir
+from riskloom.sources import parts, paths
 from tests.conftest import rows
 
 KEY = ["k"]
@@ -74,9 +75,9 @@ def test_merge_changed(target, source):
 
 def test_sync_matches_full(target, source):
     merged = history.scd2_merge(target, source, KEY, ts(20))
-    before = history.sync_full(target)
+    before = history.sync_full(target, KEY)
     after = history.sync_incremental(before, merged, history.next_watermark(before), KEY)
-    assert rows(after.where("currentFlag")) == rows(history.sync_full(merged))
+    assert rows(after.where("currentFlag")) == rows(history.sync_full(merged, KEY))
     assert rows(history.next_watermark(after)) == [(at(20),)]
     empty = history.next_watermark(target.where("false"))
     assert rows(empty) == [(dt.datetime(1970, 1, 1),)]
@@ -123,6 +124,52 @@ def test_store_keeps_history(spark):
     assert rows(whole.select(*expect.columns)) == rows(expect)
 
 
+def test_merge_leaves_other_buckets_alone(spark):
+    root = shared_dir(spark, "test-store")
+    store.merge_into(spark, root, master_source(spark, *FIRST, ("v9", "p", "CVE-1999-1", 1.0, D(1999, 1, 1), D(1999, 1, 1))), ts(1))
+    store.merge_into(spark, root, master_source(spark, ("v9", "p", "CVE-1999-1", 2.0, D(1999, 1, 1), D(2000, 1, 1))), ts(2))
+    first, second = parts.Manifest(1).run, parts.current(spark, root)
+    written = {p for p, run in second.tables["current"].items() if run != first}
+    assert len(written) == 1 and next(iter(written)).startswith("1999-")
+    assert second.tables["closed"] == {second.run: second.run}
+
+
+def test_lost_merge_changes_nothing(spark, monkeypatch):
+    root = shared_dir(spark, "test-store")
+    store.merge_into(spark, root, master_source(spark, *FIRST), ts(1))
+    before = rows(store.read_master(spark, root))
+    with monkeypatch.context() as m:
+        m.setattr(parts, "commit", lambda *a, **b: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            store.merge_into(spark, root, master_source(spark, *SECOND), ts(2))
+    assert rows(store.read_master(spark, root)) == before
+    store.merge_into(spark, root, master_source(spark, *SECOND), ts(2))
+    assert store.read_master(spark, root).where("NOT currentFlag").count() == 3
+
+
+def test_two_runs_cannot_commit_the_same_number(spark):
+    root = shared_dir(spark, "test-parts")
+    for _ in range(2):
+        made = parts.Manifest().next()
+        parts.write(spark.range(3).withColumn("part", F.lit("all")), root, made, "t")
+        if parts.current(spark, root).number:
+            with pytest.raises(FileExistsError):
+                parts.commit(spark, root, made)
+        else:
+            parts.commit(spark, root, made)
+
+
+def test_old_folders_go(spark):
+    root = shared_dir(spark, "test-parts")
+    for n in range(6):
+        made = parts.current(spark, root).next()
+        parts.write(spark.range(n).withColumn("part", F.lit("all")), root, made, "t")
+        parts.write(spark.range(1).withColumn("part", F.lit(f"p{n}")), root, made, "kept", [])
+        parts.commit(spark, root, made)
+    assert len([p for r in paths.child_names(spark, f"{root}/data/table=t") for p in paths.child_names(spark, f"{root}/data/table=t/{r}") if p.startswith("part=")]) == 3
+    assert parts.read(spark, root, parts.current(spark, root), "kept").count() == 6
+
+
 @pytest.fixture(scope="module")
 def built(spark):
     """Views refreshed incrementally, and the same state built from scratch."""
@@ -131,6 +178,22 @@ def built(spark):
     as_of = dt.date(2023, 8, 1)
     step, full = shared_dir(spark, "test-views"), shared_dir(spark, "test-views")
     views.run(one, step, "backfill", as_of, at(2))
+    # A run that is lost after any of its tables is written changes nothing, and can be repeated.
+    for lost in ("lookup", "scored", "daily_vendor", "yearly_global", "exposure_index_thresholds"):
+        write, seen = parts.write, parts.current(spark, step).number
+
+        def broken(df, root, manifest, table, *a, **b):
+            write(df, root, manifest, table, *a, **b)
+            if table == lost:
+                raise RuntimeError("lost")
+
+        parts.write = broken
+        try:
+            with pytest.raises(RuntimeError, match="lost"):
+                views.run(two, step, "incremental", as_of, at(4))
+        finally:
+            parts.write = write
+        assert parts.current(spark, step).number == seen
     views.run(two, step, "incremental", as_of, at(4))
     views.run(two, step, "incremental", as_of, at(4))
     views.run(two, full, "backfill", as_of, at(4))
@@ -151,6 +214,24 @@ def test_year_without_rows_is_dropped(spark, built):
     assert rows(views.read_view(spark, built[0], "yearly_global"), "year_published") == [(2020,), (2022,), (2023,), (None,)]
 
 
+def test_untouched_months_stay_and_trailing_scans_are_pruned(spark, built):
+    manifest = parts.current(spark, built[0])
+    assert manifest.tables["lookup"]["2022-05"] != manifest.tables["lookup"]["2023-05"] or manifest.number > 2
+    plan = views.trailing_rows(spark, built[0], manifest, 1, dt.date(2023, 8, 1))._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(part" in plan and "2023-07" in plan
+
+
+def test_refresh_refuses_to_lose_rows(spark, built, monkeypatch):
+    root = shared_dir(spark, "test-views")
+    one = history.scd2_merge(staging.empty_master(master_source(spark, *FIRST)), master_source(spark, *FIRST), fixed.RECORD_KEY, ts(1))
+    views.run(one, root, "backfill", dt.date(2023, 8, 1), at(2))
+    broken = parts.current(spark, root).next()
+    broken.tables["lookup"].pop("2021-01")
+    parts.commit(spark, root, broken)
+    with pytest.raises(ValueError, match="nothing was committed"):
+        views.run(one, root, "incremental", dt.date(2023, 8, 1), at(4))
+
+
 def test_moved_record_leaves_no_old_day(spark, built):
     days = [str(r[0]) for r in rows(views.read_view(spark, built[0], "daily_vendor").where("vendor = 'V2'"), "date_published")]
     assert days == ["2022-05-01", "2022-07-01"]

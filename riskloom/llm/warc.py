@@ -223,7 +223,8 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                 if rows:
                     yield _batch(rows)
 
-    files = spark.read.parquet(f"{folder}/manifest").select("file").repartition("file")
+    files = spark.read.parquet(f"{folder}/manifest").select("file")
+    files = files.repartition(max(1, files.count()), "file")
     return files.mapInArrow(run, "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, html string, file string")
 
 

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskloom.plans import check_sql as sql, feed, staging
 from riskloom.plans.expression_queries import _CNA, _NVD
 from riskloom.plans.registry import add, flat
+from riskloom.functions import fixed
+from riskloom.sources import parts
+from riskloom.sources.staged import stored
 from riskloom.session import shared_dir
 from riskloom.sources import feeds, records, sinks
 from riskloom.streaming import epss, kev, messages
@@ -150,16 +155,27 @@ add(
 )
 
 
+def _orders(spark, sf_dir, where="true"):
+    return feed.table(spark, sf_dir, "orders").where(where).select("o_orderkey", "o_orderstatus", "o_orderpriority")
+
+
+_ORDERS_SQL = "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders"
+
+
 def _compacted(spark, sf_dir):
+    """Orders in parts by status; those written in several small files are rewritten."""
     root = shared_dir(spark, "compact")
-    sinks.swap_table(feed.table(spark, sf_dir, "orders").repartition(40), root)
-    failed = sinks.compact(spark, {root: []})
-    if failed:
-        raise RuntimeError(str(failed))
-    return sinks.read_version(spark, root).groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+    made = parts.current(spark, root).next()
+    rows = _orders(spark, sf_dir).withColumn("part", F.col("o_orderstatus"))
+    parts.write(rows.where("part = 'F'"), root, made, "orders")
+    parts.write(rows.where("part <> 'F'"), root, made, "orders", [], files=12)
+    parts.commit(spark, root, made)
+    if {p for _, p in parts.compact(spark, root)} != {"O", "P"}:
+        raise RuntimeError("only parts in small files are rewritten")
+    return parts.read(spark, root, parts.current(spark, root), "orders").drop("part")
 
 
-add("snk7_compact", _compacted, "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY ALL")
+add("snk7_compact", _compacted, _ORDERS_SQL)
 
 
 # --- streams ------------------------------------------------------------------------------
@@ -174,6 +190,28 @@ def _run(rows: DataFrame, spark: SparkSession, name: str, partitions=()) -> Data
     return spark.read.parquet(out)
 
 
+def _lists(spark, sf_dir):
+    """Four published lists: all but one group, the same, one group gone and another new, the gone one
+    back. What is new against the list before is sent."""
+    out, state = shared_dir(spark, "kev-lists"), shared_dir(spark, "kev-lists-state")
+    items = feed.table(spark, sf_dir, "events").selectExpr(
+        "user_id % 4 AS g", "'CVE-' || user_id AS cveID", "CAST(to_date(ts) AS STRING) AS dateAdded", "event_type AS product").distinct()
+    items = stored(items.groupBy("g", "cveID", "dateAdded").agg(F.min("product").alias("product")), "kev-items")
+    missing = [c for c in fixed.KEV_FIELDS if c not in items.columns]
+    items = items.withColumns({c: F.lit(None).cast("string") for c in missing})
+    for batch, where in enumerate(("g <> 1", "g <> 1", "g <> 2", "true")):
+        kev.publish_list(items.where(where).drop("g"), batch, out, state)
+    sent = spark.read.option("basePath", out).parquet(*[f"{out}/batch={b}" for b in (0, 2, 3)])
+    return sent.select("cveId", "dateAdded", "product", F.col("batch").cast("int").alias("batch"))
+
+
+add(
+    "str1_publish_list", _lists,
+    "WITH i AS (SELECT user_id % 4 AS g, 'CVE-' || user_id AS \"cveId\", ts::DATE::VARCHAR AS \"dateAdded\", min(event_type) AS product FROM events GROUP BY ALL) "
+    "SELECT * EXCLUDE g, CASE WHEN g = 1 THEN 2 ELSE 0 END AS batch FROM i UNION ALL SELECT * EXCLUDE g, 3 FROM i WHERE g = 2",
+)
+
+
 def _kev(spark, sf_dir):
     items = _events(spark, sf_dir).selectExpr("'CVE-' || user_id AS cveID", "CAST(to_date(ts) AS STRING) AS dateAdded")
     return _run(kev.kev_distinct(items), spark, "kev").select("cveID", "dateAdded", "hash")
@@ -187,7 +225,10 @@ add(
 
 def _epss(spark, sf_dir):
     raw = _events(spark, sf_dir).selectExpr("'CVE-' || event_id AS cve", "CAST(value AS STRING) AS epss", "IF(event_type = 'error', 'x', '0.5') AS percentile")
-    good, _ = feeds.epss_rows(raw, F.lit("2024-01-31").cast("date"))
+    # Two days' files in one trigger: the newer counts.
+    day = F.explode(F.array(F.lit("2024-01-30"), F.lit("2024-01-31"))).alias("day")
+    both = raw.select("*", day).withColumn("epss", F.when(F.col("day") == "2024-01-31", F.col("epss")).otherwise(F.lit("0.1")))
+    good, _ = feeds.epss_rows(both, F.col("day").cast("date"))
     out, state = shared_dir(spark, "epss"), shared_dir(spark, "epss-hash")
     epss.epss_stream(good, out, state, shared_dir(spark, "epss-state")).awaitTermination()
     return flat(sinks.read_version(spark, out))
@@ -203,8 +244,6 @@ add(
 def _typed(spark, sf_dir):
     text = _events(spark, sf_dir).selectExpr(
         "to_json(struct('CVE-' || event_id AS cveID, CAST(to_date(ts) AS STRING) AS dateAdded, event_type AS product)) AS value")
-    from riskloom.functions import fixed
-
     rows = feeds.kev_rows(feeds.json_events(text, fixed.KEV_ITEM_SCHEMA))
     return flat(_run(rows, spark, "typed", ["day"]).select("cveId", "dateAdded", "product", F.col("day").cast("date").alias("day")))
 
@@ -222,13 +261,6 @@ add(
 
 
 # --- more files ---------------------------------------------------------------------------
-def _orders(spark, sf_dir, where="true"):
-    return feed.table(spark, sf_dir, "orders").where(where).select("o_orderkey", "o_orderstatus", "o_orderpriority")
-
-
-_ORDERS_SQL = "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders"
-
-
 def _csv(spark, sf_dir):
     path = shared_dir(spark, "csv")
     rows = _orders(spark, sf_dir).withColumn("marks", F.array("o_orderstatus", "o_orderpriority"))
@@ -250,16 +282,17 @@ def _parquet(spark, sf_dir):
 add("snk4_export_parquet", _parquet, _ORDERS_SQL)
 
 
-def _new_files(spark, sf_dir):
+def _new_files(spark, sf_dir, again):
     table, out, state = (shared_dir(spark, "export-" + n) for n in ("table", "out", "state"))
     sinks.write_table(_orders(spark, sf_dir, "o_orderstatus <> 'P'"), table)
     sinks.export_new_files(spark, table, out, state, backfill=True)
     sinks.write_table(_orders(spark, sf_dir, "o_orderstatus = 'P'"), table)
-    sinks.export_new_files(spark, table, out, state, backfill=False)
+    sinks.export_new_files(spark, table, out, state, backfill=again)
     return spark.read.parquet(out)
 
 
-add("snk6_export_new_files", _new_files, _ORDERS_SQL)
+add("snk6_export_new_files", partial(_new_files, again=False), _ORDERS_SQL)
+add("snk6_repeated_backfill", partial(_new_files, again=True), _ORDERS_SQL)
 
 
 def _swapped(spark, sf_dir):
@@ -315,10 +348,14 @@ add(
 
 def _gunzip(spark, sf_dir):
     src, dst = shared_dir(spark, "zipped"), shared_dir(spark, "unzipped")
-    _orders(spark, sf_dir).repartition(6).write.option("compression", "gzip").json(src)
-    failed = records.gunzip_files(spark, src, dst).where("NOT ok").count()
-    rows = spark.read.schema("o_orderkey bigint, o_orderstatus string, o_orderpriority string").option("recursiveFileLookup", True).json(dst)
-    return rows.withColumn("failed", F.lit(failed))
+    # The same file names in one folder per status.
+    for status in "FOP":
+        chosen = _orders(spark, sf_dir, f"o_orderstatus = '{status}'").select("o_orderkey", "o_orderpriority")
+        chosen.coalesce(1).write.option("compression", "gzip").json(f"{src}/{status}")
+    done = records.gunzip_files(spark, src, dst)
+    rows = spark.read.schema("o_orderkey bigint, o_orderpriority string, file string").json(dst)
+    rows = rows.withColumn("file", F.url_decode("file")).join(done, "file")
+    return rows.select("o_orderkey", F.substring("file", 1, 1).alias("o_orderstatus"), "o_orderpriority", F.when(F.col("ok"), 0).otherwise(1).alias("failed"))
 
 
 add("src10_gunzip_files", _gunzip, _ORDERS_SQL.replace(" FROM", ", 0 AS failed FROM").replace("0 AS", "0::INTEGER AS"))

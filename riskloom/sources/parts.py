@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from riskloom.functions import fixed
 from riskloom.sources import paths
 from riskloom.sources.sinks import balanced
 
@@ -74,21 +75,51 @@ def read(spark: SparkSession, root: str, manifest: Manifest, table: str, parts:
     return rows.drop("run")
 
 
-def write(df: DataFrame, root: str, manifest: Manifest, table: str, gone: list[str] | None = None, sort: list[str] = ()) -> None:
+def write(df: DataFrame, root: str, manifest: Manifest, table: str, gone: list[str] | None = None, sort: list[str] = (), files: int | None = None) -> None:
     """Write rows (with their column `part`) as the run's parts of a table and enter them in the
-    manifest. `gone`: parts that these rows replace, with or without rows left; None: all parts."""
+    manifest. `gone`: parts that these rows replace, with or without rows left; None: all parts.
+    `files`: write each part in so many tasks' files instead of even ones. A table's parts may be
+    written by several calls of a run."""
     spark = df.sparkSession
     folder = _folder(root, table, manifest.run)
-    out = balanced(df.withColumn(PART, F.col(PART).cast("string")), PART)
+    named = df.withColumn(PART, F.col(PART).cast("string"))
+    out = named.repartition(files) if files else balanced(named, PART)
     if sort:
         out = out.sortWithinPartitions(PART, *sort)
-    out.write.mode("overwrite").partitionBy(PART).parquet(folder)
+    # The first call of a run clears what a lost attempt of it may have left.
+    again = manifest.run in manifest.tables.get(table, {}).values()
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if again else "static")
+    writer.partitionBy(PART).parquet(folder)
     made = [n.removeprefix(f"{PART}=") for n in paths.child_names(spark, folder) if n.startswith(f"{PART}=")]
     kept = {} if gone is None else {p: r for p, r in manifest.tables.get(table, {}).items() if p not in gone}
     manifest.tables[table] = kept | dict.fromkeys(made, manifest.run)
     manifest.schemas[table] = df.drop(PART).schema.json()
 
 
+def compact(spark: SparkSession, root: str, target_bytes: int = fixed.TARGET_FILE_BYTES) -> list[tuple[str, str]]:
+    """Rewrite the parts that consist of several files far below the target, and no others; returns
+    (table, part) of each. Rows are counted while they are written and must stay the same."""
+    new = current(spark, root).next()
+    done = []
+    for table, held in list(new.tables.items()):
+        small = []
+        for part, run in held.items():
+            files, size = paths.files_and_bytes(spark, _folder(root, table, run, part))
+            if files > max(1, 2 * size // target_bytes):
+                small.append(part)
+        if small:
+            before = read(spark, root, new, table, small)
+            want = before.count()
+            write(before, root, new, table, small)
+            have = read(spark, root, new, table, small).count()
+            if have != want:
+                raise ValueError(f"{table}: row count changed from {want} to {have}")
+            done += [(table, p) for p in small]
+    if done:
+        commit(spark, root, new)
+    return done
+
+
 def commit(spark: SparkSession, root: str, manifest: Manifest, keep: int = 3) -> None:
     """Make the manifest count. Fails if another run has committed meanwhile. Folders that none of the
     newest `keep` manifests names are removed."""

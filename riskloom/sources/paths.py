@@ -27,6 +27,19 @@ def total_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(p).getLength()
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system."""
+    fs, p = _fs(spark, path)
+    return fs.makeQualified(p).toString()
+
+
+def files_and_bytes(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Number and size of the data files below a folder."""
+    fs, p = _fs(spark, path)
+    sizes = [s.getLen() for s in fs.listStatus(p) if not s.getPath().getName().startswith((".", "_"))]
+    return len(sizes), sum(sizes)
+
+
 def create_once(spark: SparkSession, path: str) -> None:
     """Create an empty file; fails when somebody else created it first."""
     fs, p = _fs(spark, path)

@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-import gzip
-import zlib
-from collections.abc import Iterator
+from urllib.parse import unquote
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskloom.functions import fixed
 from riskloom.functions.text import file_name_part
-from riskloom.session import shared_dir
 from riskloom.sources import paths
+from riskloom.sources.sinks import balanced
 
 
 def _typed(df: DataFrame) -> DataFrame:
@@ -88,33 +85,23 @@ def unreadable_names(df: DataFrame) -> DataFrame:
     return df.agg(F.expr(f"count_if({bad})").alias("unreadable"))
 
 
-def _unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for path, content in zip(batch["path"], batch["content"]):
-            try:
-                rows.append((path, True, None, gzip.decompress(content).decode("utf-8").rstrip("\n")))
-            except (OSError, EOFError, UnicodeDecodeError, zlib.error) as e:
-                rows.append((path, False, str(e), None))
-        yield pd.DataFrame(rows, columns=["path", "ok", "error", "text"])
-
-
 def gunzip_files(spark: SparkSession, src: str, dst: str) -> DataFrame:
-    """Decompress `*.json.gz` below `src` to `dst/file=<name>/`; returns (path, ok, error).
+    """Decompress all `*.gz` text files below `src` to `dst/file=<path below src without .gz>/`;
+    returns one row (file, ok) for each. A file that can't be read at all is reported and the others go
+    on; lines in front of a fault inside a file are kept.
 
-    Each task handles a few files; a broken one is reported and the rest goes on. The
-    outcome is kept in the shared folder, so every file is read once.
+    Spark's text reader unpacks line by line, so a file of any size takes one task and little memory.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.json.gz")
-        .option("recursiveFileLookup", True)
-        .load(src)
-        .select("path", "content")
-    )
-    stage = shared_dir(spark, "gunzip")
-    files.mapInPandas(_unzip, "path string, ok boolean, error string, text string").write.parquet(stage)
-    done = spark.read.parquet(stage)
-    name = F.regexp_extract("path", r"([^/]+)\.gz$", 1)
-    done.where("ok").select(F.col("text").alias("value"), name.alias("file")).write.mode("overwrite").partitionBy("file").text(dst)
-    return done.select("path", "ok", "error")
+    options = {"pathGlobFilter": "*.gz", "recursiveFileLookup": True, "ignoreCorruptFiles": True}
+    root = F.lit(paths.qualified(spark, src).rstrip("/") + "/")
+
+    def name(path: Column) -> Column:
+        plain = F.regexp_replace(path, "^file:/+", "file:/")
+        below = F.substring(plain, F.length(F.regexp_replace(root, "^file:/+", "file:/")) + 1, F.length(plain))
+        return F.regexp_replace(below, r"\.gz$", "").alias("file")
+
+    lines = spark.read.options(**options).text(src).select("value", name(F.col("_metadata.file_path")))
+    balanced(lines, "file").write.mode("overwrite").partitionBy("file").text(dst)
+    listed = spark.read.format("binaryFile").options(**options).load(src).select(name(F.col("path")))
+    made = spark.createDataFrame([(unquote(n.removeprefix("file=")),) for n in paths.child_names(spark, dst) if n.startswith("file=")], "file string")
+    return listed.join(made.withColumn("ok", F.lit(True)), "file", "left").select("file", F.coalesce("ok", F.lit(False)).alias("ok"))

@@ -97,8 +97,11 @@ def export_new_files(
     """Export what was added to a parquet table since the last call.
 
     The stream checkpoint in `state` remembers exported files; a call without new files
-    writes nothing. The first call must be a backfill.
+    writes nothing. A backfill exports everything again; the first call must be one.
     """
+    if backfill:
+        paths.remove(spark, state)
+        paths.remove(spark, out)
     if not backfill and not paths.exists(spark, state):
         raise RuntimeError(f"nothing exported from {table_path} yet: run a backfill first")
     schema = spark.read.parquet(table_path).schema

@@ -58,11 +58,14 @@ def test_gunzip(spark, tmp_path):
     (src / "v").mkdir(parents=True)
     with gzip.open(src / "v" / "a.json.gz", "wt") as f:
         f.write('{"a": 1}\n{"a": 2}\n')
-    (src / "b.json.gz").write_bytes(b"not gzip")
+    (src / "w").mkdir()
+    with gzip.open(src / "w" / "a.json.gz", "wt") as f:
+        f.write('{"a": 3}\n')
+    (src / "b.json.gz").write_bytes(b"\x1f\x8b not gzip")
     done = records.gunzip_files(spark, str(src), str(dst))
-    assert [(r[0].rsplit("/", 1)[1], r[1]) for r in rows(done, "path", "ok")] == [("b.json.gz", False), ("a.json.gz", True)]
-    assert done.where("NOT ok").first().error
-    assert rows(spark.read.json(f"{dst}/file=a.json"), "a") == [(1,), (2,)]
+    assert rows(done, "file", "ok") == [("b.json", False), ("v/a.json", True), ("w/a.json", True)]
+    assert rows(spark.read.json(f"{dst}/file=v%2Fa.json"), "a") == [(1,), (2,)]
+    assert rows(spark.read.json(f"{dst}/file=w%2Fa.json"), "a") == [(3,)]
 
 
 def test_epss_reader(spark, tmp_path):

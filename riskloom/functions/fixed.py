@@ -102,8 +102,6 @@ KEV_FIELDS = [
 ]
 KEV_ITEM_SCHEMA = ", ".join(f"{c} string" for c in KEV_FIELDS)
 EPSS_RAW_SCHEMA = "cve string, epss string, percentile string"
-KEV_TOPIC = "feed.kev"
-EPSS_TOPIC = "feed.epss"
 
 # --- exposure measures (fixed values) ---------------------------------------
 SEVERITIES = ["critical", "high", "medium", "low"]

@@ -15,6 +15,8 @@ TIME_COLUMN = {
     "yearly": "year_date",
     "trailing": "window_end",
     "thresholds": "run_ts",
+    "kev_feed": "dateAdded",
+    "epss_scores": "date",
 }
 
 
@@ -23,11 +25,15 @@ def _measures(level: str) -> dict[str, str]:
 
 
 def layout(table: str) -> tuple[str, dict[str, str]]:
-    """(time column, dimension -> type) of one of the 18 serving tables.
+    """(time column, dimension -> type) of one of the 20 serving tables.
 
     Names: `lookup`, `exposure_index_thresholds`, `<grain>_<level>`,
-    `daily_<level>_running`, `trailing_<12mo|1mo>_<vendor|product>`.
+    `daily_<level>_running`, `trailing_<12mo|1mo>_<vendor|product>`, `kev_feed`, `epss_scores`.
     """
+    if table == "kev_feed":
+        return TIME_COLUMN[table], {"cveId" if c == "cveID" else c: "string" for c in fixed.KEV_FIELDS}
+    if table == "epss_scores":
+        return TIME_COLUMN[table], {"cveId": "string", "epss": "double", "percentile": "double"}
     if table == "lookup":
         kinds = {"cvssScore": "double", "impactScore": "double", "exploitabilityScore": "double", "year_published": "bigint"}
         dims = {c: kinds.get(c, "string") for c in fixed.LOOKUP_COLUMNS if c != "date_published"}
@@ -55,7 +61,7 @@ def serving_tables() -> list[str]:
     levels = [f"{g}_{lv}" for g in fixed.GRAINS for lv in fixed.LEVELS]
     running = [f"daily_{lv}_running" for lv in fixed.LEVELS]
     trailing = [f"trailing_{w}_{lv}" for w in ("12mo", "1mo") for lv in ("vendor", "product")]
-    return ["lookup", *levels, *running, *trailing, "exposure_index_thresholds"]
+    return ["lookup", *levels, *running, *trailing, "exposure_index_thresholds", "kev_feed", "epss_scores"]
 
 
 def serving_view(df: DataFrame, table: str) -> DataFrame:

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskloom.functions import fixed, text
 from riskloom.operators import exposure, history, joins, keys, maps, quality, running, serving
-from riskloom.plans import check_sql as sql, feed
-from riskloom.plans.registry import add, flat
+from riskloom.plans import check_sql as sql, feed, level_queries, store  # noqa: F401  (level tables first)
+from riskloom.plans.registry import CHECKS, QUERIES, add, flat
+from riskloom.session import shared_dir
+from riskloom.sources import sinks
 from riskloom.sources.staged import stored
 
 KEY = fixed.RECORD_KEY
@@ -610,7 +612,10 @@ add(
 
 
 def _serving(spark, sf_dir, table, make):
-    return flat(serving.serving_view(make(feed.enriched(spark, sf_dir)), table))
+    """The table in its serving layout, exported and read back."""
+    path = shared_dir(spark, "serving")
+    sinks.export_serving(make(spark, sf_dir), table, path)
+    return flat(spark.read.parquet(path))
 
 
 def _serving_sql(table: str, inner: str) -> str:
@@ -623,10 +628,47 @@ def _serving_sql(table: str, inner: str) -> str:
     )
 
 
+def _serve(table: str, make, inner: str) -> None:
+    add(f"snk5_serving_{table}", partial(_serving, table=table, make=make), _serving_sql(table, inner))
+
+
 for _g in fixed.GRAINS:
     for _lv in fixed.LEVELS:
-        add(
-            f"snk5_serving_{_g}_{_lv}",
-            partial(_serving, table=f"{_g}_{_lv}", make=partial(lambda df, g, lv: exposure.level_table(df, g, lv), g=_g, lv=_lv)),
-            _serving_sql(f"{_g}_{_lv}", sql.level_sql(_g, _lv)),
-        )
+        _serve(f"{_g}_{_lv}", partial(lambda s, d, g, lv: exposure.level_table(feed.enriched(s, d), g, lv), g=_g, lv=_lv), sql.level_sql(_g, _lv))
+# Tables that are registered on their own, in serving layout.
+for _table, _name in (
+    *((f"daily_{lv}_running", f"win1_running_{lv}") for lv in fixed.LEVELS),
+    *((f"trailing_{w}_{lv}", f"agg10_trailing_{w}_{lv}") for w in ("12mo", "1mo") for lv in ("vendor", "product")),
+    ("exposure_index_thresholds", "agg11_thresholds"),
+):
+    _serve(_table, QUERIES[_name], CHECKS[_name])
+_TEXTS = {c: "flag" for c in fixed.LOOKUP_COLUMNS} | {c: c for c in (*KEY, "datePublished", "cvssVersion", "vectorString")} | {
+    "cvssScore": "CAST(cvssScore AS DOUBLE)", "impactScore": "CAST(line AS DOUBLE)", "exploitabilityScore": "CAST(price AS DOUBLE)",
+    "year_published": "CAST(year(datePublished) AS INT)", "date_published": "CAST(datePublished AS DATE)", "vulnStatus": "status",
+}
+_LOOKUP = [f"{e} AS {c}" for c, e in _TEXTS.items()]
+_serve("lookup", lambda s, d: feed.records(s, d).selectExpr(*_LOOKUP), f"WITH {sql.RECORDS} SELECT {', '.join(_LOOKUP)} FROM records")
+_KEV = {c: "event_type" for c in fixed.KEV_FIELDS} | {"cveID": "'CVE-' || event_id", "dateAdded": "CAST(CAST(ts AS DATE) AS STRING)", "notes": "CAST(NULL AS STRING)"}
+_KEV_ROWS = [f"{e} AS {'cveId' if c == 'cveID' else c}" for c, e in _KEV.items()]
+_serve("kev_feed", lambda s, d: feed.table(s, d, "events").selectExpr(*_KEV_ROWS), f"SELECT {', '.join(_KEV_ROWS)} FROM events")
+_EPSS_ROWS = ["'CVE-' || event_id AS cveId", "value AS epss", "value / 2 AS percentile", "CAST(ts AS DATE) AS date"]
+_serve("epss_scores", lambda s, d: feed.table(s, d, "events").selectExpr(*_EPSS_ROWS), f"SELECT {', '.join(_EPSS_ROWS)} FROM events")
+
+
+# --- stored history -----------------------------------------------------------------------
+def _store_merge(spark, sf_dir):
+    """Two batches merged into the stored history, the second one twice."""
+    root = shared_dir(spark, "history")
+    for where, day in ((OLD, "2002-01-01"), (NEW, "2002-01-02"), (NEW, "2002-01-03")):
+        store.merge_into(spark, root, slim(spark, sf_dir, where), F.lit(f"{day} 00:00:00").cast("timestamp"))
+    return flat(store.read_master(spark, root))
+
+
+_NEWER = "s.lastModified IS NOT NULL AND (t.lastModified IS NULL OR t.lastModified < s.lastModified)"
+_ON = "t.vendor = s.vendor AND t.product = s.product AND t.cveId = s.cveId"
+add(
+    "cdc2_store_merge", _store_merge,
+    TS + f", r AS (SELECT t.*, TIMESTAMP '2002-01-01' AS validFrom, CASE WHEN {_NEWER} THEN TIMESTAMP '2002-01-02' END AS validTo, "
+    f"NOT coalesce({_NEWER}, false) AS currentFlag FROM t LEFT JOIN s ON {_ON} UNION ALL "
+    f"SELECT s.*, TIMESTAMP '2002-01-02', NULL, true FROM s LEFT JOIN t ON {_ON} WHERE t.cveId IS NULL OR ({_NEWER})) SELECT {SHOW}, {_VALID} FROM r",
+)

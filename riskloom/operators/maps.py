@@ -11,9 +11,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from riskloom.functions import fixed, text
 from riskloom.functions.text import cpe_browse_parts, sanitize_key_field
 from riskloom.operators.joins import insert_missing
 from riskloom.operators.keys import hot_join, key_set
+from riskloom.operators.running import batch_rows
 
 PAIR = ["vendor", "product"]
 EDGE = ["vendor", "product", "cveId"]
@@ -117,6 +119,15 @@ def diff_builds(new: DataFrame, old: DataFrame, changed_ids: DataFrame, source:
     return moved.unionByName(touched).distinct()
 
 
+def pair_messages(pairs: DataFrame, stamp: Column, size: int = fixed.BATCH_SIZE) -> DataFrame:
+    """Queue messages of changed pairs: batch, message_id, body, at most `size` in a batch. `pairs` has a
+    row per pair; it is read again while batches are numbered: hand over a table."""
+    made = pairs.select(
+        text.safe_message_id(*PAIR).alias("message_id"), text.message_payload(*PAIR, stamp).alias("body")
+    )
+    return batch_rows(made, ["message_id"], size).select("batch", "message_id", "body")
+
+
 def cpe_hierarchy(df: DataFrame, name: str) -> DataFrame:
     """Browse index as distinct (index_key, member) rows: prefix -> type -> vendor ->
     product -> the rest of the name."""

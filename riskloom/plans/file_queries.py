@@ -13,7 +13,7 @@ from riskloom.functions import fixed
 from riskloom.sources import parts
 from riskloom.sources.staged import stored
 from riskloom.session import shared_dir
-from riskloom.sources import feeds, records, sinks
+from riskloom.sources import feeds, paths, records, sinks
 from riskloom.streaming import epss, kev, messages
 
 _TS = "2025-03-02T19:55:48.000000+00:00"
@@ -42,20 +42,31 @@ def _ndjson(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.read_ingest_ndjson(spark, path)
 
 
+_IDS_SQL = (
+    "CASE WHEN line <= 4 THEN lower(cveId) || ' ' END AS cna, CASE WHEN line BETWEEN 3 AND 6 THEN cveId END AS nvd, "
+    "CASE WHEN line BETWEEN 3 AND 6 THEN 'cpe:2.3:a:' || vendor || ':' || product || ':1' END AS source"
+)
+
+
 def _read_back(spark, sf_dir):
-    return flat(_ndjson(spark, sf_dir).groupBy("vendor", "product", "ingestionDate").agg(
-        F.count("*").alias("records"), F.sum(F.size("cvelistv5")).alias("cna"), F.sum(F.size("fkie_nvd")).alias("nvd")))
+    return flat(_ids(_ndjson(spark, sf_dir)).select("vendor", "product", "ingestionDate", "cna", "nvd", "source"))
+
+
+def _ids(df: DataFrame) -> DataFrame:
+    """The rows with the id of either document and a digest of the NVD document's text."""
+    first = lambda c, k: F.try_element_at(F.try_element_at(c, F.lit(1)), F.lit(k))
+    vendor = F.get_json_object(first("fkie_nvd", 2), "$.configurations[0].nodes[0].cpeMatch[0].criteria")
+    return df.withColumns({"cna": first("cvelistv5", 1), "nvd": first("fkie_nvd", 1), "source": vendor})
 
 
 add(
     "src1_ndjson_round_trip", _read_back,
-    f"WITH {sql.RECORDS} SELECT vendor, product, '2025-03-02' AS ingestionDate, count(*) AS records, "
-    "count(*) FILTER (line <= 4) AS cna, count(*) FILTER (line BETWEEN 3 AND 6) AS nvd FROM records WHERE line < 7 GROUP BY vendor, product",
+    f"WITH {sql.RECORDS} SELECT vendor, product, '2025-03-02' AS ingestionDate, {_IDS_SQL} FROM records WHERE line < 7",
 )
 add(
     "snk10_build_envelope",
-    lambda s, d: envelopes(s, d).groupBy("ingestionDate", "cveDataAvailable").agg(F.count("*").alias("n")),
-    f"WITH {sql.RECORDS} SELECT '2025-03-02' AS ingestionDate, line < 7 AS cveDataAvailable, count(*) AS n FROM records GROUP BY ALL",
+    lambda s, d: _ids(envelopes(s, d)).select("vendor", "product", "ingestionDate", "cveDataAvailable", "cna", "nvd", "source"),
+    f"WITH {sql.RECORDS} SELECT vendor, product, '2025-03-02' AS ingestionDate, line < 7 AS cveDataAvailable, {_IDS_SQL} FROM records",
 )
 
 
@@ -362,7 +373,7 @@ add("src10_gunzip_files", _gunzip, _ORDERS_SQL.replace(" FROM", ", 0 AS failed F
 add(
     "src2_read_ingest_documents",
     lambda s, d: _documents(s, d),
-    f"WITH {sql.RECORDS} SELECT vendor, count(*) AS records, count(*) FILTER (line = 7) AS empty FROM records GROUP BY vendor",
+    f"WITH {sql.RECORDS} SELECT vendor, product, line < 7 AS cveDataAvailable, {_IDS_SQL} FROM records",
 )
 
 
@@ -371,5 +382,17 @@ def _documents(spark, sf_dir):
     envelopes(spark, sf_dir).write.partitionBy("vendor").json(path)
     found = records.read_ingest_documents(spark, f"{path}/*/*.json")
     folder = F.regexp_extract(F.col("_metadata.file_path"), "vendor=([^/]+)/", 1)
-    return found.withColumn("vendor", folder).groupBy("vendor").agg(
-        F.count("*").alias("records"), F.count_if(~F.col("cveDataAvailable")).alias("empty"))
+    return _ids(found.withColumn("vendor", folder)).select("vendor", "product", "cveDataAvailable", "cna", "nvd", "source")
+
+
+def _cvelist(spark, sf_dir):
+    """One document per file in dated folders; files of other names and broken ones are skipped."""
+    root = shared_dir(spark, "cvelist")
+    orders = feed.table(spark, sf_dir, "orders")
+    doc = "to_json(named_struct('cveMetadata', named_struct('cveId', 'CVE-' || o_orderkey, 'datePublished', o_orderpriority)))"
+    orders.selectExpr(f"{doc} AS value", "year(o_orderdate) AS y").write.partitionBy("y").text(root)
+    paths.rename_children(spark, root, "part-", "CVE-", ".json")
+    return records.read_cvelist(spark, root, multi_line=False).select("cveMetadata.cveId", F.col("cveMetadata.datePublished").alias("priority"))
+
+
+add("src7_read_cvelist", _cvelist, "SELECT 'CVE-' || o_orderkey AS \"cveId\", o_orderpriority AS priority FROM orders")

@@ -393,6 +393,23 @@ _DIFF_SQL = (
     "SELECT vendor, product FROM n WHERE cveId IN (SELECT cveId FROM records WHERE line = 5)"
 )
 add("cdc1_diff_builds", _diff, _DIFF_SQL)
+
+
+def _messages(spark, sf_dir):
+    """Changed pairs as messages, and whether each batch has the size it should have."""
+    sent = stored(maps.pair_messages(stored(_diff(spark, sf_dir), "changed"), F.lit("2025-03-02T00:00:00Z")), "messages")
+    sizes = sent.groupBy("batch").agg(F.count("*").alias("size"))
+    full = F.col("size") == fixed.BATCH_SIZE
+    ends = sizes.agg(F.count_if(~full).alias("short")).withColumn("short", F.col("short") <= 1)
+    return sent.select("message_id", "body").crossJoin(F.broadcast(ends))  # one row
+
+
+add(
+    "cdc1_pair_messages", _messages,
+    f"WITH d AS ({_DIFF_SQL}) SELECT substr(regexp_replace(vendor || '_' || product, '[^A-Za-z0-9_-]', '_', 'g'), 1, 67) || '-' "
+    "|| substr(sha256(vendor || '_' || product), 1, 12) AS message_id, '{\"vendor\":\"' || vendor || '\",\"product\":\"' || product || "
+    "'\",\"ingestionTimestamp\":\"2025-03-02T00:00:00Z\"}' AS body, true AS short FROM d",
+)
 add(
     "srt2_pick_build",
     lambda s, d: flat(maps.pick_build(

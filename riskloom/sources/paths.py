@@ -27,6 +27,17 @@ def total_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(p).getLength()
 
 
+def rename_children(spark: SparkSession, root: str, old: str, new: str, ending: str) -> None:
+    """Give files in the folders below `root` another prefix and ending."""
+    fs, p = _fs(spark, root)
+    for folder in fs.listStatus(p):
+        for f in fs.listStatus(folder.getPath()) if folder.isDirectory() else []:
+            name = f.getPath().getName()
+            if name.startswith(old):
+                stem = name.removeprefix(old).rsplit(".", 1)[0]
+                fs.rename(f.getPath(), spark._jvm.org.apache.hadoop.fs.Path(folder.getPath(), new + stem + ending))
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """The path with its file system."""
     fs, p = _fs(spark, path)

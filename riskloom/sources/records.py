@@ -54,13 +54,14 @@ def latest_table(spark: SparkSession, pattern: str, database: str | None = None)
     return name
 
 
-def read_cvelist(spark: SparkSession, root: str, schema: str = fixed.CNA_SCHEMA) -> DataFrame:
-    """Record files in any depth below `root`; unreadable ones are skipped."""
+def read_cvelist(spark: SparkSession, root: str, schema: str = fixed.CNA_SCHEMA, multi_line: bool = True) -> DataFrame:
+    """Record files in any depth below `root`, a document in each (or on each line); unreadable ones are
+    skipped."""
     return (
         spark.read.schema(schema)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "CVE-*.json")
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("mode", "DROPMALFORMED")
         .json(root)
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import fixed
 from riskloom.functions.scoring import enrich, severity
-from riskloom.operators import exposure, keys, maps, quality, running, serving, thresholds
+from riskloom.operators import history, exposure, keys, maps, quality, running, serving, thresholds
 from tests.conftest import rows
 
 
@@ -103,7 +103,7 @@ def test_prefix_sum_with_and_without_buckets(spark):
 
 def test_batches_are_full(spark):
     df = spark.range(1003).select(F.col("id").cast("string").alias("a"))
-    sizes = sorted(r["count"] for r in running.batch_rows(df, ["a"], 10, buckets=64).groupBy("batch").count().collect())
+    sizes = sorted(r["count"] for r in running.batch_rows(df, ["a"], 10, per_bucket=16).groupBy("batch").count().collect())
     assert sizes == [3] + [10] * 100
 
 
@@ -164,7 +164,7 @@ def test_pick_build(spark):
 
 
 def test_serving_layouts():
-    assert len(serving.serving_tables()) == 18
+    assert len(serving.serving_tables()) == 20
     time, dims = serving.layout("daily_vendor_running")
     assert time == "date_published" and dims["cumulative_exposure_index"] == "double" and dims["vendor"] == "string"
     assert serving.layout("exposure_index_thresholds")[1]["low_threshold"] == "bigint"
@@ -187,14 +187,41 @@ def test_hot_join(spark, how, share):
     assert rows(keys.hot_join(left, right, ["k"], how, share)) == rows(left.join(right, ["k"], how))
 
 
-def test_hot_join_shuffles_no_hot_row(spark):
-    """The plan joins hot rows by broadcast even where automatic broadcasts are off."""
+def test_hot_join_matches_null_keys(spark):
+    left = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "k string, v int")
+    right = spark.createDataFrame([(None, 7)], "k string, w int")
+    for share in (1e-4, 2.0):
+        assert rows(keys.hot_join(left, right, ["k"], "left", share)) == [("a", 3, None), (None, 1, 7), (None, 2, 7)]
+    assert {r.v: r.repeated for r in keys.mark_duplicates(left, ["k"]).collect()} == {1: True, 2: True, 3: False}
+    assert rows(keys.duplicate_keys(left, ["k"])) == [(None,)]
+
+
+def test_hot_join_deals_hot_rows_and_broadcasts_keys_only(spark):
+    """Hot rows go to several tasks, and no column of the right side is broadcast."""
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        left = spark.range(100).selectExpr("id % 3 AS k", "id AS v")
-        right = spark.range(5).selectExpr("id AS k", "id AS w")
-        plan = keys.hot_join(left, right, ["k"], "inner")._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") >= 4
+        left = spark.range(4000).selectExpr("0 AS k", "id AS v")
+        right = spark.range(5).selectExpr("id AS k", "'wide' AS w")
+        joined = keys.hot_join(left, right, ["k"], "inner")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 1
+        broadcasts = [line for line in plan.splitlines() if "BroadcastExchange" in line]
+        assert broadcasts and not any("w#" in line for line in broadcasts)
+        assert joined.count() == 4000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_collect_distinct_keeps_every_key(spark):
+    data = [("a", ["x", "y"], []), ("a", ["y"], None), ("b", [], None), ("c", None, ["z"]), (None, ["n"], ["m"]), (None, None, ["m"])]
+    df = spark.createDataFrame(data, "k string, p array<string>, q array<string>")
+    got = {r.k: (r.one, r.two) for r in keys.collect_distinct(df, ["k"], {"one": "p", "two": "q"}).collect()}
+    assert got == {"a": (["x", "y"], []), "b": ([], []), "c": ([], ["z"]), None: (["n"], ["m"])}
+
+
+def test_warehouse_sync_keeps_long_keys_apart(spark):
+    long = "x" * 1024
+    df = spark.createDataFrame([(long + "1", 1), (long + "2", 2), ("short", 3)], "vendor string, n int").withColumn("currentFlag", F.lit(True))
+    assert rows(history.sync_full(df, ["vendor"]), "n") == [(3,)]
+    assert rows(history.sync_rejects(df, ["vendor"]), "n") == [(1,), (2,)]

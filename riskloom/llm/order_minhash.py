@@ -7,14 +7,12 @@ bucket key. Similarity of two texts is the share of k-mers that an alignment in
 matched / (all - matched), and must reach 0.8; the threshold bounds how far an alignment can leave
 the diagonal, so matches outside that band are left out without loss.
 
-Buckets may hold any number of texts. In small ones all pairs are compared. In a larger one every
-text is compared with the bucket's hub only, the text that meets most others. Then the bucket falls
-apart by what its texts have *besides* the hub's: their k-mers that the hub lacks and the hub's that
-they lack. Two texts differ from each other by exactly what these residuals differ by, so similar
-texts that aren't similar to the hub have similar residuals (at least a third in common), while
-texts that met because of one shared passage, or as unlike copies of the same original, have next
-to nothing in common any more. MinHash keys of the residuals make the buckets of the next round; work
-stays in proportion to the texts instead of their pairs.
+Buckets may hold any number of texts. In those of at most `SMALL` texts all pairs are compared. In a
+larger one every text is compared with the bucket's `HUBS` hubs: the texts that meet most others in
+all their buckets. Of many copies of one original these are the original and its most faithful copies;
+two copies that are alike have few changes each, so both are also like a hub. Work stays in proportion to
+the texts. Two texts are not compared if all buckets they share are large and each is unlike the
+hubs there, or like different ones that aren't linked otherwise.
 """
 
 from __future__ import annotations
@@ -24,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from riskloom.llm import words
 from riskloom.llm.common import stored, table, text_of
@@ -34,10 +32,9 @@ from riskloom.llm.groups import components
 SHINGLE, SIMILARITY = 5, 0.8
 #: Sketches of two k-mers each, and sketches in a bucket key.
 SKETCHES, PER_KEY = 32, 2
-#: Largest bucket whose pairs are all compared; bucket keys of a residual, of two minima each.
-SMALL, RESIDUAL_KEYS = 8, 48
+#: Largest bucket whose pairs are all compared; hubs of a larger one.
+SMALL, HUBS = 16, 4
 _SEEDS = np.random.default_rng(5).integers(1, 2**63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_RESIDUAL_SEEDS = np.random.default_rng(6).integers(1, 2**63, 2 * RESIDUAL_KEYS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _COLUMNS = 4096
 
 
@@ -117,99 +114,43 @@ def sketched(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return rows.mapInArrow(run, "id long, digest string, n long, keys array<long>")
 
 
-def residual_keys(own: np.ndarray, hub: np.ndarray, hub_id: int) -> np.ndarray:
-    """Bucket keys of what a text has besides its hub; none if nothing."""
-    own, hub = words.labelled(own), words.labelled(hub)
-    more = np.setdiff1d(own, hub, assume_unique=True)
-    less = np.setdiff1d(hub, own, assume_unique=True)
-    rest = words.mixed(np.concatenate([more, words.mixed(less + np.uint64(1))]))
-    if not len(rest):
-        return np.empty(0, np.int64)
-    low = np.full(len(_RESIDUAL_SEEDS), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(rest), _COLUMNS):
-        low = np.minimum(low, (_RESIDUAL_SEEDS[:, None] * rest[None, at : at + _COLUMNS]).min(1))
-    start = words.mixed(np.array([hub_id], np.int64).view(np.uint64))
-    band = np.arange(RESIDUAL_KEYS, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019)
-    return words.mixed(words.mixed(words.mixed(band + start) + low[0::2]) + low[1::2]).view(np.int64)
-
-
-def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (id, other, hub) with their similarity and, where other is a hub, the residual's keys.
-    `texts`: id, text."""
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose texts reach the similarity, with it. `texts`: id, text."""
     side = lambda c: texts.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}"))
-    wide = pairs.join(side("id"), "id").join(side("other"), "other").select("id", "other", "hub", "text_id", "text_other")
+    wide = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in words.small(batches, 3, 4):
-            (left, at), (right, to) = (words.lower_words(batch.column(k)) for k in (3, 4))
-            alike, keys = [], []
-            for k, (other, hub) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
-                own, beside = words.shingles(left[at[k] : at[k + 1]], SHINGLE), words.shingles(right[to[k] : to[k + 1]], SHINGLE)
-                alike.append(aligned(own, beside))
-                keys.append(residual_keys(own, beside, other) if hub else np.empty(0, np.int64))
-            ends = pa.array(np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32))
-            lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(keys)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(alike, pa.float64()), lists], names=["id", "other", "similarity", "keys"])
-
-    return wide.mapInArrow(run, "id long, other long, similarity double, keys array<long>")
-
+        for batch in words.small(batches, 2, 3):
+            (left, at), (right, to) = (words.lower_words(batch.column(k)) for k in (2, 3))
+            alike = [
+                aligned(words.shingles(left[at[k] : at[k + 1]], SHINGLE), words.shingles(right[to[k] : to[k + 1]], SHINGLE))
+                for k in range(len(batch))
+            ]
+            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(alike, pa.float64())], names=["a", "b", "similarity"])
+            yield out.filter(pa.array([s >= SIMILARITY for s in alike], pa.bool_()))
 
-def _fits(a: str, b: str):
-    """Whether texts with so many k-mers can reach the similarity."""
-    return F.least(a, b) >= SIMILARITY * F.greatest(a, b)
+    return wide.mapInArrow(run, "a long, b long, similarity double")
 
 
-def links(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links a, b that join all texts of a bucket that belong together.
+def candidates(members: DataFrame) -> DataFrame:
+    """Pairs a < b to compare, each once. `members`: key, id, n of buckets with several texts.
 
-    `members`: key, id, n of buckets with several texts; `texts`: id, text. Each round is written.
-    A text that is linked to its hub goes on as well, for texts that are linked to it but not to the
-    hub; buckets in which all are linked to the hub of the round before end there. Lengths that rule
-    a pair out are used before texts are looked at; texts too long or too short for their hub go on
-    by classes of length that overlap.
+    Pairs whose numbers of k-mers rule the similarity out are left out.
     """
-    spark = members.sparkSession
-    found = spark.createDataFrame([], "a long, b long")
-    tried = None
-    members = members.withColumn("linked", F.lit(False))
-    first = True
-    while True:
-        sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.bool_and("linked").alias("settled"))
-        sizes = stored(sizes.where("size > 1 AND NOT settled").select("key", "size"), "bucket_sizes")
-        rows = stored(members.join(sizes, "key"), "buckets")
-        if rows.isEmpty():
-            return found
-        large = rows.where(F.col("size") > SMALL)
-        if first:
-            met = stored(large.groupBy("id").agg(F.sum("size").alias("met")), "met")
-            large = large.join(met, "id")
-        else:
-            large = large.withColumn("met", F.lit(0))
-        hub = stored(
-            large.groupBy("key").agg(F.max(F.struct("met", F.xxhash64("id").alias("h"), F.col("id"), F.col("n"))).alias("m"))
-            .select("key", F.col("m.id").alias("other"), F.col("m.n").alias("other_n")), "hubs",
-        )
-        stars = stored(rows.where(F.col("size") > SMALL).join(hub, "key").where("id != other").select("id", "n", "other", "other_n").distinct(), "stars")
-        few = rows.where(F.col("size") <= SMALL).select("key", "id", "n", "linked")
-        beside = few.select("key", F.col("id").alias("other"), F.col("n").alias("other_n"), F.col("linked").alias("other_linked"))
-        small = few.join(beside, "key").where("id < other AND NOT (linked AND other_linked)").where(_fits("n", "other_n")).select("id", "other", F.lit(False).alias("hub"))
-        if tried is not None:
-            small = small.join(tried, ["id", "other"], "left_anti")
-        pairs = stars.where(_fits("n", "other_n")).select("id", "other", F.lit(True).alias("hub")).unionByName(small)
-        pairs = stored(pairs.groupBy("id", "other").agg(F.bool_or("hub").alias("hub")), "pairs")
-        done = pairs.select("id", "other")
-        tried = done if tried is None else stored(tried.unionByName(done), "tried")
-        checked = stored(compared(pairs, texts), "compared")
-        good = checked.where(F.col("similarity") >= SIMILARITY).select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
-        found = stored(found.unionByName(good), "links")
-        on = checked.where(F.size("keys") > 0).select("id", "keys", (F.col("similarity") >= SIMILARITY).alias("linked"))
-        lengths = stars.select("id", "n").distinct()
-        on = on.join(lengths, "id").select("id", "n", "linked", F.explode("keys").alias("key"))
-        size_class = F.floor(F.log("n") / F.log(F.lit(1 / SIMILARITY)))
-        off = stars.where(~_fits("n", "other_n")).select("id", "n", F.lit(False).alias("linked"), "other", F.explode(F.array(size_class, size_class + 1)).alias("c"))
-        off = off.select("id", "n", "linked", F.xxhash64("other", "c").alias("key"))
-        members = stored(on.unionByName(off).groupBy("key", "id", "n").agg(F.bool_and("linked").alias("linked")), "next_members")
-        first = False
+    sizes = stored(members.groupBy("key").agg(F.count(F.lit(1)).alias("size")), "bucket_sizes")
+    rows = stored(members.join(sizes, "key"), "buckets")
+    met = stored(rows.groupBy("id").agg(F.sum("size").alias("met")), "met")
+    large = rows.where(F.col("size") > SMALL).select("key", "id", "n")
+    order = Window.partitionBy("key").orderBy(F.col("met").desc(), "id")
+    hubs = large.join(met, "id").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= HUBS)
+    hubs = stored(hubs.select("key", F.col("id").alias("other"), F.col("n").alias("other_n")), "hubs")
+    fits = F.least("n", "other_n") >= SIMILARITY * F.greatest("n", "other_n")
+    few = rows.where(F.col("size") <= SMALL).select("key", "id", "n")
+    beside = few.select("key", F.col("id").alias("other"), F.col("n").alias("other_n"))
+    small = few.join(beside, "key").where(F.col("id") < F.col("other")).where(fits)
+    stars = large.join(hubs, "key").where(F.col("id") != F.col("other")).where(fits)
+    both = small.select("id", "other").unionByName(stars.select("id", "other"))
+    return both.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -229,7 +170,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     members = stored(rows.join(shared, "key").select("key", "id", "n"), "bucket_members")
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), text_of(text).alias("text"))
     texts = stored(texts.join(members.select("id").distinct(), "id", "left_semi"), "candidate_texts")
-    found = links(members, texts)
+    found = stored(verified(stored(candidates(members), "pairs"), texts), "links")
     label = components(found)
     degree = found.select(F.col("a").alias("node")).unionAll(found.select(F.col("b").alias("node"))).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     known = stored(label.join(degree, "node", "left").select(F.col("node").alias("text_id"), "label", "n_links"), "classes")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskloom.functions.scoring import completeness
+from riskloom.sources.staged import stored
 
 
 def key_set(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -130,16 +131,25 @@ def consolidate_first(
     df: DataFrame, keys: list[str], newest: list[str], arrays: list[str]
 ) -> DataFrame:
     """One row per key: scalars of the newest row (the greatest other columns break ties)
-    and the distinct union of the array columns, in one aggregation.
+    and the sorted distinct union of the array columns.
 
-    Equal arrays of a key collapse on the map side.
+    A count over the keys alone finds those with several rows; rows of all other keys only have
+    their own arrays tidied. For repeated keys the newest row comes from a group limit and each
+    array's members are made distinct with map-side combining before they are gathered, so a hot
+    key brings neither its rows nor its copies to one task. Null keys count like any other. The
+    rows are read three times: hand over a table.
     """
     others = [c for c in df.columns if c not in keys and c not in newest and c not in arrays]
-    merged = [
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set(a)))).alias(a) for a in arrays
-    ]
-    return (
-        df.groupBy(*keys)
-        .agg(F.max(F.struct(*newest, *others)).alias("_newest"), *merged)
-        .select(*keys, "_newest.*", *arrays)
-    )
+    repeated = stored(duplicate_keys(df, keys).select(*[F.col(k).alias("_h_" + k) for k in keys]), "repeated_keys")
+    alone = df.join(repeated, _same(df, repeated, keys), "left_anti")
+    tidy = {a: F.coalesce(F.array_sort(F.array_distinct(a)), F.array().cast(df.schema[a].dataType)) for a in arrays}
+    alone = alone.withColumns(tidy)
+    several = df.join(repeated, _same(df, repeated, keys), "left_semi")
+    order = [F.col(c).desc_nulls_last() for c in [*newest, *others]]
+    out = first_per_key(several.drop(*arrays), keys, order)
+    for a in arrays:
+        members = several.select(*keys, F.explode(a).alias("_m")).distinct()
+        found = members.groupBy(*[F.col(k).alias("_h_" + k) for k in keys]).agg(F.array_sort(F.collect_list("_m")).alias(a))
+        out = out.join(found, _same(out, found, keys), "left").select(*out.columns, F.coalesce(a, F.array().cast(df.schema[a].dataType)).alias(a))
+    columns = [*keys, *newest, *others, *arrays]
+    return alone.select(*columns).unionByName(out.select(*columns))

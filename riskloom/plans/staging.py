@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from riskloom.functions import fixed, nested, scoring, text
 from riskloom.operators.joins import merge_sources
 from riskloom.operators.keys import consolidate_first, most_complete_per_key
+from riskloom.sources.staged import stored
 
 _INGEST = ["vendor", "product", "ingestionTimestamp", "ingestionDate"]
 _KEYS = ["vendor", "product", "cveId", "ingestionTimestamp", "ingestionDate"]
@@ -27,14 +28,15 @@ def _merged_cwe(cna: str, nvd: str) -> Column:
 def normalize(raw: DataFrame, drop_unscored: bool = False) -> DataFrame:
     """Staging rows, one per vendor, product, record and ingestion.
 
-    Each side becomes one row per key in a single aggregation; the outer join runs on the
-    same keys and so reuses that partitioning. `drop_unscored` leaves out NVD documents
-    that carry no metric.
+    Each side is written once as parsed rows and becomes one row per key. `drop_unscored` leaves out
+    NVD documents that carry no metric.
     """
     cna = nested.flatten_cna(nested.explode_pairs(raw, "cvelistv5", fixed.CNA_STAGING_SCHEMA, _INGEST))
     nvd = nested.flatten_nvd(nested.explode_pairs(raw, "fkie_nvd", fixed.NVD_STAGING_SCHEMA, _INGEST))
     if drop_unscored:
         nvd = nvd.where(F.size("nvdCvss") > 0)
+    # Parsed once: the sides are read several times below.
+    cna, nvd = stored(cna, "cna_rows"), stored(nvd, "nvd_rows")
     cna = consolidate_first(cna, _KEYS, ["dateUpdated"], ["cnaCvss", "cnaCapec", "cnaCwe"])
     nvd = consolidate_first(nvd, _KEYS, ["lastModified"], ["nvdCvss", "nvdCwe"])
     merged = merge_sources(

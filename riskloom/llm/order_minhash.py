@@ -115,8 +115,11 @@ def sketched(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose texts reach the similarity, with it. `texts`: id, text."""
-    side = lambda c: texts.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}"))
+    """The pairs (a, b) whose texts reach the similarity, with it. `texts`: id, text.
+
+    Texts meet their pairs by sorted partitions at every size, never by broadcast.
+    """
+    side = lambda c: texts.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}")).hint("merge")
     wide = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +172,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     shared = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key"), "shared_keys")
     members = stored(rows.join(shared, "key").select("key", "id", "n"), "bucket_members")
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), text_of(text).alias("text"))
-    texts = stored(texts.join(members.select("id").distinct(), "id", "left_semi"), "candidate_texts")
+    texts = stored(texts.hint("merge").join(members.select("id").distinct(), "id", "left_semi"), "candidate_texts")
     found = stored(verified(stored(candidates(members), "pairs"), texts), "links")
     label = components(found)
     degree = found.select(F.col("a").alias("node")).unionAll(found.select(F.col("b").alias("node"))).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))

@@ -8,11 +8,12 @@ matched / (all - matched), and must reach 0.8; the threshold bounds how far an a
 the diagonal, so matches outside that band are left out without loss.
 
 Buckets may hold any number of texts. In those of at most `SMALL` texts all pairs are compared. In a
-larger one every text is compared with the bucket's `HUBS` hubs: the texts that meet most others in
-all their buckets. Of many copies of one original these are the original and its most faithful copies;
-two copies that are alike have few changes each, so both are also like a hub. Work stays in proportion to
-the texts. Two texts are not compared if all buckets they share are large and each is unlike the
-hubs there, or like different ones that aren't linked otherwise.
+larger one every text is first compared with the bucket's `HUBS` hubs: the texts that meet most others
+in all their buckets, often the original of its copies. All other pairs of a large bucket follow, but for
+those already in one group, which can't change the groups. Each text has its k-mers counted in `CELLS`
+cells by hash; the counts of two texts differ by at most the k-mers that they don't share, so a pair whose
+counts differ too much is below the threshold and needs no alignment. These comparisons grow with the
+square of the texts of a bucket that aren't in one group; they are dealt over tasks in blocks.
 """
 
 from __future__ import annotations
@@ -32,8 +33,10 @@ from riskloom.llm.groups import components
 SHINGLE, SIMILARITY = 5, 0.8
 #: Sketches of two k-mers each, and sketches in a bucket key.
 SKETCHES, PER_KEY = 32, 2
-#: Largest bucket whose pairs are all compared; hubs of a larger one.
+#: Largest bucket whose pairs are all compared at once; hubs that come first in a larger one.
 SMALL, HUBS = 16, 4
+#: Cells of k-mer counts; texts in a block; pairs of a text that are aligned in the first round.
+CELLS, BLOCK, NEAREST = 256, 512, 4
 _SEEDS = np.random.default_rng(5).integers(1, 2**63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _COLUMNS = 4096
 
@@ -71,6 +74,12 @@ def bucket_keys(kmers: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def cell_counts(kmers: np.ndarray) -> np.ndarray:
+    """K-mers in each cell, those above 255 as 255, which never makes two texts differ more."""
+    cell = (kmers >> np.uint64(32)).astype(np.int64) % CELLS
+    return np.minimum(np.bincount(cell, minlength=CELLS), 255).astype(np.uint8)
+
+
 def aligned(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
     """Share of k-mers matched in text order within the band; 0 for a text without words."""
     total = len(a) + len(b)
@@ -93,25 +102,26 @@ def aligned(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
 
 
 def sketched(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """id, digest, n (k-mers) and keys of each document with an id; map-only."""
+    """id, digest, n (k-mers), keys and counts by cell of each document with an id; map-only."""
     rows = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("id"), digest(text).alias("digest"), text_of(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words.small(batches, 2):
             hashed, at = words.lower_words(batch.column(2))
-            sizes, keys = [], []
+            sizes, keys, counts = [], [], []
             for a, b in zip(at[:-1], at[1:], strict=True):
                 kmers = words.shingles(hashed[a:b], SHINGLE)
                 sizes.append(len(kmers))
                 keys.append(bucket_keys(kmers) if len(kmers) else np.empty(0, np.int64))
+                counts.append(cell_counts(kmers).tobytes())
             ends = pa.array(np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32))
             flat = pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(ends, flat)],
-                names=["id", "digest", "n", "keys"],
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(ends, flat), pa.array(counts, pa.binary())],
+                names=["id", "digest", "n", "keys", "cells"],
             )
 
-    return rows.mapInArrow(run, "id long, digest string, n long, keys array<long>")
+    return rows.mapInArrow(run, "id long, digest string, n long, keys array<long>, cells binary")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -156,6 +166,92 @@ def candidates(members: DataFrame) -> DataFrame:
     return both.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
 
 
+def compare_counts(rows: pa.Table) -> pa.Table:
+    """Pairs a < b of one block, or of two, that aren't in one group and whose counts let them reach the
+    similarity; `apart` is the difference of the counts."""
+    ids, n, label, own, block = (rows[c].to_numpy() for c in ("id", "n", "label", "own", "block"))
+    cells = np.frombuffer(b"".join(rows["cells"].to_pylist()), np.uint8).reshape(-1, CELLS).astype(np.int16)
+    across = block.min() != block.max()
+    left, right, apart = [], [], []
+    for i in range(len(ids) - 1):
+        may = (label[i + 1 :] != label[i]) & (own[i + 1 :] | own[i])
+        may &= np.minimum(n[i + 1 :], n[i]) >= SIMILARITY * np.maximum(n[i + 1 :], n[i])
+        if across:
+            may &= block[i + 1 :] != block[i]
+        others = np.flatnonzero(may) + i + 1
+        if len(others):
+            differ = np.abs(cells[others] - cells[i]).sum(1, dtype=np.int64)
+            near = differ * (1 + SIMILARITY) <= (n[others] + n[i]) * (1 - SIMILARITY) + 1e-6
+            left.append(np.minimum(ids[others[near]], ids[i]))
+            right.append(np.maximum(ids[others[near]], ids[i]))
+            apart.append(differ[near])
+    whole = [np.concatenate([np.empty(0, np.int64), *c]) for c in (left, right, apart)]
+    return pa.table(whole, names=["a", "b", "apart"])
+
+
+def rest(large: DataFrame, labels: DataFrame, cells: DataFrame) -> DataFrame:
+    """All pairs a < b of large buckets that are in different groups and may reach the similarity by
+    their counts, with `apart`. `large`: key, id, n; `labels`: node, label; `cells`: id, cells.
+
+    Texts within the similarity have numbers of k-mers in the same or in neighbouring bands, so each
+    text goes to the unit of its band as an own one and to that below as a guest.
+    """
+    known = labels.select(F.col("node").alias("id"), "label")
+    rows = stored(large.join(known, "id", "left").select("key", "id", "n", F.coalesce("label", "id").alias("label")), "large_buckets")
+    band = F.floor(F.log("n") / F.lit(-np.log(SIMILARITY) * (1 + 1e-6)))
+    unit = lambda shift, own: F.struct((band - shift).alias("band"), F.lit(own).alias("own"))
+    spread = rows.select("key", "id", "n", "label", F.explode(F.array(unit(0, True), unit(1, False))).alias("unit")).select("key", "id", "n", "label", "unit.*")
+    units = spread.groupBy("key", "band").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"), F.max("own").alias("any"))
+    units = stored(units.where("low < high AND any").select("key", "band", F.ceil(F.col("size") / BLOCK).alias("blocks")), "open_units")
+    dealt = spread.join(units, ["key", "band"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = stored(dealt.select("key", "band", "id", "n", "label", "own", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")), "blocks")
+    counted = dealt.join(cells.hint("merge"), "id")
+    return counted.groupBy("key", "band", "low", "high").applyInArrow(compare_counts, "a long, b long, apart long").distinct()
+
+
+def grouped(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs with label_a and label_b; a text without links is its own group."""
+    for c in ("a", "b"):
+        known = labels.select(F.col("node").alias(c), F.col("label").alias("known"))
+        pairs = pairs.join(known, c, "left").withColumn(f"label_{c}", F.coalesce("known", c)).drop("known")
+    return pairs
+
+
+def merged(labels: DataFrame, more: DataFrame) -> DataFrame:
+    """`labels` after links (a, b) among groups: only the groups are connected anew."""
+    groups = components(more)
+    texts = labels.unionByName(groups.select("node", F.col("node").alias("label"))).distinct()
+    known = groups.select(F.col("node").alias("label"), F.col("label").alias("new"))
+    return texts.join(known, "label", "left").select("node", F.coalesce("new", "label").alias("label"))
+
+
+def links(members: DataFrame, texts: DataFrame, cells: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Verified links (a, b) that span every group, and the groups (node, label).
+
+    The rest of the large buckets is aligned in rounds: every text's nearest pairs first, four times as
+    many in the next round, without those that have come into one group meanwhile.
+    """
+    found = stored(verified(stored(candidates(members), "pairs"), texts).select("a", "b"), "links")
+    labels = components(found)
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > SMALL).select("key")
+    left = stored(rest(members.join(sizes, "key"), labels, cells), "rest")
+    most = NEAREST
+    while not left.isEmpty():
+        rank = lambda c: F.row_number().over(Window.partitionBy(c).orderBy("apart", "a", "b"))
+        ranked = stored(left.withColumn("rank", F.least(rank("a"), rank("b"))), "ranked")
+        more = stored(verified(ranked.where(F.col("rank") <= most).select("a", "b"), texts).select("a", "b"), "more_links")
+        left = ranked.where(F.col("rank") > most).drop("rank")
+        if not more.isEmpty():
+            found = stored(found.unionByName(more).distinct(), "links")
+            more = stored(grouped(more, labels).select("label_a", "label_b").toDF("a", "b"), "group_links")
+            labels = stored(merged(labels, more), "labels")
+            left = grouped(left, labels).where("label_a != label_b").select("a", "b", "apart")
+        left = stored(left, "rest")
+        most *= 4
+    return found, labels
+
+
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, text_id, class_id, n_links.
 
@@ -173,8 +269,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     members = stored(rows.join(shared, "key").select("key", "id", "n"), "bucket_members")
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), text_of(text).alias("text"))
     texts = stored(texts.hint("merge").join(members.select("id").distinct(), "id", "left_semi"), "candidate_texts")
-    found = stored(verified(stored(candidates(members), "pairs"), texts), "links")
-    label = components(found)
+    found, label = links(members, texts, sketch.select("id", "cells").join(members.select("id").distinct(), "id", "left_semi"))
     degree = found.select(F.col("a").alias("node")).unionAll(found.select(F.col("b").alias("node"))).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     known = stored(label.join(degree, "node", "left").select(F.col("node").alias("text_id"), "label", "n_links"), "classes")
     texts_known = stored(own.join(known, "text_id", "left"), "text_classes")

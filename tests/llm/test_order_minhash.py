@@ -61,6 +61,46 @@ def test_every_link_is_in_one_class_and_no_class_joins_strangers(spark):
     assert all((r.n_links > 0) == any(root(r.doc_id) == root(o) and rows[o].text_id != r.text_id for o in rows if o != r.doc_id) for r in rows.values())
 
 
+def templated(draw):
+    """Texts that share one template: pairs, strangers, and a chain in which only neighbours are alike."""
+    template, out = sentence(draw, 170), []
+    for _ in range(60):
+        shared = sentence(draw, 15)
+        out += [" ".join(template + shared + [f"n{draw.randrange(10**6)}" for _ in range(15)]) for _ in range(2)]
+        out.append(" ".join(template + sentence(draw, 32)))
+    walk = [f"c{k}" for k in range(16 * 80 + 50)]
+    out += [" ".join(template[:150] + walk[16 * k : 16 * k + 50]) for k in range(80)]
+    draw.shuffle(out)
+    return out
+
+
+def test_links_within_large_buckets_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(omh, "BLOCK", 64, raising=False)
+    texts = templated(random.Random(4))
+    runs = [kmers(t) for t in texts]
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if label[i] != label[j] and omh.aligned(runs[i], runs[j]) >= omh.SIMILARITY:
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    assert len(set(label)) == 60 + 60 + 1
+    rows = {r.doc_id: r.class_id for r in omh.classes(documents(spark, texts).repartition(5)).collect()}
+    assert rows == {i: x + 1 for i, x in enumerate(label, 1)}
+
+
+def test_counts_by_cell_never_rule_out_a_link():
+    draw = random.Random(3)
+    for n in (3, 40, 400, 30_000):
+        a = sentence(draw, n)
+        for share in (0.0, 0.01, 0.02, 0.03):
+            b = [f"n{draw.randrange(10**6)}" if draw.random() < share else w for w in a] + ["tick", "tock"] * (n // 60)
+            x, y = kmers(" ".join(a)), kmers(" ".join(b))
+            cells = [omh.cell_counts(k).tobytes() for k in (x, y)]
+            rows = pa.table({"id": [2, 1], "n": [len(x), len(y)], "label": [2, 1], "own": [True, False], "block": [0, 0], "cells": cells})
+            assert omh.aligned(x, y) < omh.SIMILARITY or omh.compare_counts(rows).num_rows == 1
+
+
 def test_order_counts():
     a = [f"w{i}" for i in range(400)]
     assert omh.aligned(kmers(" ".join(a)), kmers(" ".join(a))) == 1

@@ -2,9 +2,11 @@
 
 Numbers, names and units become typed placeholders, so a question keeps its template when its
 parameters change. Runs of template words (windows) of documents are hash-joined with those of the
-benchmark. Windows that agree at one offset between document and item form an alignment; its slots
-must map item values to document values one to one, or the shared template is chance. A document is
-contaminated by an item if consistent alignments cover enough of the item's windows.
+benchmark, and so are windows of the plain lower-cased words, which hold whatever the case, line breaks
+and number of placeholders (but a window in capitals only meets one in capitals). Windows that agree at
+one offset between document and item form an alignment; its slots must map item values to document values
+one to one. A document is contaminated by an item if the windows
+cover half of the item's windows, or of those with a template.
 
 A bitmap of fixed size, set by the benchmark's windows, keeps most document windows from leaving
 their task; it grows neither with the documents nor with the benchmark, and what passes it by chance
@@ -36,15 +38,18 @@ UNITS = (
 ).split()
 LITERAL, NUMBER, NAME, UNIT = range(4)
 _CODES = np.random.default_rng(31).integers(1, 2**63, 4, dtype=np.uint64)
+_PLAIN, _SHOUTED = np.random.default_rng(32).integers(1, 2**63, 2, dtype=np.uint64)
 #: Bytes after which a capital letter says nothing.
 _STOPS = np.isin(np.arange(256), np.frombuffer(b".!?:;\n\r\"'()[]|*#-", np.uint8))
 
 
-def templates(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Template code, value and kind of each word of all texts, and where each text's words begin.
+def templates(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Value, kind and second kind of each word of all texts, whether it has no small letter, and where
+    each text's words begin.
 
     A word that begins with a digit is a number. A capitalised word (not one in capitals) inside a
-    sentence is a name. A unit word is a unit after a number.
+    sentence is a name; one that opens a sentence, line, quote or bracket is literal in the first kind
+    and a name in the second. A unit word is a unit after a number.
     """
     raw, offsets = words.buffer_of(texts)
     starts, ends = words.bounds(raw, offsets)
@@ -66,19 +71,36 @@ def templates(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
         after_number = np.concatenate([[False], number[:-1]])
         after_number[begins] = False
         kind[capital & ~opens] = NAME
-        kind[after_number & np.isin(value, unit_values())] = UNIT
+        unit = after_number & np.isin(value, unit_values())
+        kind[unit] = UNIT
         kind[number] = NUMBER
-    return np.where(kind == LITERAL, value, _CODES[kind]), value, kind, at
+        other = np.where(capital & opens & ~unit, np.uint8(NAME), kind)
+        small = np.concatenate([[0], np.cumsum((raw >= ord("a")) & (raw <= ord("z")) | (raw >= 128), dtype=np.int64)])
+        return value, kind, other, small[ends] == small[starts], at
+    return value, kind, kind, np.zeros(0, bool), at
 
 
 def unit_values() -> np.ndarray:
     return words.lower_words(pa.array([" ".join(UNITS)]))[0]
 
 
-def template_windows(code: np.ndarray, kind: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+def plain_windows(value: np.ndarray, shouted: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of all windows of `size` lower-cased words that stay in one text; those without
+    any small letter are told from those with one."""
+    found = words.windows(value, size)
+    if not len(found):
+        return np.empty(0, np.int64), found
+    text = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    small = np.concatenate([[0], np.cumsum(~shouted)])
+    loud = small[size:] == small[:-size]
+    place = np.flatnonzero(text[: len(found)] == text[size - 1 :])
+    return place, words.mixed(found[place] + np.uint64(size) + np.where(loud, _SHOUTED, _PLAIN)[place])
+
+
+def template_windows(value: np.ndarray, kind: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of the windows of `size` words that stay in one text and hold enough literal words, and
     their hashes."""
-    found = words.windows(code, size)
+    found = words.windows(np.where(kind == LITERAL, value, _CODES[kind]), size)
     if not len(found):
         return np.empty(0, np.int64), found
     text = np.repeat(np.arange(len(at) - 1), np.diff(at))
@@ -88,40 +110,55 @@ def template_windows(code: np.ndarray, kind: np.ndarray, at: np.ndarray, size: i
     return place, words.mixed(found[place] + np.uint64(size))
 
 
-def _rows(ids: pa.Array, at: np.ndarray, parts: list[tuple[np.ndarray, np.ndarray, int]], value: np.ndarray, kind: np.ndarray) -> pa.RecordBatch:
-    """Windows as rows: id, position in the text, hash, slot values."""
-    place = np.concatenate([p for p, _, _ in parts])
-    size = np.concatenate([np.full(len(p), n) for p, _, n in parts])
+def all_windows(parsed: tuple, size: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
+    """Places and hashes of the windows of `size` words, with the kinds that tell their slots: by plain
+    words (no slots), by the first kinds, and by the second ones where these differ."""
+    value, kind, other, shouted, at = parsed
+    second, found = template_windows(value, other, at, size)
+    differ = np.concatenate([[0], np.cumsum(other != kind)])
+    changed = differ[second + size] > differ[second]
+    return [(*plain_windows(value, shouted, at, size), None), (*template_windows(value, kind, at, size), kind), (second[changed], found[changed], other)]
+
+
+def _rows(ids: pa.Array, at: np.ndarray, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray | None, int]], value: np.ndarray) -> pa.RecordBatch:
+    """Windows as rows: id, position in the text, hash, slot values, whether it is one of plain words."""
+    place = np.concatenate([p for p, _, _, _ in parts])
+    plain = np.concatenate([np.full(len(p), kind is None) for p, _, kind, _ in parts])
     owner = np.searchsorted(at, place, "right") - 1
-    slots = [value[p : p + n][kind[p : p + n] != LITERAL].view(np.int64) for p, n in zip(place, size, strict=True)]
+    none = np.empty(0, np.int64)
+    slots = [none if kind is None else value[p : p + n][kind[p : p + n] != LITERAL].view(np.int64) for own, _, kind, n in parts for p in own.tolist()]
     ends = np.concatenate([[0], np.cumsum([len(s) for s in slots])]).astype(np.int32)
-    flat = np.concatenate(slots) if slots else np.empty(0, np.int64)
+    flat = np.concatenate(slots) if slots else none
     return pa.RecordBatch.from_arrays(
         [
             ids.take(pa.array(owner)), pa.array((place - at[owner]).astype(np.int64)),
-            pa.array(np.concatenate([h for _, h, _ in parts]).view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+            pa.array(np.concatenate([h for _, h, _, _ in parts]).view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(plain, pa.bool_()),
         ],
-        names=["id", "position", "window", "slots"],
+        names=["id", "position", "window", "slots", "plain"],
     )
 
 
-_ROW = "id long, position long, window long, slots array<long>"
+_ROW = "id long, position long, window long, slots array<long>, plain boolean"
 
 
 def item_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """item_id, position, window, slots, n_words of every benchmark item of at least LEAST words; an
-    item shorter than a window is one window."""
+    """item_id, position, window, slots, plain, size of every benchmark item of at least LEAST words; an
+    item shorter than a window is one window. Each position has a window of plain words, and one or two
+    of template words if enough of them are literal."""
     rows = benchmark.where(F.col(item_id).isNotNull()).select(F.col(item_id).cast("long").alias("id"), text_of(text).alias("text")).distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words.small(batches, 1):
-            code, value, kind, at = templates(batch.column(1))
+            parsed = templates(batch.column(1))
+            value, at = parsed[0], parsed[-1]
             length = np.diff(at)
             for size in sorted({min(n, WINDOW) for n in length.tolist() if n >= LEAST}):
-                place, found = template_windows(code, kind, at, size)
-                own = np.searchsorted(at, place, "right") - 1
-                keep = np.minimum(length[own], WINDOW) == size
-                out = _rows(batch.column(0), at, [(place[keep], found[keep], size)], value, kind)
+                parts = []
+                for place, found, kinds in all_windows(parsed, size):
+                    own = np.searchsorted(at, place, "right") - 1
+                    keep = np.minimum(length[own], WINDOW) == size
+                    parts.append((place[keep], found[keep], kinds, size))
+                out = _rows(batch.column(0), at, parts, value)
                 yield out.append_column("size", pa.array(np.full(len(out), size), pa.int64()))
 
     return rows.mapInArrow(run, f"{_ROW}, size long").withColumnRenamed("id", "item_id")
@@ -138,7 +175,7 @@ def bitmap(items: DataFrame) -> np.ndarray:
 
 
 def document_windows(docs: DataFrame, items: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """The documents' windows that may be the benchmark's: id, position, window, slots."""
+    """The documents' windows that may be the benchmark's: id, position, window, slots, plain."""
     spark = docs.sparkSession
     bits = spark.sparkContext.broadcast(bitmap(items))
     sizes = [r[0] for r in items.select("size").distinct().collect()]
@@ -147,15 +184,15 @@ def document_windows(docs: DataFrame, items: DataFrame, doc_id: str, text: str)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = bits.value
         for batch in words.small(batches, 1):
-            code, value, kind, at = templates(batch.column(1))
+            parsed = templates(batch.column(1))
             parts = []
             for size in sizes:
-                place, found = template_windows(code, kind, at, size)
-                bit = found >> np.uint64(64 - BITS)
-                may = (known[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) != 0
-                parts.append((place[may], found[may], size))
-            if sum(len(p) for p, _, _ in parts):
-                yield _rows(batch.column(0), at, parts, value, kind)
+                for place, found, kinds in all_windows(parsed, size):
+                    bit = found >> np.uint64(64 - BITS)
+                    may = (known[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) != 0
+                    parts.append((place[may], found[may], kinds, size))
+            if sum(len(p) for p, _, _, _ in parts):
+                yield _rows(batch.column(0), parsed[-1], parts, parsed[0])
 
     return rows.mapInArrow(run, _ROW)
 
@@ -170,18 +207,30 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
     items = stored(item_windows(benchmark, item_id, item_text), "item_windows")
     hits = stored(document_windows(docs, items, doc_id, text), "document_windows")
     slots = F.arrays_zip(F.col("own_slots").alias("i"), F.col("slots").alias("d"))
-    own = items.select("item_id", F.col("position").alias("own"), "window", F.col("slots").alias("own_slots"))
-    joined = hits.join(own, "window").select("id", "item_id", (F.col("position") - F.col("own")).alias("offset"), "own", slots.alias("pairs"))
-    lines = joined.groupBy("id", "item_id", "offset").agg(F.collect_set("own").alias("places"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+    typed = items.groupBy("item_id", "position").agg(F.bool_or(~F.col("plain")).alias("typed"))
+    own = items.join(typed, ["item_id", "position"])
+    own = own.select("item_id", F.col("position").alias("own"), "window", F.col("slots").alias("own_slots"), "typed")
+    joined = hits.join(own, "window").select(
+        "id", "item_id", (F.col("position") - F.col("own")).alias("offset"), F.struct("own", "plain", "typed", slots.alias("pairs")).alias("w")
+    )
+    lines = joined.groupBy("id", "item_id", "offset").agg(F.collect_set("w").alias("ws"))
+    lines = lines.withColumn("pairs", F.array_distinct(F.flatten("ws.pairs")))
     distinct = lambda name: F.size(F.array_distinct(F.transform("pairs", lambda p: p[name])))
-    steady = lines.where((distinct("i") == F.size("pairs")) & (distinct("d") == F.size("pairs")))
-    changed = F.exists("pairs", lambda p: p["i"] != p["d"])
-    covered = steady.groupBy("id", "item_id").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("covered"), F.bool_and(changed).alias("reparameterised")
+    steady = (distinct("i") == F.size("pairs")) & (distinct("d") == F.size("pairs"))
+    lines = lines.where(steady)
+    places = lambda keep: F.array_distinct(F.filter("ws", keep)["own"])
+    lines = lines.select(
+        "id", "item_id", places(lambda w: F.lit(True)).alias("places"), places(lambda w: w["typed"]).alias("typed"),
+        F.exists(F.flatten("ws.pairs"), lambda p: p["i"] != p["d"]).alias("changed"),
+    )
+    union = lambda c: F.size(F.array_distinct(F.flatten(F.collect_set(c))))
+    covered = lines.where(F.size("places") > 0).groupBy("id", "item_id").agg(
+        union("places").alias("covered"), union("typed").alias("covered_typed"), F.bool_and("changed").alias("reparameterised")
     )
-    whole = items.groupBy("item_id").agg(F.countDistinct("position").alias("windows"))
-    share = (F.col("covered") / F.col("windows")).alias("coverage")
-    return covered.join(whole, "item_id").select(F.col("id").alias("doc_id"), "item_id", share, "reparameterised").where(F.col("coverage") >= COVERAGE)
+    whole = typed.groupBy("item_id").agg(F.count(F.lit(1)).alias("windows"), F.count_if("typed").alias("windows_typed"))
+    share = F.greatest(F.col("covered") / F.col("windows"), F.expr("try_divide(covered_typed, windows_typed)")).alias("coverage")
+    found = covered.join(whole, "item_id").select(F.col("id").alias("doc_id"), "item_id", share, "reparameterised")
+    return found.where(F.col("coverage") >= COVERAGE)
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -44,3 +44,15 @@ def test_rows_without_ids_and_empty_tables(spark):
     assert decontam.drop_contaminated(clashing(docs), bench).columns == clashing(docs).columns
     assert decontam.report(docs, bench.where(F.lit(False))).where("contaminated").count() == 0
     assert decontam.report(docs.where(F.lit(False)), bench).count() == 0
+
+
+def found(spark, texts, bench):
+    return {(r.doc_id, r.item_id) for r in decontam.matches(documents(spark, texts), items(spark, bench)).collect()}
+
+
+def test_case_line_breaks_and_sentence_openers(spark):
+    names = "We saw Anna meet Bert while Carl and Dora told Emil that Fritz would visit Gerda before Hans came home"
+    shop = "Tom buys 3 apples at the small shop. Tom then gives away all of them except 2 today"
+    wrapped = names.replace(" Anna", "\nAnna").replace(" Bert", ' "Bert').replace(" Carl", "\n(Carl").replace(" Dora", "\nDora").replace(" Fritz", "\nFritz").replace(" Hans", "\nHans")
+    texts = [names.lower(), wrapped, shop.replace("Tom", "Ann").replace("3", "4"), "Anna and Bert live here, they say, and nothing more of it is known to us"]
+    assert found(spark, texts, [names, shop]) == {(1, 1), (2, 1), (3, 2)}

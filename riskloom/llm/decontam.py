@@ -201,7 +201,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
     """Contaminated pairs: doc_id, item_id, coverage, reparameterised (some slot has another value).
 
     Null and empty texts hold no windows; items with fewer than LEAST words or without an id aren't
-    searched for. Documents without an id are reported together under null. Repeated rows of either
+    searched for. An item of numbers, names and units has no template windows and is found by its plain
+    words. Documents without an id are reported together under null. Repeated rows of either
     table change nothing; other columns are ignored.
     """
     items = stored(item_windows(benchmark, item_id, item_text), "item_windows")

@@ -56,3 +56,9 @@ def test_case_line_breaks_and_sentence_openers(spark):
     wrapped = names.replace(" Anna", "\nAnna").replace(" Bert", ' "Bert').replace(" Carl", "\n(Carl").replace(" Dora", "\nDora").replace(" Fritz", "\nFritz").replace(" Hans", "\nHans")
     texts = [names.lower(), wrapped, shop.replace("Tom", "Ann").replace("3", "4"), "Anna and Bert live here, they say, and nothing more of it is known to us"]
     assert found(spark, texts, [names, shop]) == {(1, 1), (2, 1), (3, 2)}
+
+
+def test_items_of_numbers_and_units(spark):
+    bench = ["Anna 3 kg, Ben 4 kg, Carl 5 kg, Dora 6 kg", "What is 12 times 7", "1 2 3 5 8 13 21 34 55 89 144"]
+    texts = ["before it " + b + " and after" for b in bench] + ["Anna 3 kg, Ben 9 kg", "What was 12 times 7"]
+    assert found(spark, texts, bench) == {(1, 1), (2, 2), (3, 3)}

@@ -4,9 +4,9 @@ Numbers, names and units become typed placeholders, so a question keeps its temp
 parameters change. Runs of template words (windows) of documents are hash-joined with those of the
 benchmark, and so are windows of the plain lower-cased words, which hold whatever the case, line breaks
 and number of placeholders (but a window in capitals only meets one in capitals). Windows that agree at
-one offset between document and item form an alignment; its slots must map item values to document values
-one to one. A document is contaminated by an item if the windows
-cover half of the item's windows, or of those with a template.
+one offset between document and item form an alignment; template windows count without those whose slots
+don't map item values to document values one to one. A document is contaminated by an item if the windows
+cover half of the item's windows, or of those with a template, or if RUN words in a row are the item's.
 
 A bitmap of fixed size, set by the benchmark's windows, keeps most document windows from leaving
 their task; it grows neither with the documents nor with the benchmark, and what passes it by chance
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskloom.llm import words
 from riskloom.llm.common import stored, table, text_of
@@ -28,6 +28,8 @@ from riskloom.llm.common import stored, table, text_of
 WINDOW, LITERALS, LEAST = 8, 5, 5
 #: Share of an item's windows that a document must hold.
 COVERAGE = 0.5
+#: Words in a row of an item that are enough by themselves.
+RUN = 13
 BITS = 26
 #: Words that are a unit when a number stands before them.
 UNITS = (
@@ -197,6 +199,18 @@ def document_windows(docs: DataFrame, items: DataFrame, doc_id: str, text: str)
     return rows.mapInArrow(run, _ROW)
 
 
+def longest_run(places: Column) -> Column:
+    """Length of the longest run of consecutive numbers in a sorted array."""
+    number = lambda x: F.lit(x).cast("long")
+    start = F.struct(number(-2).alias("last"), number(0).alias("now"), number(0).alias("best"))
+
+    def step(s: Column, x: Column) -> Column:
+        now = F.when(x == s["last"] + 1, s["now"] + 1).otherwise(number(1))
+        return F.struct(x.alias("last"), now.alias("now"), F.greatest(s["best"], now).alias("best"))
+
+    return F.aggregate(places, start, step, lambda s: s["best"])
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """Contaminated pairs: doc_id, item_id, coverage, reparameterised (some slot has another value).
 
@@ -218,20 +232,23 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
     lines = lines.withColumn("pairs", F.array_distinct(F.flatten("ws.pairs")))
     distinct = lambda name: F.size(F.array_distinct(F.transform("pairs", lambda p: p[name])))
     steady = (distinct("i") == F.size("pairs")) & (distinct("d") == F.size("pairs"))
-    lines = lines.where(steady)
+    torn = F.filter("pairs", lambda p: F.exists("pairs", lambda q: (q["i"] == p["i"]) != (q["d"] == p["d"])))
+    lines = lines.withColumn("torn", F.when(steady, F.array_except("pairs", "pairs")).otherwise(torn))
+    lines = lines.withColumn("ws", F.filter("ws", lambda w: w["plain"] | ~F.arrays_overlap(w["pairs"], F.col("torn"))))
     places = lambda keep: F.array_distinct(F.filter("ws", keep)["own"])
     lines = lines.select(
         "id", "item_id", places(lambda w: F.lit(True)).alias("places"), places(lambda w: w["typed"]).alias("typed"),
+        longest_run(F.array_sort(places(lambda w: w["plain"]))).alias("run"),
         F.exists(F.flatten("ws.pairs"), lambda p: p["i"] != p["d"]).alias("changed"),
     )
     union = lambda c: F.size(F.array_distinct(F.flatten(F.collect_set(c))))
     covered = lines.where(F.size("places") > 0).groupBy("id", "item_id").agg(
-        union("places").alias("covered"), union("typed").alias("covered_typed"), F.bool_and("changed").alias("reparameterised")
+        union("places").alias("covered"), union("typed").alias("covered_typed"), F.max("run").alias("run"), F.bool_and("changed").alias("reparameterised")
     )
     whole = typed.groupBy("item_id").agg(F.count(F.lit(1)).alias("windows"), F.count_if("typed").alias("windows_typed"))
     share = F.greatest(F.col("covered") / F.col("windows"), F.expr("try_divide(covered_typed, windows_typed)")).alias("coverage")
-    found = covered.join(whole, "item_id").select(F.col("id").alias("doc_id"), "item_id", share, "reparameterised")
-    return found.where(F.col("coverage") >= COVERAGE)
+    found = covered.join(whole, "item_id").select(F.col("id").alias("doc_id"), "item_id", share, "reparameterised", "run")
+    return found.where((F.col("coverage") >= COVERAGE) | (F.col("run") > RUN - WINDOW)).drop("run")
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

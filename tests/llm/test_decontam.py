@@ -62,3 +62,11 @@ def test_items_of_numbers_and_units(spark):
     bench = ["Anna 3 kg, Ben 4 kg, Carl 5 kg, Dora 6 kg", "What is 12 times 7", "1 2 3 5 8 13 21 34 55 89 144"]
     texts = ["before it " + b + " and after" for b in bench] + ["Anna 3 kg, Ben 9 kg", "What was 12 times 7"]
     assert found(spark, texts, bench) == {(1, 1), (2, 2), (3, 3)}
+
+
+def test_long_runs_and_single_torn_slots(spark):
+    long = " ".join(f"w{k}" for k in range(300))
+    count = "then we counted 7 birds in the old tree near the house and after a while we saw 7 birds again in the same tree"
+    quote = lambda n: "so it says: " + " ".join(long.split()[100 : 100 + n]) + " and so on"
+    texts = [quote(20), quote(13), quote(12), count.replace("7", "9", 1), "nothing of it"]
+    assert found(spark, texts, [long, count]) == {(1, 1), (2, 1), (4, 2)}

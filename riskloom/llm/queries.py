@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskloom.llm import bpe, chat, decontam, exact_dedup, lm_scoring, order_minhash, pii, quality, token_counts, warc
+from riskloom.llm import bpe, chat, decontam, exact_dedup, jaccard_join, lm_scoring, order_minhash, pii, quality, token_counts, warc
 
 QUERIES = {
     "op1_quality": quality.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_lm_scoring": lm_scoring.query,
     "op9_token_counts": token_counts.query,
     "op10_exact_dedup": exact_dedup.query,
+    "op11_jaccard_join": jaccard_join.query,
 }
 CHECKS = {
     "op3_chat_format": chat.CHECK,

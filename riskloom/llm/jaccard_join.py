@@ -11,9 +11,10 @@ inequality tells which regions can hold links between them.
    shingles. Regions in different groups whose members share such a shingle are paired, once per pair
    of regions. With d the exact distance of the two pivots and r1, r2 the regions' radii, a pair with
    d > RADIUS + r1 + r2 holds no link.
-3. *Recursion.* Where a pair of regions stays open, the members in the window of the other pivot (their
-   distance to it, bounded below by the triangle inequality, is small enough) are measured against
-   that pivot, and what still is in both windows and not in one group is compared directly.
+3. *Recursion.* Where a pair of regions stays open, the same test recurs between their members: those
+   at distances own1 and own2 from their pivots can only be linked if d <= RADIUS + own1 + own2, and if
+   they share enough first shingles. What passes is measured exactly, the likeliest first, until the set
+   has come into one group with the region or no member is left.
 
 The order of shingles puts common ones last, so the shingles that many documents share (boilerplate,
 passages) come into play only for sets that consist of them. What is common follows from exact counts
@@ -44,6 +45,11 @@ SEEDS, AGREE = 8, 2
 COMMON, MOST = 32, 500_000
 #: Bits of the bitmaps, and shingles in a part of the counts.
 BITS, COUNTED = 26, 1 << 22
+#: Members of a region in a block of the comparison between open regions.
+SIDE = 1024
+#: Members that a set is measured against first, most shared shingles first; then four times as many, as long as
+#: it has come into no group with their region.
+FIRST = 8
 _WORD = runs.without(bytes([0x20, *range(0x09, 0x0E)]))
 _SEEDS = np.random.default_rng(51).integers(1, 2**63, SEEDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MARKS = np.random.default_rng(52).integers(1, 2**63, 2, dtype=np.uint64) | np.uint64(1)
@@ -197,11 +203,16 @@ def measured(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def near_pivots(nodes: DataFrame) -> DataFrame:
-    """Pairs a (set), b (pivot): the smallest node under a minimum hash is a pivot for all others there."""
+    """Pairs a (set), b (pivot). Under each minimum hash the set that meets most others under all of its
+    own is a pivot for the others: among copies that is one with few changes, often their original."""
     rows = nodes.select("node", "n", F.posexplode("mins").alias("seed", "low"))
-    first = rows.groupBy("seed", "low").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("size")).where("size > 1").select("seed", "low", "pivot")
-    met = rows.select("node", "n", "seed", "low").join(stored(first, "pivots"), ["seed", "low"]).where("node != pivot")
-    pairs = met.groupBy("node", "n", "pivot").agg(F.count(F.lit(1)).alias("agree")).where(F.col("agree") >= F.least(F.lit(AGREE), "n"))
+    several = stored(rows.groupBy("seed", "low").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "meetings")
+    rows = stored(rows.join(several, ["seed", "low"]), "met")
+    met = rows.groupBy("node").agg(F.sum("size").alias("met"))
+    best = rows.select("node", "seed", "low").join(met, "node").groupBy("seed", "low").agg(F.max(F.struct("met", (-F.col("node")).alias("node"))).alias("best"))
+    pivots = stored(best.select("seed", "low", (-F.col("best.node")).alias("pivot")), "pivots")
+    pairs = rows.join(pivots, ["seed", "low"]).where("node != pivot").groupBy("node", "n", "pivot").agg(F.count(F.lit(1)).alias("agree"))
+    pairs = pairs.where(F.col("agree") >= F.least(F.lit(AGREE), "n"))
     sized = pairs.join(nodes.select(F.col("node").alias("pivot"), F.col("n").alias("m")), "pivot")
     fits = PART * F.least("n", "m") >= LEAST * F.greatest("n", "m")
     return sized.where(fits).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
@@ -265,25 +276,60 @@ def grouped(pairs: DataFrame, labels: DataFrame, *columns: str) -> DataFrame:
     return pairs.where(F.col(f"{columns[0]}_label") != F.col(f"{columns[1]}_label")).drop(*[f"{c}_label" for c in columns])
 
 
-def window_links(apart: DataFrame, place: DataFrame, keyed: DataFrame, fetch, links: DataFrame) -> DataFrame:
-    """Links between members of regions that stay open; `apart`: p, q, d, r_p, r_q."""
-    members = stored(place.where("node != region").select("node", "region", F.col("d").alias("own")), "members")
-    sides = apart.select(F.col("p").alias("region"), F.col("q").alias("pivot"), "d", F.col("r_q").alias("reach")).unionByName(
-        apart.select(F.col("q").alias("region"), F.col("p").alias("pivot"), "d", F.col("r_p").alias("reach"))
-    )
-    inside = F.abs(F.col("d") - F.col("own")) <= RADIUS + F.col("reach") + _EPS
-    crossing = stored(sides.join(members, "region").where(inside).select("node", "region", "pivot", "own", "reach"), "crossing")
-    to_pivot = grouped(crossing.select(F.col("node").alias("a"), F.col("pivot").alias("b")), components(links), "a", "b").distinct()
-    to_pivot = stored(measured(to_pivot, fetch(to_pivot)), "to_pivots")
-    links = stored(links.unionByName(to_pivot.where("linked").select("a", "b")), "links")
-    near = crossing.join(to_pivot.select(F.col("a").alias("node"), F.col("b").alias("pivot"), F.col("d").alias("far")), ["node", "pivot"])
-    near = stored(near.where(F.col("far") <= RADIUS + F.col("reach") + _EPS), "in_windows")
-    rows = near.join(keyed, "node").select("key", F.col("node").alias("a"), "region", "pivot", F.col("own").alias("own_a"), F.col("far").alias("far_a"))
-    back = rows.select("key", F.col("a").alias("b"), F.col("region").alias("pivot"), F.col("pivot").alias("region"), F.col("own_a").alias("own_b"), F.col("far_a").alias("far_b"))
-    triangle = (F.abs(F.col("far_a") - F.col("own_b")) <= RADIUS + _EPS) & (F.abs(F.col("far_b") - F.col("own_a")) <= RADIUS + _EPS)
-    pairs = rows.join(back, ["key", "region", "pivot"]).where(F.col("a") < F.col("b")).where(triangle).select("a", "b").distinct()
-    pairs = stored(grouped(pairs, components(links), "a", "b"), "member_pairs")
-    return stored(links.unionByName(measured(pairs, fetch(pairs)).where("linked").select("a", "b")), "links")
+def compare_members(rows: pa.Table) -> pa.Table:
+    """For each b (of another region) the members of region p that may be linked with it, from their distances
+    to their pivots, the distance `d` of the pivots and the number of first shingles that they share; those
+    that share most come first."""
+    mine = rows["mine"].to_numpy()
+    node, n, own, label, d = (rows[c].to_numpy() for c in ("node", "n", "own", "label", "d"))
+    lists = rows["keys"].combine_chunks()
+    flat, at = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()
+    left, right = np.flatnonzero(mine), np.flatnonzero(~mine)
+    held = np.concatenate([np.empty(0, np.uint64), *[flat[at[i] : at[i + 1]] for i in left]])
+    owner = np.repeat(np.arange(len(left)), at[left + 1] - at[left])
+    order = np.argsort(held, kind="stable")
+    held, owner = held[order], owner[order]
+    found: dict[str, list] = {"p": [], "b": [], "others": []}
+    for k in right:
+        keys = np.sort(flat[at[k] : at[k + 1]])
+        low, high = np.searchsorted(held, keys, "left"), np.searchsorted(held, keys, "right")
+        met = np.concatenate([np.empty(0, np.int64), *[owner[x:y] for x, y in zip(low, high, strict=True) if y > x]])
+        shared = np.bincount(met, minlength=len(left))
+        most = np.maximum(n[left], n[k])
+        may = (shared > 0) & (label[left] != label[k]) & (own[left] + own[k] + RADIUS + _EPS >= d[k])
+        may &= (PART + LEAST) * (shared + LEAST * most // PART) >= LEAST * (n[left] + n[k])
+        if may.any():
+            best = np.flatnonzero(may)
+            best = best[np.lexsort((node[left[best]], -shared[best]))]
+            for name, value in (("p", rows["p"][0].as_py()), ("b", int(node[k])), ("others", node[left[best]])):
+                found[name].append(value)
+    return pa.table(found, schema=pa.schema({"p": pa.int64(), "b": pa.int64(), "others": pa.list_(pa.int64())}))
+
+
+def member_pairs(apart: DataFrame, place: DataFrame, nodes: DataFrame) -> DataFrame:
+    """p, b, others: members of regions that stay open, not in one group and maybe linked; `apart`: p, q, d.
+    Lists have at most the members of a block.
+
+    The members are dealt to tasks in blocks of about SIDE, those of one region against those of all
+    regions that it is open to.
+    """
+    among = apart.select("p").unionAll(apart.select("q")).distinct().withColumnRenamed("p", "region")
+    members = stored(place.join(among, "region").join(nodes.select("node", "keys"), "node").select("region", "node", "n", F.col("d").alias("own"), "label", "keys"), "open_members")
+    sizes = stored(members.groupBy("region").agg(F.count(F.lit(1)).alias("size")), "open_sizes")
+    both = apart.join(sizes.toDF("p", "size_p"), "p").join(sizes.toDF("q", "size_q"), "q")
+    swap = F.col("size_q") > F.col("size_p")
+    turned = both.select(F.when(swap, F.col("q")).otherwise(F.col("p")).alias("p"), F.when(swap, F.col("p")).otherwise(F.col("q")).alias("region"), "d")
+    guests = stored(turned.join(members, "region").select("p", "d", "node", "n", "own", "label", "keys"), "guests")
+    blocks = guests.groupBy("p").agg(F.ceil(F.count(F.lit(1)) / SIDE).alias("theirs")).join(sizes.toDF("p", "size"), "p")
+    blocks = stored(blocks.select("p", "theirs", F.ceil(F.col("size") / SIDE).alias("ours")), "open_blocks")
+    deal = lambda own, other: (F.pmod(F.xxhash64("node"), F.col(own)), F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)))
+    columns = ["p", "i", "j", "mine", "node", "n", "own", "label", "d", "keys"]
+    i, j = deal("ours", "theirs")
+    left = members.withColumnRenamed("region", "p").join(blocks, "p").withColumns({"i": i, "mine": F.lit(True), "d": F.lit(0.0)}).withColumn("j", j)
+    i, j = deal("theirs", "ours")
+    right = guests.join(blocks, "p").withColumns({"j": i, "mine": F.lit(False)}).withColumn("i", j)
+    dealt = left.select(*columns).unionByName(right.select(*columns))
+    return stored(dealt.groupBy("p", "i", "j").applyInArrow(compare_members, "p long, b long, others array<long>"), "member_pairs")
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -327,8 +373,20 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     labels = components(links)
     apart = stored(grouped(apart, labels, "p", "q"), "open_regions")
     if not apart.isEmpty():
-        links = window_links(apart, place, keyed, fetch, links)
-        labels = components(links)
+        place = place.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        left = member_pairs(apart, place, nodes)
+        texts = fetch(left.select(F.explode("others").alias("a"), "b"))
+        done, step = 0, FIRST
+        while not left.isEmpty():
+            pairs = left.select(F.explode(F.slice("others", done + 1, step)).alias("a"), "b").distinct()
+            more = stored(measured(stored(pairs, "member_step"), texts).where("linked").select("a", "b"), "more_links")
+            done, step = done + step, 4 * step
+            left = left.where(F.size("others") > done)
+            if not more.isEmpty():
+                links = stored(links.unionByName(more), "links")
+                labels = components(links)
+                left = grouped(left, labels, "p", "b")
+            left = stored(left, "left_members")
     known = nodes.select("a", "b", "node", "doc_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     known = stored(known, "labelled")
     names = known.groupBy("label").agg(F.min("doc_id").alias("component_id"))

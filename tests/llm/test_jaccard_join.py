@@ -77,15 +77,16 @@ def test_chains_between_regions(spark, monkeypatch):
     draw.shuffle(rows)
     docs = documents(spark, rows)
     seen = []
-    inner = jj.window_links
+    inner = jj.member_pairs
 
     def watched(apart, *rest):
         seen.append(apart.count())
         return inner(apart, *rest)
 
-    monkeypatch.setattr(jj, "window_links", watched)
-    for agree in (2, 6):
+    monkeypatch.setattr(jj, "member_pairs", watched)
+    for agree, side in ((2, 1024), (6, 3)):
         monkeypatch.setattr(jj, "AGREE", agree)
+        monkeypatch.setattr(jj, "SIDE", side)
         assert found(jj.classes(docs)) == brute(rows)
     assert max(seen) > 0
 

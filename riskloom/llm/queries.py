@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskloom.llm import bpe, chat, decontam, divergence, exact_dedup, jaccard_join, lm_scoring, order_minhash, pii, quality, token_counts, warc
+from riskloom.llm import bpe, chat, collocations, decontam, divergence, exact_dedup, jaccard_join, lm_scoring, order_minhash, pii, quality, token_counts, warc
 
 QUERIES = {
     "op1_quality": quality.query,
@@ -17,10 +17,12 @@ QUERIES = {
     "op10_exact_dedup": exact_dedup.query,
     "op11_jaccard_join": jaccard_join.query,
     "op12_divergence": divergence.query,
+    "op13_collocations": collocations.query,
 }
 CHECKS = {
     "op3_chat_format": chat.CHECK,
     "op4_warc": warc.CHECK,
     "op10_exact_dedup": exact_dedup.CHECK,
     "op12_divergence": divergence.CHECK,
+    "op13_collocations": collocations.CHECK,
 }

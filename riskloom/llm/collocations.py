@@ -28,7 +28,7 @@ from riskloom.llm.words import mixed
 
 LONGEST, OFTEN, TOP = 5, 100, 2000
 #: Bytes of text in which a task adds up fingerprints at once.
-BYTES = 1 << 23
+BYTES = 1 << 22
 _STOPS = b".,;:!?" + bytes(range(0x0A, 0x0E))
 _WORD, _PIECE = runs.without(b" \t" + _STOPS), runs.without(_STOPS)
 _BASES = [int(x) | 1 for x in np.random.default_rng(61).integers(2**60, 2**63, 2)]
@@ -37,16 +37,23 @@ _SALT = np.random.default_rng(62).integers(1, 2**63, 3, dtype=np.uint64) | np.ui
 MASK = 2**64 - 1
 
 
-def fingerprints(value: np.ndarray, lang: np.ndarray, start: np.ndarray, size: int, base: int) -> np.ndarray:
-    """Fingerprints of the runs of `size` words that begin at the places `start`; `lang`: a number of their language."""
-    power = np.full(len(value) + 1, base, np.uint64)
-    power[0] = 1
-    back = np.full(len(value) + 1, pow(base, -1, 2**64), np.uint64)
-    back[0] = 1
-    power, back = np.cumprod(power), np.cumprod(back)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value * power[:-1])])
-    run = (sums[start + size] - sums[start]) * back[start]
-    return mixed(mixed(run * _SALT[0] + lang * _SALT[1]) + np.full(1, size, np.uint64) * _SALT[2])
+def powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out)
+
+
+class Polynomial:
+    """Sums of value * base**place up to each word, and the inverse powers that move a run to place 0."""
+
+    def __init__(self, value: np.ndarray, base: int):
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value * powers(base, len(value)))])
+        self.back = powers(pow(base, -1, 2**64), len(value))
+
+    def prints(self, lang: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
+        """Fingerprints of the runs of `size` words that begin at the places `start`; `lang`: a number of their language."""
+        run = (self.sums[start + size] - self.sums[start]) * self.back[start]
+        return mixed(mixed(run * _SALT[0] + lang * _SALT[1]) + np.full(1, size, np.uint64) * _SALT[2])
 
 
 class Words:
@@ -59,8 +66,10 @@ class Words:
         self.doc = np.searchsorted(offsets, self.start, "right") - 1
         self.lang = lang[self.doc]
         self.begin = offsets
-        stops = np.concatenate([[0], np.cumsum(~_PIECE[self.raw], dtype=np.int64)])
+        stops = np.zeros(len(self.raw) + 1, np.int32)
+        np.cumsum(~_PIECE[self.raw], dtype=np.int32, out=stops[1:])
         self.piece = stops[self.start] + self.doc
+        self.polynomials: dict[int, Polynomial] = {}
 
     def runs(self, size: int) -> np.ndarray:
         """Places of all runs of `size` words inside pieces."""
@@ -68,7 +77,9 @@ class Words:
         return np.flatnonzero(self.piece[: max(last, 0)] == self.piece[size - 1 :]) if last > 0 else np.empty(0, np.int64)
 
     def prints(self, start: np.ndarray, size: int, which: int = 0) -> np.ndarray:
-        found = fingerprints(self.value, self.lang[start], start, size, _BASES[which])
+        if which not in self.polynomials:
+            self.polynomials[which] = Polynomial(self.value, _BASES[which])
+        found = self.polynomials[which].prints(self.lang[start], start, size)
         return found if which else found & np.uint64(MASK)
 
 

@@ -7,10 +7,9 @@ to one occurrence, never phrases. A second, independent fingerprint keeps phrase
 collide; the phrases are then read from the texts that the pointers name and must give both
 fingerprints again. Only frequent phrases are ever turned into text.
 
-A run of words can only be frequent if its words are, and one of three or more only if its pairs are.
-Words are counted first, then pairs of frequent words, then everything whose pairs are frequent. What is
-frequent goes to the tasks as a bitmap of fixed size: what passes it by chance is counted and found
-rare.
+A run of words can only be frequent if all its parts are. Words are counted first, then pairs of frequent
+words, triples of frequent pairs, then all that these leave. What is frequent goes to the tasks as
+bitmaps of fixed size: what passes one by chance is counted and found rare.
 """
 
 from __future__ import annotations
@@ -27,8 +26,10 @@ from riskloom.llm.jaccard_join import bitmap, in_bitmap
 from riskloom.llm.words import mixed
 
 LONGEST, OFTEN, TOP = 5, 100, 2000
-#: Bytes of text in which a task adds up fingerprints at once.
-BYTES = 1 << 22
+#: Runs of up to so many words are counted before longer ones.
+COUNTED = 3
+#: Bytes of text that a task looks at at once, bytes of entries that it holds, words that make one range.
+BYTES, HELD, RANGE = 1 << 22, 1 << 25, 1 << 21
 _STOPS = b".,;:!?" + bytes(range(0x0A, 0x0E))
 _WORD, _PIECE = runs.without(b" \t" + _STOPS), runs.without(_STOPS)
 _BASES = [int(x) | 1 for x in np.random.default_rng(61).integers(2**60, 2**63, 2)]
@@ -83,98 +84,135 @@ class Words:
         return found if which else found & np.uint64(MASK)
 
 
-def added(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(prints, return_counts=True)
-
-
 def prepared(docs: DataFrame, text: str, lang: str) -> DataFrame:
     """lang, its number, the text's hash, text."""
     name = F.coalesce(F.col(lang).cast("string"), F.lit("und"))
-    return docs.select(name.alias("lang"), F.xxhash64(name).alias("lang_number"), F.xxhash64(text_of(text)).alias("t"), text_of(text).alias("text"))
+    return docs.select(name.alias("lang"), F.xxhash64(name).alias("number"), F.xxhash64(text_of(text)).alias("t"), text_of(text).alias("text"))
 
 
-def word_counts(rows: DataFrame) -> DataFrame:
-    """lang, print, n: counts of words by task and fingerprint, and of all words of a language without one."""
+def languages(rows: DataFrame) -> DataFrame:
+    """lang, number, total (words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in runs.parts(batches, 3, BYTES):
             w = Words(batch.column(3), batch.column(1).to_numpy().view(np.uint64))
-            every = np.arange(len(w.value))
-            prints, first, many = np.unique(w.prints(every, 1), return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(w.doc[first])), pa.array(prints.view(np.int64)), pa.array(many)], names=["lang", "print", "n"])
             _, first, many = np.unique(w.lang, return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(w.doc[first])), pa.nulls(len(many), pa.int64()), pa.array(many)], names=["lang", "print", "n"])
+            own = pa.array(w.doc[first])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(own), batch.column(1).take(own), pa.array(many)], names=["lang", "number", "n"])
+
+    return rows.mapInArrow(run, "lang string, number long, n long").groupBy("lang", "number").agg(F.sum("n").alias("total"))
+
 
-    return rows.mapInArrow(run, "lang string, print long, n long")
+#: What tasks add up: a count by fingerprint, and the same with the second fingerprint and one occurrence.
+COUNT = np.dtype([("print", "<u8"), ("n", "<i8")])
+POINTED = np.dtype([("print", "<u8"), ("check", "<u8"), ("n", "<i8"), ("number", "<i8"), ("size", "<i8"), ("t", "<i8"), ("start", "<i8"), ("length", "<i8")])
 
 
-def frequent_bits(rows: DataFrame) -> np.ndarray:
-    """Bitmap of the fingerprints with OFTEN occurrences. `rows`: print, n."""
-    return bitmap(stored(rows.groupBy("print").agg(F.sum("n").alias("n")).where(F.col("n") >= OFTEN).select("print"), "frequent"), "print")
+def combined(entries: np.ndarray) -> np.ndarray:
+    """One entry for each fingerprint (or two), the counts added; the pointer is picked by a hash, so that
+    the pointers of many phrases don't all name the same text."""
+    if not len(entries):
+        return entries
+    if "check" in entries.dtype.names:
+        order = np.lexsort((mixed(entries["t"].view(np.uint64) ^ entries["print"]), entries["check"], entries["print"]))
+        entries = entries[order]
+        new = (entries["print"][1:] != entries["print"][:-1]) | (entries["check"][1:] != entries["check"][:-1])
+    else:
+        entries = entries[np.argsort(entries["print"], kind="stable")]
+        new = entries["print"][1:] != entries["print"][:-1]
+    first = np.flatnonzero(np.append(True, new))
+    out = entries[first]
+    out["n"] = np.add.reduceat(entries["n"], first)
+    return out
 
 
-def pair_counts(rows: DataFrame, words) -> DataFrame:
-    """print, n: counts of pairs of frequent words by task and fingerprint."""
+def often(rows: DataFrame, power: int, kind: np.dtype, found) -> DataFrame:
+    """Entries of `kind` with OFTEN occurrences. `found(words, batch)` gives the fingerprints' entries of a batch.
+
+    A task adds up its entries and sends them packed, by ranges of fingerprints; there are 2**power
+    ranges, in number as the words, so that each is of bounded size.
+    """
+    top = np.uint64(64 - power)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [np.empty(0, kind)], 0
+
+        def packed() -> pa.RecordBatch:
+            whole = combined(np.concatenate(held))
+            cut = np.append(np.searchsorted(whole["print"], np.arange(1 << power, dtype=np.uint64) << top), len(whole)) if power else np.array([0, len(whole)])
+            own = [k for k in range(1 << power) if cut[k + 1] > cut[k]]
+            return pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array([whole[cut[k] : cut[k + 1]].tobytes() for k in own], pa.binary())], names=["part", "entries"])
+
         for batch in runs.parts(batches, 3, BYTES):
             w = Words(batch.column(3), batch.column(1).to_numpy().view(np.uint64))
-            often = in_bitmap(words.value, w.prints(np.arange(len(w.value)), 1))
-            start = w.runs(2)
-            prints, many = added(w.prints(start[often[start] & often[start + 1]], 2))
-            yield pa.RecordBatch.from_arrays([pa.array(prints.view(np.int64)), pa.array(many)], names=["print", "n"])
+            held.append(combined(found(w, batch)))
+            size += held[-1].nbytes
+            if size > HELD:
+                yield packed()
+                held, size = [np.empty(0, kind)], 0
+        if size:
+            yield packed()
 
-    return rows.mapInArrow(run, "print long, n long")
+    names = list(kind.names)
 
+    def summed(table: pa.Table) -> pa.Table:
+        whole = combined(np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table["entries"]]))
+        whole = whole[whole["n"] >= OFTEN]
+        return pa.table([np.ascontiguousarray(whole[c]).view(np.int64) for c in names], names=names)
 
-_ROW = "lang string, size long, print long, check long, n long, t long, start long, length long"
+    sent = rows.mapInArrow(run, "part long, entries binary")
+    return stored(sent.groupBy("part").applyInArrow(summed, ", ".join(f"{c} long" for c in names)), "frequent")
 
 
-def run_counts(rows: DataFrame, words, pairs) -> DataFrame:
-    """lang, size, print, check, n and a pointer (t, start, length) of frequent words, pairs, and longer runs
-    of frequent pairs, by task and fingerprint."""
+def pointed(w: Words, batch: pa.RecordBatch, start: np.ndarray, size: int) -> np.ndarray:
+    out = np.empty(len(start), POINTED)
+    doc = w.doc[start]
+    out["print"], out["check"], out["n"], out["size"] = w.prints(start, size), w.prints(start, size, 1), 1, size
+    out["number"], out["t"] = batch.column(1).to_numpy()[doc], batch.column(2).to_numpy()[doc]
+    out["start"], out["length"] = w.start[start] - w.begin[doc], w.end[start + size - 1] - w.start[start]
+    return combined(out)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in runs.parts(batches, 3, BYTES):
-            w = Words(batch.column(3), batch.column(1).to_numpy().view(np.uint64))
-            t = batch.column(2).to_numpy()
-            every = np.arange(len(w.value))
-            yield from counted(w, batch.column(0), t, every[in_bitmap(words.value, w.prints(every, 1))], 1)
-            two = w.runs(2)
-            paired = np.zeros(len(w.value) + LONGEST, bool)
-            paired[two[in_bitmap(pairs.value, w.prints(two, 2))]] = True
-            for size in range(2, LONGEST + 1):
-                start = w.runs(size)
-                for j in range(size - 1):
-                    start = start[paired[start + j]]
-                yield from counted(w, batch.column(0), t, start, size)
-
-    return rows.mapInArrow(run, _ROW)
-
-
-def counted(w: Words, lang: pa.Array, t: np.ndarray, start: np.ndarray, size: int) -> Iterator[pa.RecordBatch]:
-    if not len(start):
-        return
-    prints, check = w.prints(start, size), w.prints(start, size, 1)
-    order = np.lexsort((check, prints))
-    a, b = prints[order], check[order]
-    first = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
-    at = start[order[first]]
-    doc = w.doc[at]
-    begin = w.start[at] - w.begin[doc]
-    yield pa.RecordBatch.from_arrays(
-        [
-            lang.take(pa.array(doc)), pa.array(np.full(len(at), size)), pa.array(a[first].view(np.int64)), pa.array(b[first].view(np.int64)),
-            pa.array(np.diff(np.append(first, len(a)))), pa.array(t[doc]), pa.array(begin), pa.array(w.end[at + size - 1] - w.start[at]),
-        ],
-        names=["lang", "size", "print", "check", "n", "t", "start", "length"],
-    )
+
+def counted(prints: np.ndarray) -> np.ndarray:
+    found, many = np.unique(prints, return_counts=True)
+    out = np.empty(len(found), COUNT)
+    out["print"], out["n"] = found, many
+    return out
+
+
+def frequent_runs(rows: DataFrame, words_in_all: int) -> DataFrame:
+    """Entries (POINTED) of all runs of one to LONGEST words with OFTEN occurrences.
+
+    Level by level: words, pairs of frequent words, triples of frequent pairs, and at last everything whose
+    triples (or pairs, or words) are frequent, with pointers.
+    """
+    spark = rows.sparkSession
+    power = max(0, (words_in_all // RANGE).bit_length())
+    levels: list = []
+
+    def starts(w: Words, size: int) -> np.ndarray:
+        """Places of the runs whose own longest counted parts are frequent."""
+        start = w.runs(size)
+        for k, bits in enumerate(levels, 1):
+            if k > size:
+                break
+            good = np.zeros(len(w.value) + LONGEST, bool)
+            place = w.runs(k)
+            good[place[in_bitmap(bits.value, w.prints(place, k))]] = True
+            for j in range(size - k + 1):
+                start = start[good[start + j]]
+        return start
+
+    for size in range(1, COUNTED + 1):
+        one = often(rows, power, COUNT, lambda w, _, size=size: counted(w.prints(starts(w, size), size)))
+        levels.append(spark.sparkContext.broadcast(bitmap(one, "print")))
+    return often(rows, power, POINTED, lambda w, batch: np.concatenate([pointed(w, batch, starts(w, size), size) for size in range(1, LONGEST + 1)]))
 
 
 def read_phrases(rows: DataFrame, frequent: DataFrame) -> DataFrame:
     """lang, size, print, check, a, words: the frequent runs of two and more words with their words, read from
     the texts of their pointers; what doesn't give both fingerprints again is left out."""
-    wanted = stored(frequent.where("size > 1").select("lang", "size", "print", "check", "a", "at.t", "at.start", "at.length"), "pointers")
+    wanted = stored(frequent.where("size > 1").select("lang", "size", "print", "check", "a", "number", "t", "start", "length"), "pointers")
     bits = rows.sparkSession.sparkContext.broadcast(bitmap(wanted, "t"))
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,7 +223,7 @@ def read_phrases(rows: DataFrame, frequent: DataFrame) -> DataFrame:
 
     texts = rows.select("t", "text").mapInArrow(near, "t long, text string")
     texts = texts.withColumn("rank", F.row_number().over(Window.partitionBy("t").orderBy("t"))).where("rank = 1").select("t", "text")
-    lists = wanted.groupBy("t").agg(F.collect_list(F.struct(F.xxhash64("lang").alias("number"), "lang", "size", "print", "check", "a", "start", "length")).alias("found"))
+    lists = wanted.groupBy("t").agg(F.collect_list(F.struct("number", "lang", "size", "print", "check", "a", "start", "length")).alias("found"))
     schema = "lang string, size long, print long, check long, a long, words array<string>"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,15 +287,11 @@ def phrases(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFram
     An empty table, or one without a phrase of OFTEN occurrences, gives an empty result; other columns are
     ignored. Counts are exact as far as two 64-bit fingerprints tell phrases apart.
     """
-    spark = docs.sparkSession
     rows = prepared(docs, text, lang)
-    single = stored(word_counts(rows).groupBy("lang", "print").agg(F.sum("n").alias("n")), "word_counts")
-    totals = single.where("print IS NULL").select("lang", F.col("n").alias("total"))
-    words = spark.sparkContext.broadcast(frequent_bits(single.where("print IS NOT NULL")))
-    pairs = spark.sparkContext.broadcast(frequent_bits(pair_counts(rows, words)))
-    spread = F.struct(F.xxhash64("print", "t").alias("k"), "t", "start", "length")
-    every = run_counts(rows, words, pairs).groupBy("lang", "size", "print", "check").agg(F.sum("n").alias("a"), F.min(spread).alias("at"))
-    frequent = stored(every.where(F.col("a") >= OFTEN), "frequent_runs")
+    totals = stored(languages(rows), "languages")
+    whole = totals.agg(F.sum("total")).first()[0] or 0
+    named = frequent_runs(rows, whole).withColumnRenamed("n", "a").join(totals.select("lang", "number"), "number")
+    frequent = stored(named, "frequent_runs")
     found = read_phrases(rows, frequent)
     parts = stored(parts_of(found), "parts")
     counts = frequent.select("lang", F.col("size").alias("part_size"), F.col("print").alias("part_print"), F.col("check").alias("part_check"), F.col("a").alias("part_a"))
@@ -265,7 +299,7 @@ def phrases(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFram
     key = ["lang", "print", "check"]
     left = ends.where("place = 0").select(*key, "a", F.col("part_size").alias("cut"), F.col("part_a").alias("l"))
     right = ends.where("place > 0").select(*key, F.col("place").alias("cut"), F.col("part_a").alias("r"))
-    cuts = left.join(right, [*key, "cut"]).join(totals, "lang")
+    cuts = left.join(right, [*key, "cut"]).join(totals.drop("number"), "lang")
     cuts = cuts.withColumn("score", _score(F.col("a"), F.col("total"), F.col("l"), F.col("r")))
     best = cuts.groupBy(*key).agg(F.min(F.struct("score", "cut", "l", "r", F.col("total").alias("n"))).alias("best"))
     covered = parts.where("part_size > 1").groupBy("lang", F.col("part_print").alias("print"), F.col("part_check").alias("check")).agg(F.max("a").alias("longer"))

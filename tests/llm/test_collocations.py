@@ -57,7 +57,7 @@ def table(draw):
 @pytest.mark.parametrize(("mask", "top", "size"), [(2**64 - 1, 2000, 1 << 23), (2**64 - 2**57, 7, 2000)])
 def test_equal_to_counting_phrases(spark, monkeypatch, mask, top, size):
     """The second case has fingerprints of seven bits, which collide, small parts and a low limit."""
-    for name, value in (("OFTEN", 12), ("MASK", mask), ("TOP", top), ("BYTES", size)):
+    for name, value in (("OFTEN", 12), ("MASK", mask), ("TOP", top), ("BYTES", size), ("HELD", 4 * size), ("RANGE", size)):
         monkeypatch.setattr(co, name, value)
     rows = table(random.Random(3))
     docs = clashing(spark.createDataFrame(rows, DOC)).repartition(5)

@@ -251,21 +251,22 @@ def open_pairs(keyed: DataFrame, place: DataFrame) -> DataFrame:
 
     `shared` counts the first shingles that the two regions share. Two linked sets have all their
     shared shingles among the first ones of both or behind the end of the shorter ones, which bounds
-    from below how many must be among the first; no set shares more of them than it has in common with any
-    other (`few`).
+    from below how many must be among the first. No set can share more than `cap`: all but those of its first
+    shingles that no other set has.
     """
     known = place.join(keyed.groupBy("node").agg(F.count(F.lit(1)).alias("few")), "node")
+    known = known.withColumn("cap", F.col("few") + F.ceil(LEAST * F.col("n") / PART) - 1)
     rows = keyed.join(known, "node").groupBy("key", "region").agg(
-        F.min("n").alias("low"), F.max("n").alias("high"), F.max("label").alias("label"), F.max("few").alias("few")
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max("label").alias("label"), F.max("cap").alias("cap")
     )
     rows = stored(rows, "key_regions")
     several = rows.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
     rows = stored(rows.join(several, "key"), "open_keys")
-    other = rows.select("key", *[F.col(c).alias(f"{c}_2") for c in ("region", "low", "high", "label", "few")])
+    other = rows.select("key", *[F.col(c).alias(f"{c}_2") for c in ("region", "low", "high", "label", "cap")])
     # intersection >= LEAST / (PART + LEAST) * (n + m), of which at most LEAST / PART * the larger lie behind.
     enough = lambda shared, low, high: LEAST * low - shared * (PART + LEAST) <= F.floor(LEAST * high / PART) * (PART + LEAST)
     fits = (PART * F.col("high") >= LEAST * F.col("low_2")) & (PART * F.col("high_2") >= LEAST * F.col("low"))
-    fits &= enough(F.least("few", "few_2"), F.col("low") + F.col("low_2"), F.greatest("high", "high_2"))
+    fits &= LEAST * (F.col("low") + F.col("low_2")) <= (PART + LEAST) * F.least("cap", "cap_2")
     pairs = rows.join(other, "key").where((F.col("region") < F.col("region_2")) & (F.col("label") != F.col("label_2")) & fits)
     pairs = pairs.groupBy(F.col("region").alias("p"), F.col("region_2").alias("q")).agg(
         F.count(F.lit(1)).alias("shared"), (F.min("low") + F.min("low_2")).alias("low"), F.greatest(F.max("high"), F.max("high_2")).alias("high")

@@ -47,6 +47,8 @@ COMMON, MOST = 32, 500_000
 BITS, COUNTED = 26, 1 << 22
 #: Members of a region in a block of the comparison between open regions.
 SIDE = 1024
+#: Rows (shingle, region) whose pairs one task counts, regions of a shingle in a block, pairs held before they are added up.
+ROWS, MET, HELD = 50_000, 2048, 1 << 21
 #: Members that a set is measured against first, most shared shingles first; then four times as many, as long as
 #: it has come into no group with their region.
 FIRST = 8
@@ -246,13 +248,48 @@ def shared_keys(nodes: DataFrame) -> DataFrame:
     return stored(rows.join(shared, "key"), "shared_rows")
 
 
+def pair_counts(rows: pa.Table) -> pa.Table:
+    """p, q, shared, low, high: pairs of regions that meet under some key of these rows and may be linked, with
+    the number of keys; `low` is the least sum of their sizes, `high` the greatest size."""
+    order = np.argsort(rows["key"].to_numpy(), kind="stable")
+    key, region, low, high, label, cap, own, i, j = (rows[c].to_numpy()[order] for c in ("key", "region", "low", "high", "label", "cap", "own", "i", "j"))
+    names, at = np.unique(region, return_inverse=True)
+    least, most = np.full(len(names), 2**62), np.zeros(len(names), np.int64)
+    np.minimum.at(least, at, low)
+    np.maximum.at(most, at, high)
+    cuts = np.flatnonzero(np.append(True, key[1:] != key[:-1])).tolist() + [len(key)]
+    held: list[np.ndarray] = []
+    codes, many, size = np.empty(0, np.int64), np.empty(0, np.int64), 0
+
+    def added() -> tuple[np.ndarray, np.ndarray]:
+        found, back = np.unique(np.concatenate([codes, *held]), return_inverse=True)
+        return found, np.bincount(back, np.concatenate([many, np.ones(size, np.int64)]), len(found)).astype(np.int64)
+
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        for x in range(a, b - 1):
+            y = slice(x + 1, b)
+            may = (label[y] != label[x]) & (PART * high[y] >= LEAST * low[x]) & (PART * high[x] >= LEAST * low[y])
+            may &= (LEAST * (low[y] + low[x]) <= (PART + LEAST) * np.minimum(cap[y], cap[x])) & ((i[y] == j[y]) | (own[y] != own[x]))
+            met = at[y][may]
+            if len(met):
+                held.append(np.minimum(met, at[x]) * len(names) + np.maximum(met, at[x]))
+                size += len(met)
+        if size > HELD:
+            codes, many = added()
+            held, size = [], 0
+    codes, many = added()
+    p, q = codes // max(len(names), 1), codes % max(len(names), 1)
+    return pa.table([names[p], names[q], many, least[p] + least[q], np.maximum(most[p], most[q])], names=["p", "q", "shared", "low", "high"])
+
+
 def open_pairs(keyed: DataFrame, place: DataFrame) -> DataFrame:
     """p < q: regions of different groups whose members share a first shingle and may be linked.
 
     `shared` counts the first shingles that the two regions share. Two linked sets have all their
     shared shingles among the first ones of both or behind the end of the shorter ones, which bounds
     from below how many must be among the first. No set can share more than `cap`: all but those of its first
-    shingles that no other set has.
+    shingles that no other set has. Pairs are counted in tasks that hold many shingles each; a shingle
+    of very many regions is dealt over several tasks in blocks.
     """
     known = place.join(keyed.groupBy("node").agg(F.count(F.lit(1)).alias("few")), "node")
     known = known.withColumn("cap", F.col("few") + F.ceil(LEAST * F.col("n") / PART) - 1)
@@ -260,18 +297,17 @@ def open_pairs(keyed: DataFrame, place: DataFrame) -> DataFrame:
         F.min("n").alias("low"), F.max("n").alias("high"), F.max("label").alias("label"), F.max("cap").alias("cap")
     )
     rows = stored(rows, "key_regions")
-    several = rows.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
-    rows = stored(rows.join(several, "key"), "open_keys")
-    other = rows.select("key", *[F.col(c).alias(f"{c}_2") for c in ("region", "low", "high", "label", "cap")])
+    several = rows.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("size")).where("x < y")
+    rows = stored(rows.join(several.select("key", F.ceil(F.col("size") / MET).alias("blocks")), "key"), "open_keys")
+    parts = max(1, rows.count() // ROWS)
+    rows = rows.withColumns({"own": F.pmod(F.xxhash64("region"), F.col("blocks")), "part": F.pmod(F.xxhash64("key", F.lit(3)), F.lit(parts))})
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = rows.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("blocks", "other")
+    counts = rows.groupBy("part", "i", "j").applyInArrow(pair_counts, "p long, q long, shared long, low long, high long")
+    pairs = counts.groupBy("p", "q").agg(F.sum("shared").alias("shared"), F.min("low").alias("low"), F.max("high").alias("high"))
     # intersection >= LEAST / (PART + LEAST) * (n + m), of which at most LEAST / PART * the larger lie behind.
-    enough = lambda shared, low, high: LEAST * low - shared * (PART + LEAST) <= F.floor(LEAST * high / PART) * (PART + LEAST)
-    fits = (PART * F.col("high") >= LEAST * F.col("low_2")) & (PART * F.col("high_2") >= LEAST * F.col("low"))
-    fits &= LEAST * (F.col("low") + F.col("low_2")) <= (PART + LEAST) * F.least("cap", "cap_2")
-    pairs = rows.join(other, "key").where((F.col("region") < F.col("region_2")) & (F.col("label") != F.col("label_2")) & fits)
-    pairs = pairs.groupBy(F.col("region").alias("p"), F.col("region_2").alias("q")).agg(
-        F.count(F.lit(1)).alias("shared"), (F.min("low") + F.min("low_2")).alias("low"), F.greatest(F.max("high"), F.max("high_2")).alias("high")
-    )
-    return stored(pairs.where(enough(F.col("shared"), F.col("low"), F.col("high"))).select("p", "q"), "region_pairs")
+    may = LEAST * F.col("low") - F.col("shared") * (PART + LEAST) <= F.floor(LEAST * F.col("high") / PART) * (PART + LEAST)
+    return stored(pairs.where(may).select("p", "q"), "region_pairs")
 
 
 def grouped(pairs: DataFrame, labels: DataFrame, *columns: str) -> DataFrame:

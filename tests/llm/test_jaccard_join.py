@@ -95,8 +95,8 @@ def test_common_shingles_and_bitmaps_only_change_the_work(spark, monkeypatch):
     draw = random.Random(7)
     rows = list(enumerate([t for n, k in ((50, 70), (120, 50)) for t in family(draw, n, k, 3)], 1))
     want = brute(rows)
-    for common, most, bits, counted in ((2, 100, 26, 1 << 22), (2, 10**6, 9, 64), (10**6, 100, 26, 1 << 22)):
-        for name, value in (("COMMON", common), ("MOST", most), ("BITS", bits), ("COUNTED", counted)):
+    for common, most, bits, counted, met in ((2, 10**6, 9, 64, 3), (10**6, 100, 26, 1 << 22, 2048)):
+        for name, value in (("COMMON", common), ("MOST", most), ("BITS", bits), ("COUNTED", counted), ("MET", met), ("ROWS", 40 * met), ("HELD", 20 * met)):
             monkeypatch.setattr(jj, name, value)
         assert found(jj.classes(documents(spark, rows))) == want
 

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from riskloom.llm import words
 from riskloom.llm.common import table, text_of
 
 #: The splitting pattern of the byte-level pre-tokenizer. White space is Unicode's.
@@ -227,6 +228,26 @@ def shared_file(spark: SparkSession, path: str | None):
     return spark.sparkContext.broadcast(Path(path or default_path()).read_text(encoding="utf-8"))
 
 
+def made(kind: type, file) -> object:
+    """The encoder or decoder of a broadcast tokenizer file; the broadcast keeps it for the later tasks of a worker."""
+    held = file.__dict__.setdefault("made", {})
+    if kind.__name__ not in held:
+        held[kind.__name__] = kind(Vocabulary(file.value))
+    return held[kind.__name__]
+
+
+def _ids(encoder: Encoder, texts: pa.Array) -> pa.ListArray:
+    coded = [encoder.encode(t.as_py()) for t in texts]
+    ends = np.concatenate([[0], np.cumsum([len(c) for c in coded])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *coded])))
+
+
+def _texts(decoder: Decoder, coded: pa.ListArray) -> pa.Array:
+    flat = coded.values.fill_null(-1).to_numpy(zero_copy_only=False)
+    at = coded.offsets.to_numpy()
+    return pa.array([decoder.decode(flat[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)], pa.string())
+
+
 def encode(docs: DataFrame, keys: list[str], text: str = "text", tokenizer: str | None = None) -> DataFrame:
     """Columns `keys` and ids array<int>: the whole text of every row as token ids.
 
@@ -237,13 +258,9 @@ def encode(docs: DataFrame, keys: list[str], text: str = "text", tokenizer: str
     rows = docs.select(*[F.col(k) for k in keys], text_of(text).alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Vocabulary(file.value))
-        for batch in batches:
-            coded = [encoder.encode(t.as_py()) for t in batch.column(batch.num_columns - 1)]
-            ends = np.concatenate([[0], np.cumsum([len(c) for c in coded])]).astype(np.int32)
-            values = np.concatenate(coded) if coded else np.empty(0, np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(values, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], names=[*keys, "ids"])
+        encoder = made(Encoder, file)
+        for batch in words.small(batches, len(keys)):
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], _ids(encoder, batch.column(len(keys)))], names=[*keys, "ids"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     return rows.mapInArrow(run, f"{kinds}, ids array<int>")
@@ -256,21 +273,32 @@ def decode(rows: DataFrame, keys: list[str], ids: str = "ids", tokenizer: str |
     rows = rows.select(*[F.col(k) for k in keys], F.coalesce(F.col(ids), F.array().cast("array<int>")).alias("ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(Vocabulary(file.value))
+        decoder = made(Decoder, file)
         for batch in batches:
-            coded = batch.column(batch.num_columns - 1)
-            flat = coded.values.fill_null(-1).to_numpy(zero_copy_only=False)
-            at = coded.offsets.to_numpy()
-            texts = [decoder.decode(flat[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*keys, "ids", "decoded"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, _texts(decoder, batch.column(len(keys)))], names=[*keys, "ids", "decoded"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     return rows.mapInArrow(run, f"{kinds}, decoded string")
 
 
+def encode_decode(docs: DataFrame, keys: list[str], text: str = "text", tokenizer: str | None = None) -> DataFrame:
+    """Columns `keys`, ids and decoded: `decode` of `encode` in one pass over the texts. Map-only."""
+    file = shared_file(docs.sparkSession, tokenizer)
+    rows = docs.select(*[F.col(k) for k in keys], text_of(text).alias("__text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = made(Encoder, file), made(Decoder, file)
+        for batch in words.small(batches, len(keys)):
+            ids = _ids(encoder, batch.column(len(keys)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids, _texts(decoder, ids)], names=[*keys, "ids", "decoded"])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    return rows.mapInArrow(run, f"{kinds}, ids array<int>, decoded string")
+
+
 def round_trip(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """Per document: doc_id, n_tokens and the digests of its ids and of its decoded text."""
-    coded = decode(encode(docs, ["doc_id"], tokenizer=tokenizer), ["doc_id"], tokenizer=tokenizer)
+    coded = encode_decode(docs, ["doc_id"], tokenizer=tokenizer)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -77,7 +77,7 @@ def templates(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
         kind[unit] = UNIT
         kind[number] = NUMBER
         other = np.where(capital & opens & ~unit, np.uint8(NAME), kind)
-        small = np.concatenate([[0], np.cumsum((raw >= ord("a")) & (raw <= ord("z")) | (raw >= 128), dtype=np.int64)])
+        small = np.concatenate([[0], np.cumsum((raw >= ord("a")) & (raw <= ord("z")) | (raw >= 128), dtype=np.int32)])
         return value, kind, other, small[ends] == small[starts], at
     return value, kind, kind, np.zeros(0, bool), at
 

@@ -11,6 +11,7 @@ posterior adds to the global one; sparse sites add next to nothing.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -123,10 +124,10 @@ def _by_parts(texts: pa.Array, f) -> np.ndarray:
     return np.concatenate(parts) if parts else f(texts)
 
 
-def site_columns() -> list[Column]:
+def site_columns(source: Column | None = None, lang: Column | None = None) -> list[Column]:
     """Host is the source, path the source and language; nulls count as a site of their own."""
-    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    return [name("source").alias("host"), F.concat_ws("/", name("source"), name("lang")).alias("path")]
+    source, lang = (F.coalesce((F.col(n) if c is None else c).cast("string"), F.lit("")) for n, c in (("source", source), ("lang", lang)))
+    return [source.alias("host"), F.concat_ws("/", source, lang).alias("path")]
 
 
 def labelled(labels: DataFrame) -> DataFrame:
@@ -196,18 +197,24 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier keeps, all columns unchanged. Features are computed again
-    for the decision, so that texts aren't shuffled to meet it."""
+    for the decision, so that texts aren't shuffled to meet it; whole rows pass the task in small parts."""
     rows = stored(feature_rows(docs), "features")
     model = train(rows, labels)
     place = sites(rows, labels, model).select(F.col("path").alias("__path"), "lift")
-
-    @F.arrow_udf("double")
-    def own(texts: pa.Array) -> pa.Array:
-        return pa.array(model.log_odds(_by_parts(texts, features)))
-
-    marked = docs.select(F.struct(*docs.columns).alias("__row"), site_columns()[1].alias("__path"), own(text_of()).alias("__own"))
-    kept = marked.join(place, "__path", "left").where(judged(F.col("__own")) >= KEEP)
-    return kept.select(*[F.col("__row").getField(c).alias(c) for c in docs.columns])
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    plain = docs.toDF(*names)
+    marked = plain.select("*", site_columns(*(F.col(names[docs.columns.index(c)]) for c in ("source", "lang")))[1].alias("__path"), text_of(names[docs.columns.index("text")]).alias("__text"))
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = len(names) + 1
+        for batch in words.small(batches, last):
+            odds = model.log_odds(features(batch.column(last)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:last], pa.array(odds)], names=[*names, "__path", "__own"])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
+    judged_rows = marked.mapInArrow(own, f"{kinds}, `__path` string, `__own` double")
+    kept = judged_rows.join(place, "__path", "left").where(judged(F.col("__own")) >= KEEP)
+    return kept.select(*names).toDF(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,3 +70,14 @@ def test_rows_stay_and_no_python_runs(spark):
     assert sorted((r.n_email, r.doc_id is None) for r in pii.report(docs).collect()) == [(0, False), (0, False), (1, True)]
     assert pii.report(docs.where(F.lit(False))).count() == 0
     assert "Python" not in pii.report(docs)._jdf.queryExecution().toString()
+
+
+def test_long_runs_of_digits_take_linear_time(spark):
+    from time import monotonic
+
+    texts = ["7" * 1_000_000, "7" * 400_000 + ".1.2.3 10.0.0.1", "1.2.3.4" + "5" * 300_000 + ".6.7.8 9.9.9.9", "1.1.1.1.2.2.2.2.3"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    start = monotonic()
+    found = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "ip"] for r in pii.find(docs, ["doc_id"]).collect()}
+    assert monotonic() - start < 60
+    assert found == {0: [], 1: [(400_007, 400_015)], 2: [(300_014, 300_021)], 3: [(0, 7), (8, 15)]}

@@ -37,7 +37,6 @@ def main() -> None:
         spark__sql__shuffle__partitions=cpus,
         spark__driver__memory="16g",
     )
-    spark.conf.set("riskloom.scan.partitions", cpus)  # each table is one small file here
     spark.sparkContext.setLogLevel("ERROR")
 
     def timed(name: str) -> float:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 
 def null_profile(df: DataFrame, columns: list[str], table: str, run_ts: Column) -> DataFrame:
@@ -38,6 +38,11 @@ def watch_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def observed_checks(spark: SparkSession, seen: dict[str, Observation]) -> DataFrame:
+    """(stage, rows) of watched frames, after the action that they flowed to; one row per stage."""
+    return spark.createDataFrame([(n, o.get["rows"]) for n, o in seen.items()], "stage string, rows long")
+
+
 def rows_per(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("row_count"))
 

@@ -82,3 +82,34 @@ def batch_rows(
     buckets = df.select(F.greatest(F.lit(1), F.ceil(F.count("*") / per_bucket)).cast("bigint")).scalar()
     numbered = prefix_sum(df, [], order, F.lit(1).cast("bigint"), "_n", F.pmod(F.xxhash64(text), buckets))
     return numbered.withColumn(name, F.floor((F.col("_n") - 1) / size).cast("bigint")).drop("_n")
+
+
+def closing_totals(df: DataFrame, keys: list[str], date: str, value: str = "exposure_index") -> DataFrame:
+    """keys, year, closing: each key's exact cumulative measure at the end of every year that has rows, to be
+    stored beside the running totals; one row per key and year."""
+    year = F.year(date).alias("year")
+    sums = df.groupBy(*keys, year).agg(F.sum(F.col(value).cast("decimal(28,2)")).alias("_sum"))
+    order = Window.partitionBy(*keys).orderBy("year").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return sums.withColumn("closing", F.sum("_sum").over(order)).drop("_sum")
+
+
+def carried_total(
+    open_rows: DataFrame,
+    closing: DataFrame,
+    keys: list[str],
+    date: str,
+    first_year: int,
+    value: str = "exposure_index",
+    name: str = "cumulative_exposure_index",
+) -> DataFrame:
+    """`running_total` of the years from `first_year` on, carried on from the stored closing totals of the years
+    before; rows of closed years are neither needed nor read. A key without earlier rows starts at 0, years
+    without a date count as before all others."""
+    earlier = closing.where(F.col("year").isNull() | (F.col("year") < first_year))
+    start = earlier.groupBy(*keys).agg(F.max_by("closing", F.coalesce("year", F.lit(-(2**31) + 1))).alias("_offset"))
+    start = start.select(*[F.col(k).alias("_o_" + k) for k in keys], "_offset")
+    exact = F.col(value).cast("decimal(28,2)")
+    total = prefix_sum(open_rows, keys, [date], exact, name, F.year(date) if not keys else None)
+    whole = total.join(start, _keys_match(total, start, keys), "left") if keys else total.crossJoin(F.broadcast(start))
+    carried = F.col(name) + F.coalesce(F.col("_offset"), F.lit(0).cast("decimal(28,2)"))
+    return whole.withColumn(name, F.round(carried, 2).cast("double")).select(*open_rows.columns, name)

@@ -59,6 +59,47 @@ def approx_percentiles(df: DataFrame, value: str = "exposure_index", accuracy: i
     return stats.withColumns(picked).drop("_q")
 
 
+def sketches(df: DataFrame, part: str, value: str = "exposure_index", k: int = 1024) -> DataFrame:
+    """(level, part, sketch, total_count, min_val, max_val): one mergeable quantile sketch per level and
+    part, to be stored. Sketches combine on the map side; `k` keeps the rank error below half a percent."""
+    number = F.col(value).cast("double")
+    return df.where(F.col(value).isNotNull()).groupBy("level", F.col(part).alias("part")).agg(
+        F.kll_sketch_agg_double(number, F.lit(k)).alias("sketch"), F.count("*").alias("total_count"),
+        F.min(number).alias("min_val"), F.max(number).alias("max_val"),
+    )
+
+
+def refresh_sketches(known: DataFrame, fresh: DataFrame, touched: DataFrame) -> DataFrame:
+    """Stored sketches after a refresh: those of touched parts (level, part) replaced, also where a part has
+    no rows any more; all others as they are."""
+    return known.join(touched.select("level", "part"), ["level", "part"], "left_anti").unionByName(fresh)
+
+
+def sketched_percentiles(parts: DataFrame) -> DataFrame:
+    """The shape of `percentiles` from stored sketches: one merge per level, the rows aren't read again."""
+    merged = parts.groupBy("level").agg(
+        F.sum("total_count").alias("total_count"), F.min("min_val").alias("min_val"), F.max("max_val").alias("max_val"),
+        F.kll_merge_agg_double("sketch").alias("_s"),
+    )
+    cuts = {n: F.kll_sketch_get_quantile_double("_s", F.lit(float(q))) for n, q in fixed.QUARTILES.items()}
+    return merged.withColumns(cuts).drop("_s")
+
+
+def rank_errors(counts: DataFrame, stats: DataFrame) -> DataFrame:
+    """(level, error): how far the ranks of a level's cut points are from their quartiles, at most, as a
+    share of its rows. `counts`: level, value, n; `stats`: level and the cut points, a row per level."""
+    rows = counts.join(F.broadcast(stats.select("level", *fixed.QUARTILES)), "level")
+    sums = [F.sum("n").alias("_size")]
+    for name in fixed.QUARTILES:
+        sums += [F.sum(F.when(F.col("value") < F.col(name), F.col("n")).otherwise(0)).alias(f"_below_{name}")]
+        sums += [F.sum(F.when(F.col("value") <= F.col(name), F.col("n")).otherwise(0)).alias(f"_upto_{name}")]
+    apart = [
+        F.greatest(F.col(f"_below_{n}") / F.col("_size") - q, q - F.col(f"_upto_{n}") / F.col("_size"), F.lit(0.0))
+        for n, q in fixed.QUARTILES.items()
+    ]
+    return rows.groupBy("level").agg(*sums).select("level", F.greatest(*apart).alias("error"))
+
+
 def _ceilings() -> dict[str, Column]:
     return {
         f"{name}_threshold": F.ceil(F.col(p)).cast("double")

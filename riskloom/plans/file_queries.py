@@ -359,10 +359,10 @@ add(
 
 def _gunzip(spark, sf_dir):
     src, dst = shared_dir(spark, "zipped"), shared_dir(spark, "unzipped")
-    # The same file names in one folder per status.
+    # Several archives in one folder per status, as many as the scan has parts.
     for status in "FOP":
         chosen = _orders(spark, sf_dir, f"o_orderstatus = '{status}'").select("o_orderkey", "o_orderpriority")
-        chosen.coalesce(1).write.option("compression", "gzip").json(f"{src}/{status}")
+        chosen.write.option("compression", "gzip").json(f"{src}/{status}")
     done = records.gunzip_files(spark, src, dst)
     rows = spark.read.schema("o_orderkey bigint, o_orderpriority string, file string").json(dst)
     rows = rows.withColumn("file", F.url_decode("file")).join(done, "file")

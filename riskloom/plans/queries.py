@@ -5,5 +5,6 @@ from riskloom.plans import (  # noqa: F401
     file_queries,
     level_queries,
     table_queries,
+    upkeep_queries,
 )
 from riskloom.plans.registry import CHECKS, QUERIES  # noqa: F401

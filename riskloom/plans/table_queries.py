@@ -252,10 +252,12 @@ add(
 )
 
 # --- quality and counts -------------------------------------------------------------------
-_PROFILE = {
-    "vendor": "nullif(vendor, 'V3')", "cveId": "cveId", "cvssScore": "cvssScore",
-    "vulnStatus": "nullif(status, 'F')", "lastModified": _MODIFIED,
-}
+_PROFILE = dict(zip(fixed.PROFILE_COLUMNS, (
+    "nullif(vendor, 'V3')", "product", "cveId", "CASE WHEN line IN (2, 3) THEN flag END", "CASE WHEN flag = 'R' THEN flag END",
+    "nullif(status, 'F')", "nullif(vectorString, '')", "datePublished", "CASE WHEN line < 5 THEN datePublished END",
+    "CASE WHEN line <> 4 THEN lastModified END", "CASE WHEN price > 40000 THEN datePublished END", _MODIFIED,
+    "CASE WHEN price > 20000 THEN cvssVersion END",
+), strict=True))
 _STAMP = f"{sql.AS_OF} 12:00:00"
 add(
     "agg13_null_profile",

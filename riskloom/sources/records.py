@@ -86,10 +86,15 @@ def unreadable_names(df: DataFrame) -> DataFrame:
     return df.agg(F.expr(f"count_if({bad})").alias("unreadable"))
 
 
+#: Bytes that an archive of nothing has at most: header, name, comment and empty blocks.
+EMPTY_ARCHIVE = 1 << 16
+
+
 def gunzip_files(spark: SparkSession, src: str, dst: str) -> DataFrame:
     """Decompress all `*.gz` text files below `src` to `dst/file=<path below src without .gz>/`;
     returns one row (file, ok) for each. A file that can't be read at all is reported and the others go
-    on; lines in front of a fault inside a file are kept.
+    on; lines in front of a fault inside a file are kept. A sound archive without content is `ok` and has no
+    folder; a file of no bytes at all is not an archive and not reported.
 
     Spark's text reader unpacks line by line, so a file of any size takes one task and little memory.
     """
@@ -105,4 +110,25 @@ def gunzip_files(spark: SparkSession, src: str, dst: str) -> DataFrame:
     balanced(lines, "file").write.mode("overwrite").partitionBy("file").text(dst)
     listed = spark.read.format("binaryFile").options(**options).load(src).select(name(F.col("path")))
     made = spark.createDataFrame([(unquote(n.removeprefix("file=")),) for n in paths.child_names(spark, dst) if n.startswith("file=")], "file string")
-    return listed.join(made.withColumn("ok", F.lit(True)), "file", "left").select("file", F.coalesce("ok", F.lit(False)).alias("ok"))
+    silent = listed.join(made, "file", "left_anti").select("file")
+    small = spark.read.format("binaryFile").options(**options).load(src).where(F.col("length") <= EMPTY_ARCHIVE)
+    empty = small.select(name(F.col("path")), "content").join(silent, "file", "left_semi").mapInArrow(_sound, "file string, ok boolean")
+    done = made.withColumn("ok", F.lit(True)).unionByName(empty)
+    return listed.join(done, "file", "left").select("file", F.coalesce("ok", F.lit(False)).alias("ok"))
+
+
+def _sound(batches):
+    """(file, ok) of archives without lines: whether they unpack to nothing without a fault."""
+    import gzip
+    import zlib
+
+    import pyarrow as pa
+
+    def empty(content: bytes) -> bool:
+        try:
+            return bool(content) and gzip.decompress(content) == b""
+        except (OSError, EOFError, zlib.error):
+            return False
+
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([empty(c.as_py()) for c in batch.column(1)], pa.bool_())], names=["file", "ok"])

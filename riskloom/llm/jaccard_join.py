@@ -417,7 +417,8 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     if not apart.isEmpty():
         place = place.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         left = member_pairs(apart, place, nodes)
-        texts = fetch(left.select(F.explode("others").alias("a"), "b"))
+        inside = place.join(left.select(F.col("p").alias("region")).distinct(), "region", "left_semi").select(F.col("node").alias("a"))
+        texts = fetch(inside.withColumn("b", F.col("a")).unionByName(left.select(F.col("b").alias("a"), "b")))
         done, step = 0, FIRST
         while not left.isEmpty():
             pairs = left.select(F.explode(F.slice("others", done + 1, step)).alias("a"), "b").distinct()

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions import fixed
 from riskloom.operators.joins import fits, newer_than, upsert, warehouse_columns
+from riskloom.operators.keyfilter import split
 from riskloom.operators.keys import latest_per_key
 
 NEWER = (
@@ -30,17 +31,21 @@ def scd2_changes(
     start: Column,
     changed: str = NEWER,
     names: tuple[str, str, str] = ("validFrom", "validTo", "currentFlag"),
+    keys_of: DataFrame | None = None,
 ) -> DataFrame:
     """New versions of the current rows: kept, expired and inserted ones, in one join.
 
     `current` and `source` have one row per key; `start` is the validity start of inserted
-    rows (and end of expired ones), `changed` a condition over `t` and `s`.
+    rows (and end of expired ones), `changed` a condition over `t` and `s`. Current rows whose keys don't
+    occur in the source pass a key filter unjoined. The filter is made from `keys_of` (default: `source`,
+    which is then read twice), any table with the keys of `source`.
     """
     valid_from, valid_to, flag = names
+    near, rest = split(current, source if keys_of is None else keys_of, keys)
     data = [c for c in current.columns if c not in names]
     begin = source.withColumn("_start", start)
     pairs = (
-        current.withColumn("_t", F.lit(True)).alias("t")
+        near.withColumn("_t", F.lit(True)).alias("t")
         .join(begin.withColumn("_s", F.lit(True)).alias("s"), _on(keys), "full_outer")
         .withColumn("_changed", F.expr(f"coalesce(t._t AND s._s AND ({changed}), false)"))
     )
@@ -55,7 +60,7 @@ def scd2_changes(
     ))
     new = row("s", f"'{valid_from}', s._start, '{valid_to}', CAST(NULL AS {_type(current, valid_to)}), '{flag}', true")
     rows = f"filter(array(IF(t._t, {old}, NULL), IF(s._s AND (t._t IS NULL OR _changed), {new}, NULL)), r -> r IS NOT NULL)"
-    return pairs.selectExpr(f"inline({rows})").select(*current.columns)
+    return pairs.selectExpr(f"inline({rows})").select(*current.columns).unionByName(rest)
 
 
 def _type(df: DataFrame, name: str) -> str:
@@ -84,7 +89,7 @@ def scd2_merge(
     """History table after a run: a newer `lastModified` closes the current row."""
     current, closed = split_current(target)
     unique = latest_per_key(source, keys, [newest])
-    return scd2_changes(current, unique, keys, run_ts).unionByName(closed)
+    return scd2_changes(current, unique, keys, run_ts, keys_of=source).unionByName(closed)
 
 
 def scd2_merge_by_hash(
@@ -98,20 +103,26 @@ def scd2_merge_by_hash(
     """Same, where a row counts as changed when its hash differs."""
     current, closed = split_current(target, names[2])
     unique = latest_per_key(source, keys, [newest])
-    return scd2_changes(current, unique, keys, start, HASH_DIFFERS, names).unionByName(closed)
+    return scd2_changes(current, unique, keys, start, HASH_DIFFERS, names, source).unionByName(closed)
 
 
 def merge_changed(
     target: DataFrame, source: DataFrame, keys: list[str], compare: list[str], newest: list[str]
 ) -> DataFrame:
-    """Type-1 merge: take the source row when it is new or differs in `compare`."""
+    """Type-1 merge: take the source row when it is new or differs in `compare`.
+
+    Target rows whose keys don't occur in the source are told apart by a key filter and pass where they
+    are read; only the others are joined. The source is read twice: hand over a table.
+    """
     unique = latest_per_key(source, keys, newest)
+    near, rest = split(target, source, keys)
     differs = " OR ".join(f"s.{c} <> t.{c}" for c in compare)
     take = f"s._s AND (t._t IS NULL OR coalesce({differs}, false))"
-    pairs = target.withColumn("_t", F.lit(True)).alias("t").join(
+    pairs = near.withColumn("_t", F.lit(True)).alias("t").join(
         unique.withColumn("_s", F.lit(True)).alias("s"), _on(keys), "full_outer"
     )
-    return pairs.selectExpr(*[f"IF({take}, s.`{c}`, t.`{c}`) AS `{c}`" for c in target.columns])
+    merged = pairs.selectExpr(*[f"IF({take}, s.`{c}`, t.`{c}`) AS `{c}`" for c in target.columns])
+    return merged.unionByName(rest)
 
 
 def sync_full(master: DataFrame, keys: list[str] = fixed.RECORD_KEY) -> DataFrame:

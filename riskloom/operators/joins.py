@@ -6,10 +6,13 @@ one hot key cannot blow up a task. A side that may repeat keys goes through `hot
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions import fixed
 from riskloom.sources.staged import stored
+from riskloom.operators.keyfilter import may_match
 from riskloom.operators.keys import hot_join, key_set, latest_per_key
 
 
@@ -103,16 +106,21 @@ def search(
     """Documents of every requested (vendor, product) pair, from each source.
 
     `maps` hold (vendor, product, cveId) rows, `documents` one row per `cveId`. Ids
-    without a document drop out.
+    without a document drop out. Edges and documents of all sources go through one join each; a filter
+    of the requested pairs, then of the ids found, drops the others where they are read.
     """
-    wanted = key_set(requests, ["vendor", "product"])
-    out = None
-    for source, edges in maps.items():
-        # A pair may own a large share of the ids, and an id may belong to many pairs.
-        ids = stored(hot_join(edges, wanted, ["vendor", "product"], "left_semi"), "search")
-        part = hot_join(ids, documents[source], ["cveId"], "inner").withColumn("source", F.lit(source))
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out
+    wanted = stored(key_set(requests, ["vendor", "product"]), "requests")
+    edges, docs = _by_source(maps), _by_source(documents)
+    # A pair may own a large share of the ids, and an id may belong to many pairs.
+    near = stored(may_match(edges, wanted, ["vendor", "product"]), "near")
+    ids = stored(hot_join(near, wanted, ["vendor", "product"], "left_semi"), "search")
+    found = may_match(docs, ids, ["source", "cveId"])
+    return hot_join(ids, found, ["source", "cveId"], "inner")
+
+
+def _by_source(tables: dict[str, DataFrame]) -> DataFrame:
+    named = [df.withColumn("source", F.lit(name)) for name, df in tables.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
 
 
 def get_record(ids: DataFrame, first: DataFrame, second: DataFrame, key: str = "cveId") -> DataFrame:

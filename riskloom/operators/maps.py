@@ -14,8 +14,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from riskloom.functions import fixed, text
 from riskloom.functions.text import cpe_browse_parts, sanitize_key_field
 from riskloom.operators.joins import insert_missing
+from riskloom.operators.keyfilter import may_match
 from riskloom.operators.keys import hot_join, key_set
 from riskloom.operators.running import batch_rows
+from riskloom.sources.staged import stored
 
 PAIR = ["vendor", "product"]
 EDGE = ["vendor", "product", "cveId"]
@@ -109,13 +111,48 @@ def pair_changes(new: DataFrame, old: DataFrame) -> DataFrame:
     )
 
 
+#: Buckets of ids within a pair, each with a digest of its own.
+BUCKETS = 64
+
+
+def build_digests(edges: DataFrame, extra: list[str] = ()) -> DataFrame:
+    """Per pair and bucket of ids: their number and a 128-bit digest that knows no order.
+
+    Tasks sum up their own rows first, so what is shuffled grows with the pairs and not with the edges. Edges
+    are distinct, as `build_map` gives them.
+    """
+    bucket = F.pmod(F.xxhash64(F.lit(0), "cveId"), F.lit(BUCKETS)).cast("int").alias("bucket")
+    digest = [F.bit_xor(F.xxhash64(F.lit(seed), "cveId")).alias(name) for seed, name in ((1, "_a"), (2, "_b"))]
+    return edges.groupBy(*extra, *PAIR, bucket).agg(F.count(F.lit(1)).alias("_n"), *digest)
+
+
+def changed_buckets(new: DataFrame, old: DataFrame, extra: list[str] = ()) -> DataFrame:
+    """(extra, vendor, product, bucket) whose ids differ between two builds; a bucket that one build lacks
+    differs. Two different sets pass for equal with probability 2^-128."""
+    both = build_digests(new, extra).withColumn("_builds", F.lit(1)).unionByName(build_digests(old, extra).withColumn("_builds", F.lit(1)))
+    same = " AND ".join(["count(_builds) = 2", *[f"min({c}) = max({c})" for c in ("_n", "_a", "_b")]])
+    return both.groupBy(*extra, *PAIR, "bucket").agg(F.expr(f"{same} AS _same")).where("NOT _same").drop("_same")
+
+
+def changed_edges(new: DataFrame, old: DataFrame, extra: list[str] = ()) -> DataFrame:
+    """Edges that one build has alone, with `side` as in `compare_builds`; only the edges of buckets whose
+    digests differ are shuffled. The builds are read twice: hand over tables."""
+    keys = [*extra, *PAIR, "bucket"]
+    changed = stored(changed_buckets(new, old, extra), "changed_buckets")
+    bucket = F.pmod(F.xxhash64(F.lit(0), "cveId"), F.lit(BUCKETS)).cast("int")
+    near = [may_match(df.withColumn("bucket", bucket), changed, keys).select(*df.columns) for df in (new, old)]
+    return compare_builds(*near, extra).where("side <> 3")
+
+
 def diff_builds(new: DataFrame, old: DataFrame, changed_ids: DataFrame, source: str = "source") -> DataFrame:
     """Pairs to process again: the id set changed in some source, or an id was modified.
 
-    Builds are edges with a `source` column; `changed_ids` has a `cveId` column.
+    Builds are edges with a `source` column; `changed_ids` has a `cveId` column. Digests tell which
+    pairs changed, edges aren't shuffled for it; edges of unmodified ids drop out where they are read.
     """
-    moved = compare_builds(new, old, [source]).where("side <> 3").select(*PAIR)
-    touched = hot_join(new, key_set(changed_ids, ["cveId"]), ["cveId"], "left_semi").select(*PAIR)
+    moved = changed_buckets(new, old, [source]).select(*PAIR)
+    ids = stored(key_set(changed_ids, ["cveId"]), "modified")
+    touched = hot_join(stored(may_match(new, ids, ["cveId"]), "touched"), ids, ["cveId"], "left_semi").select(*PAIR)
     return moved.unionByName(touched).distinct()
 
 

@@ -12,6 +12,7 @@ A token whose deciding characters lie in no section is counted as outside.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +35,35 @@ def character_spans(text: bytes, sizes: np.ndarray) -> tuple[np.ndarray, np.ndar
     return chars[ends - sizes] - 1, chars[ends - 1]
 
 
+def disjoint(opens: np.ndarray, closes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted borders of overlapping sections and the owner of the characters before, between and behind
+    them: the last section that holds them, -1 for none."""
+    bounds, held, k = np.unique(np.concatenate([opens, closes])), [], 0
+    owner = np.full(len(bounds) + 1, -1, np.int64)
+    for i, b in enumerate(bounds.tolist(), 1):
+        while k < len(opens) and opens[k] <= b:
+            heappush(held, -k)
+            k += 1
+        while held and closes[-held[0]] <= b:
+            heappop(held)
+        if held:
+            owner[i] = -held[0]
+    return bounds, owner
+
+
 def attributed(start: np.ndarray, end: np.ndarray, opens: np.ndarray, closes: np.ndarray, rule: str) -> tuple[np.ndarray, int, int]:
     """Tokens of each section, tokens outside all, tokens that cross a border.
 
-    Sections are sorted by start; where they overlap, a character belongs to the later one.
+    Sections are sorted by start; where they overlap, a character belongs to the later one that holds it.
     """
+    if (opens[1:] < np.maximum.accumulate(closes)[:-1]).any():
+        bounds, owner = disjoint(opens, closes)
+    else:
+        bounds = None
+
     def section(at: np.ndarray) -> np.ndarray:
+        if bounds is not None:
+            return owner[np.searchsorted(bounds, at, "right")]
         k = np.searchsorted(opens, at, "right") - 1
         return np.where((k >= 0) & (at < closes[np.maximum(k, 0)]), k, -1)
 

@@ -33,6 +33,20 @@ def test_attribution_matches_brute_force(rule):
         assert (counts.tolist(), outside, crossing) == brute(spans, sections, rule)
 
 
+@pytest.mark.parametrize("rule", token_counts.RULES)
+def test_sections_inside_one_another(rule):
+    draw = np.random.default_rng(4)
+    for _ in range(300):
+        cuts = np.sort(draw.choice(60, 12, replace=False))
+        spans = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
+        sections = sorted((a, a + int(draw.integers(0, 30))) for a in draw.integers(0, 50, draw.integers(1, 8)).tolist())
+        arrays = [np.array([s[i] for s in part]) for part in (spans, sections) for i in (0, 1)]
+        counts, outside, crossing = token_counts.attributed(*arrays, rule)
+        assert (counts.tolist(), outside, crossing) == brute(spans, sections, rule)
+    counts, outside, _ = token_counts.attributed(np.array([50]), np.array([51]), np.array([0, 10]), np.array([100, 20]), rule)
+    assert (counts.tolist(), outside) == ([1, 0], 0)
+
+
 def test_character_spans_match_the_library():
     library, vocabulary = tokenizers.Tokenizer.from_file(bpe.default_path()), bpe.Vocabulary.read(bpe.default_path())
     encoder, decoder = bpe.Encoder(vocabulary), bpe.Decoder(vocabulary)

@@ -5,9 +5,11 @@ role and text; the rolling XOR of these gives every prefix a 128-bit key. A conv
 key occurs as a proper prefix key of any other is a snapshot and goes (anti join); equal
 conversations keep the smallest id. Only built-in expressions are used.
 
-One conversation may hold a large part of all rows: turns are numbered, hashed and rendered in blocks
-of `BLOCK` turn numbers, with sums over the blocks in between, so no task gets a whole conversation.
-One prefix may be very common: prefix keys are made distinct with map-side combining before the join.
+One conversation may hold a large part of all rows: sorted ranges of turns are numbered each by
+itself and sums over the ranges give the positions; hashes, rolling keys and rendering go in blocks of
+`BLOCK` positions, with sums over the blocks in between. So no task gets a whole conversation, however
+its turns are numbered. One prefix may be very common: prefix keys are made distinct with map-side
+combining before the join.
 """
 
 from __future__ import annotations
@@ -16,11 +18,33 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from riskloom.llm.common import stored, table, text_of
 
-BLOCK = 256
+#: Positions in a block; characters of a text that ranges are cut by.
+BLOCK, CUT = 256, 64
 #: Rendering of one turn.
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 
 
+def positions(clean: DataFrame) -> DataFrame:
+    """Distinct turns (conv_id, turn, role, text) with position and the conversation's length.
+
+    Rows are sorted in ranges, which are written with a running number. A conversation that lies in
+    several ranges goes on with the sum of what the earlier ones hold of it. Turns that agree up to the
+    first CUT characters of their texts are sorted in one task; nothing gathers them.
+    """
+    cut = [F.col("conv_id"), F.col("turn").asc_nulls_first(), F.col("role")]
+    ranged = clean.repartitionByRange(*cut, F.substring("text", 1, CUT)).sortWithinPartitions(*cut, "text")
+    ranged = stored(ranged.select("*", F.spark_partition_id().alias("range"), F.monotonically_increasing_id().alias("at")), "ranges")
+    sizes = ranged.groupBy("conv_id", "range").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("size"))
+    whole = Window.partitionBy("conv_id")
+    before = sizes.select(
+        "conv_id", "range", (F.sum("size").over(whole.orderBy("range")) - F.col("size") - F.col("first")).alias("shift"),
+        F.sum("size").over(whole).alias("length"),
+    )
+    return ranged.join(stored(before, "range_sizes"), ["conv_id", "range"]).select(
+        "conv_id", (F.col("at") + F.col("shift") + 1).alias("position"), "length", "role", "text"
+    )
+
+
 def turns(rows: DataFrame) -> DataFrame:
     """Turns with position (from 1), the conversation's length and the rolling prefix keys a, b.
 
@@ -32,22 +56,11 @@ def turns(rows: DataFrame) -> DataFrame:
         "conv_id", F.col("turn").cast("long").alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("unknown")).alias("role"), text_of().alias("text"),
     ).distinct()
-    clean = clean.withColumn("block", F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(-(2**62))))
+    numbered = positions(clean).withColumn("block", F.floor((F.col("position") - 1) / BLOCK))
     block = ["conv_id", "block"]
-    order = Window.partitionBy(*block).orderBy(F.col("turn").asc_nulls_first(), "role", "text")
-    sizes = clean.groupBy(*block).agg(F.count(F.lit(1)).alias("size"))
-    whole = Window.partitionBy("conv_id").orderBy("block")
-    before = stored(
-        sizes.select(
-            *block, (F.sum("size").over(whole) - F.col("size")).alias("before"),
-            F.sum("size").over(Window.partitionBy("conv_id")).alias("length"),
-        ),
-        "turn_blocks",
-    )
-    numbered = clean.withColumn("at", F.row_number().over(order)).join(before, block)
-    numbered = numbered.select("conv_id", "block", (F.col("before") + F.col("at")).alias("position"), "length", "role", "text")
     part = lambda seed: F.xxhash64(F.lit(seed), "position", "role", "text")
     numbered = stored(numbered.select("*", part(1).alias("x"), part(2).alias("y")), "turns")
+    whole = Window.partitionBy("conv_id").orderBy("block")
     inside = Window.partitionBy(*block).orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
     earlier = whole.rowsBetween(Window.unboundedPreceding, -1)
     keys = numbered.groupBy(*block).agg(F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y")).select(
@@ -82,8 +95,8 @@ def rendered(role: Column, text: Column) -> Column:
 def format_chats(rows: DataFrame) -> DataFrame:
     """Maximal conversations as text: conv_id, part, n_turns, length, n_equal, rendered.
 
-    A conversation comes in parts, one for each block of its turns (most have one part, number 0);
-    the parts in order are the whole. Nulls, order and repeated rows: see `turns`. An empty table
+    A conversation comes in parts of `BLOCK` turns by position (most have one part, number 0); the parts
+    in order are the whole, so a long one never has to lie in one row. Nulls, order and repeated rows: see `turns`. An empty table
     gives an empty result; other columns are ignored.
     """
     rolled = stored(turns(rows), "rolled")
@@ -91,9 +104,8 @@ def format_chats(rows: DataFrame) -> DataFrame:
     pieces = rolled.join(keep, "conv_id").groupBy("conv_id", "block", "length", "n_equal").agg(
         F.array_sort(F.collect_list(F.struct("position", rendered(F.col("role"), F.col("text")).alias("t")))).alias("all")
     )
-    part = F.row_number().over(Window.partitionBy("conv_id").orderBy("block")) - 1
     return pieces.select(
-        "conv_id", part.alias("part"), F.size("all").alias("n_turns"), "length", "n_equal",
+        "conv_id", F.col("block").cast("int").alias("part"), F.size("all").alias("n_turns"), "length", "n_equal",
         F.array_join(F.transform("all", lambda s: s["t"]), "").alias("rendered"),
     )
 
@@ -115,10 +127,10 @@ WITH clean AS (
   WHERE NOT EXISTS (SELECT 1 FROM whole o WHERE o.length > w.length AND o.said[1] = w.said[1] AND o.said[1:w.length] = w.said)
   GROUP BY length, said
 ), blocks AS (
-  SELECT n.*, floor(turn / {BLOCK}) AS block, k.n_equal, k.length FROM numbered n JOIN kept k USING (conv_id)
+  SELECT n.*, CAST(floor((position - 1) / {BLOCK}) AS INTEGER) AS part, k.n_equal, k.length FROM numbered n JOIN kept k USING (conv_id)
 )
-SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY block) - 1 AS INTEGER) AS part,
+SELECT conv_id, part,
   CAST(count(*) AS INTEGER) AS n_turns, length, n_equal,
   string_agg('{OPEN}' || replace(role, '<|', '< |') || chr(10) || replace(text, '<|', '< |') || '{CLOSE}' || chr(10), '' ORDER BY position) AS rendered
-FROM blocks GROUP BY conv_id, block, length, n_equal
+FROM blocks GROUP BY conv_id, part, length, n_equal
 """

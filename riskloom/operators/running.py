@@ -90,7 +90,25 @@ def closing_totals(df: DataFrame, keys: list[str], date: str, value: str = "expo
     year = F.year(date).alias("year")
     sums = df.groupBy(*keys, year).agg(F.sum(F.col(value).cast("decimal(28,2)")).alias("_sum"))
     order = Window.partitionBy(*keys).orderBy("year").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return sums.withColumn("closing", F.sum("_sum").over(order)).drop("_sum")
+    return sums.withColumn("closing", F.sum("_sum").over(order).cast("decimal(38,2)")).drop("_sum")
+
+
+def _start(closing: DataFrame, keys: list[str], first_year: int) -> DataFrame:
+    """Each key's closing total before a year, under other names; without keys one row."""
+    earlier = closing.where(F.col("year").isNull() | (F.col("year") < first_year))
+    start = earlier.groupBy(*keys).agg(F.max_by("closing", F.coalesce("year", F.lit(-(2**31) + 1))).alias("_offset"))
+    return start.select(*[F.col(k).alias("_o_" + k) for k in keys], "_offset")
+
+
+def carried_closing(
+    open_rows: DataFrame, closing: DataFrame, keys: list[str], date: str, first_year: int, value: str = "exposure_index"
+) -> DataFrame:
+    """`closing_totals` of the years from `first_year` on, from the rows of these years and the stored closing
+    totals of the years before."""
+    own, start = closing_totals(open_rows, keys, date, value), _start(closing, keys, first_year)
+    whole = own.join(start, _keys_match(own, start, keys), "left") if keys else own.crossJoin(F.broadcast(start))
+    carried = F.col("closing") + F.coalesce(F.col("_offset"), F.lit(0).cast("decimal(28,2)"))
+    return whole.withColumn("closing", carried.cast("decimal(38,2)")).select(*own.columns)
 
 
 def carried_total(
@@ -105,9 +123,7 @@ def carried_total(
     """`running_total` of the years from `first_year` on, carried on from the stored closing totals of the years
     before; rows of closed years are neither needed nor read. A key without earlier rows starts at 0, years
     without a date count as before all others."""
-    earlier = closing.where(F.col("year").isNull() | (F.col("year") < first_year))
-    start = earlier.groupBy(*keys).agg(F.max_by("closing", F.coalesce("year", F.lit(-(2**31) + 1))).alias("_offset"))
-    start = start.select(*[F.col(k).alias("_o_" + k) for k in keys], "_offset")
+    start = _start(closing, keys, first_year)
     exact = F.col(value).cast("decimal(28,2)")
     total = prefix_sum(open_rows, keys, [date], exact, name, F.year(date) if not keys else None)
     whole = total.join(start, _keys_match(total, start, keys), "left") if keys else total.crossJoin(F.broadcast(start))

@@ -109,7 +109,16 @@ def _ceilings() -> dict[str, Column]:
 
 def thresholds(df: DataFrame, run_ts: Column, approximate: bool = False) -> DataFrame:
     """Threshold table: count, min, quartiles, max and the rounded-up cut points."""
-    stats = approx_percentiles(df) if approximate else percentiles(value_counts(df))
+    return _table(approx_percentiles(df) if approximate else percentiles(value_counts(df)), run_ts)
+
+
+def thresholds_from_counts(parts: DataFrame, run_ts: Column) -> DataFrame:
+    """`thresholds`, exactly, from stored value counts (level, value, n) of parts of the level tables; rows of
+    parts that did not change are not read again."""
+    return _table(percentiles(parts.groupBy("level", "value").agg(F.sum("n").alias("n"))), run_ts)
+
+
+def _table(stats: DataFrame, run_ts: Column) -> DataFrame:
     return stats.withColumns(_ceilings()).select(
         "level", "total_count", "min_val", "p25", "p50", "p75", "max_val",
         "low_threshold", "med_threshold", "high_threshold", run_ts.alias("run_ts"),

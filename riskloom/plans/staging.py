@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions import fixed, nested, scoring, text
 from riskloom.operators.joins import merge_sources
+from riskloom.operators.keyfilter import may_match
 from riskloom.operators.keys import consolidate_first, most_complete_per_key
 from riskloom.sources.staged import stored
 
@@ -104,10 +107,14 @@ def lookup_keys(current: DataFrame) -> DataFrame:
 
 
 def rows_of_keys(current: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Master rows whose lookup key is wanted."""
+    """Master rows whose lookup key is wanted; nulls in keys are equal. A filter of the keys drops most others
+    where they are read."""
     named = current.withColumns({"_v": text.clean_name("vendor"), "_p": text.clean_name("product")})
     renamed = wanted.select(F.col("vendor").alias("_v"), F.col("product").alias("_p"), "cveId")
-    return named.join(renamed, ["_v", "_p", "cveId"], "left_semi").select(*current.columns)
+    names = ["_v", "_p", "cveId"]
+    near, other = may_match(named, renamed, names), renamed.select(*[F.col(c).alias("_w" + c) for c in names])
+    same = reduce(lambda a, b: a & b, [near[c].eqNullSafe(other["_w" + c]) for c in names])
+    return near.join(other, same, "left_semi").select(*current.columns)
 
 
 def build_lookup(current: DataFrame) -> DataFrame:

@@ -202,7 +202,8 @@ def built(spark):
 
 @pytest.mark.parametrize("table", ["lookup", "daily_global", "daily_vendor", "daily_product", "monthly_global", "monthly_product",
                                    "scored", "yearly_global", "yearly_vendor", "trailing_12mo_vendor", "daily_product_running",
-                                   "daily_global_running", "exposure_index_thresholds", "meta"])
+                                   "daily_global_running", "daily_vendor_running", "daily_global_closing", "daily_product_closing",
+                                   "exposure_counts", "exposure_index_thresholds", "meta"])
 def test_refresh_equals_full_build(spark, built, table):
     step, full = (views.read_view(spark, root, table) for root in built)
     cols = sorted(step.columns)
@@ -232,6 +233,31 @@ def test_refresh_refuses_to_lose_rows(spark, built, monkeypatch):
         views.run(one, root, "incremental", dt.date(2023, 8, 1), at(4))
 
 
+def test_refresh_carries_years_before_the_first_touched_one(spark):
+    """Without changes only trailing windows and cut points are written; a change leaves the years before it
+    alone; rows with nulls in their keys are refreshed too; the results equal a full build."""
+    row = lambda product, record, score, year, seen: ("v5", product, record, score, D(year, 3, 1), D(2023, 9, seen))
+    first = [row("p", "CVE-2001-1", 4.0, 2001, 1), row("p", "CVE-2003-1", 5.5, 2003, 1), row(None, "CVE-2004-1", 6.1, 2004, 1), row("q", "CVE-2006-1", 9.1, 2006, 1)]
+    later = [row(None, "CVE-2004-1", 8.8, 2004, 2), row("r", "CVE-2005-1", 7.3, 2005, 2)]
+    one = history.scd2_merge(staging.empty_master(master_source(spark, *first)), master_source(spark, *first), fixed.RECORD_KEY, ts(1))
+    two = history.scd2_merge(one, master_source(spark, *later), fixed.RECORD_KEY, ts(3))
+    step, full = shared_dir(spark, "test-views"), shared_dir(spark, "test-views")
+    as_of = dt.date(2004, 6, 1)
+    views.run(one, step, "backfill", as_of, at(2))
+    before = parts.current(spark, step).tables
+    views.run(one, step, "incremental", as_of, at(2))
+    idle = parts.current(spark, step).tables
+    assert {t for t in before if before[t] != idle[t]} == {t for t in before if t.startswith("trailing") or t == "exposure_index_thresholds"}
+    views.run(two, step, "incremental", as_of, at(4))
+    after = parts.current(spark, step).tables
+    for table in ("daily_product_running", "daily_global_closing", "exposure_counts"):
+        assert {p for p in after[table] if after[table][p] == before[table].get(p)} == {"2001", "2003"} | ({"2006"} if table == "exposure_counts" else set())
+    views.run(two, full, "backfill", as_of, at(4))
+    for table in after:
+        a, b = (views.read_view(spark, root, table) for root in (step, full))
+        assert rows(a, *sorted(a.columns)) == rows(b, *sorted(a.columns)), table
+
+
 def test_moved_record_leaves_no_old_day(spark, built):
     days = [str(r[0]) for r in rows(views.read_view(spark, built[0], "daily_vendor").where("vendor = 'V2'"), "date_published")]
     assert days == ["2022-05-01", "2022-07-01"]

@@ -2,9 +2,8 @@
 
 Numbers, names and units become typed placeholders, so a question keeps its template when its
 parameters change. Runs of template words (windows) of documents are hash-joined with those of the
-benchmark, and so are windows of the plain lower-cased words, which hold whatever the case, line breaks
-and number of placeholders (but a window in capitals only meets one in capitals). Windows that agree at
-one offset between document and item form an alignment; template windows count without those whose slots
+benchmark, and so are windows of the plain lower-cased words, which hold whatever the case (copies wholly
+in capitals too), line breaks and number of placeholders. Windows that agree at one offset between document and item form an alignment; template windows count without those whose slots
 don't map item values to document values one to one. A document is contaminated by an item if the windows
 cover half of the item's windows, or of those with a template, or if RUN words in a row are the item's.
 
@@ -40,14 +39,13 @@ UNITS = (
 ).split()
 LITERAL, NUMBER, NAME, UNIT = range(4)
 _CODES = np.random.default_rng(31).integers(1, 2**63, 4, dtype=np.uint64)
-_PLAIN, _SHOUTED = np.random.default_rng(32).integers(1, 2**63, 2, dtype=np.uint64)
+_PLAIN = np.random.default_rng(32).integers(1, 2**63, 1, dtype=np.uint64)
 #: Bytes after which a capital letter says nothing.
 _STOPS = np.isin(np.arange(256), np.frombuffer(b".!?:;\n\r\"'()[]|*#-", np.uint8))
 
 
-def templates(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Value, kind and second kind of each word of all texts, whether it has no small letter, and where
-    each text's words begin.
+def templates(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Value, kind and second kind of each word of all texts, and where each text's words begin.
 
     A word that begins with a digit is a number. A capitalised word (not one in capitals) inside a
     sentence is a name; one that opens a sentence, line, quote or bracket is literal in the first kind
@@ -77,26 +75,22 @@ def templates(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
         kind[unit] = UNIT
         kind[number] = NUMBER
         other = np.where(capital & opens & ~unit, np.uint8(NAME), kind)
-        small = np.concatenate([[0], np.cumsum((raw >= ord("a")) & (raw <= ord("z")) | (raw >= 128), dtype=np.int32)])
-        return value, kind, other, small[ends] == small[starts], at
-    return value, kind, kind, np.zeros(0, bool), at
+        return value, kind, other, at
+    return value, kind, kind, at
 
 
 def unit_values() -> np.ndarray:
     return words.lower_words(pa.array([" ".join(UNITS)]))[0]
 
 
-def plain_windows(value: np.ndarray, shouted: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of all windows of `size` lower-cased words that stay in one text; those without
-    any small letter are told from those with one."""
+def plain_windows(value: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of all windows of `size` lower-cased words that stay in one text."""
     found = words.windows(value, size)
     if not len(found):
         return np.empty(0, np.int64), found
     text = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    small = np.concatenate([[0], np.cumsum(~shouted)])
-    loud = small[size:] == small[:-size]
     place = np.flatnonzero(text[: len(found)] == text[size - 1 :])
-    return place, words.mixed(found[place] + np.uint64(size) + np.where(loud, _SHOUTED, _PLAIN)[place])
+    return place, words.mixed(found[place] + np.uint64(size) + _PLAIN)
 
 
 def template_windows(value: np.ndarray, kind: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -115,11 +109,11 @@ def template_windows(value: np.ndarray, kind: np.ndarray, at: np.ndarray, size:
 def all_windows(parsed: tuple, size: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
     """Places and hashes of the windows of `size` words, with the kinds that tell their slots: by plain
     words (no slots), by the first kinds, and by the second ones where these differ."""
-    value, kind, other, shouted, at = parsed
+    value, kind, other, at = parsed
     second, found = template_windows(value, other, at, size)
     differ = np.concatenate([[0], np.cumsum(other != kind)])
     changed = differ[second + size] > differ[second]
-    return [(*plain_windows(value, shouted, at, size), None), (*template_windows(value, kind, at, size), kind), (second[changed], found[changed], other)]
+    return [(*plain_windows(value, at, size), None), (*template_windows(value, kind, at, size), kind), (second[changed], found[changed], other)]
 
 
 def _rows(ids: pa.Array, at: np.ndarray, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray | None, int]], value: np.ndarray) -> pa.RecordBatch:

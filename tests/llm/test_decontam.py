@@ -19,7 +19,7 @@ def test_finds_verbatim_and_reparameterised_questions(spark):
         QUESTION.upper(), " ".join(QUESTION.split()[:9]), None, "", "word " * 100_000 + QUESTION,
     ]
     rows = {r.doc_id: r for r in decontam.report(clashing(documents(spark, texts)), items(spark, [QUESTION, None, "a b", QUESTION + " for the next day"])).collect()}
-    assert {i for i, r in rows.items() if r.contaminated} == {1, 2, 9}
+    assert {i for i, r in rows.items() if r.contaminated} == {1, 2, 5, 9}
     assert rows[1].item_id == 1 and rows[1].coverage == 1 and rows[1].n_items == 2
     assert (rows[1].reparameterised, rows[2].reparameterised) == (False, True)
     assert rows[4].n_items == 0 and rows[4].item_id is None
@@ -46,6 +46,13 @@ def test_rows_without_ids_and_empty_tables(spark):
     assert decontam.report(docs.where(F.lit(False)), bench).count() == 0
 
 
+def test_copies_in_capitals_and_in_small_letters(spark):
+    names = "We saw Anna meet Bert while Carl and Dora told Emil that Fritz would visit Gerda before Hans came home"
+    shout = "NO FOOD OR DRINK MAY BE TAKEN INTO THE READING ROOM AT ANY TIME"
+    texts = [names.upper(), "Before it. " + names.upper() + " and after", shout.lower(), shout.title(), "AN ENTIRELY DIFFERENT LINE THAT IS ALSO WRITTEN IN CAPITALS THROUGHOUT"]
+    assert found(spark, texts, [names, shout]) == {(1, 1), (2, 1), (3, 2), (4, 2)}
+
+
 def found(spark, texts, bench):
     return {(r.doc_id, r.item_id) for r in decontam.matches(documents(spark, texts), items(spark, bench)).collect()}
 

@@ -23,12 +23,13 @@ _META = (
 )
 
 
-def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def envelopes(spark: SparkSession, sf_dir: str, by: str | None = None) -> DataFrame:
     """One ingest record per line, documents as JSON text. Lines 1-4 carry a CNA document,
-    lines 3-6 an NVD document, line 7 none."""
+    lines 3-6 an NVD document, line 7 none. `by`: the lines are placed by a column while they are narrow."""
     cna = f"to_json(struct({_META} AS cveMetadata, ({_CNA}).containers AS containers))"
     nvd = f"to_json({_NVD})"
-    rows = feed.records(spark, sf_dir).selectExpr(
+    lines = feed.records(spark, sf_dir)
+    rows = (sinks.balanced(lines, by) if by else lines).selectExpr(
         f"'{_TS}' AS ingestionTimestamp", "vendor", "product",
         f"IF(line <= 4, array(array(lower(cveId) || ' ', {cna})), array()) AS cvelistv5",
         f"IF(line BETWEEN 3 AND 6, array(array(cveId, {nvd})), array()) AS fkie_nvd",
@@ -379,8 +380,8 @@ add(
 
 def _documents(spark, sf_dir):
     path = shared_dir(spark, "documents")
-    envelopes(spark, sf_dir).write.partitionBy("vendor").json(path)
-    found = records.read_ingest_documents(spark, f"{path}/*/*.json")
+    sinks.write_documents(envelopes(spark, sf_dir, "vendor"), path, ["vendor"])
+    found = records.read_ingest_documents(spark, f"{path}/*/*.json.gz")
     folder = F.regexp_extract(F.col("_metadata.file_path"), "vendor=([^/]+)/", 1)
     return _ids(found.withColumn("vendor", folder)).select("vendor", "product", "cveDataAvailable", "cna", "nvd", "source")
 

@@ -103,7 +103,7 @@ def collect_cwe_cna(containers: Column | str) -> Column:
     c = _col(containers)
     types = F.concat(
         or_empty(c["cna"]["problemTypes"], PROBLEM_TYPE),
-        F.flatten(F.transform(or_empty_adp(c["adp"]), lambda a: or_empty(a["problemTypes"], PROBLEM_TYPE))),
+        F.flatten(or_empty(F.transform(c["adp"], lambda a: or_empty(a["problemTypes"], PROBLEM_TYPE)), f"array<{PROBLEM_TYPE}>")),
     )
     texts = F.flatten(F.transform(types, lambda p: or_empty(p["descriptions"], DESCRIPTION_TYPE)))
     wanted = F.filter(

@@ -268,12 +268,15 @@ _CNA = """named_struct('containers', named_struct(
       named_struct('cweId', IF(status = 'O', NULL, 'CWE-' || (line + 10)), 'description', product, 'lang', 'en-US', 'type', 'CWE')))),
    'metrics', array(named_struct('cvssV3_1',
       named_struct('version', '3.1', 'vectorString', 'adp', 'baseScore', line + 0.5D))))))))"""
+_CNA_DOC = {"doc": lambda: _doc(_CNA, fixed.CNA_SCHEMA)}
+# The lists that CWEs are in; the rest of the text is skipped while parsing.
+_CWE_DOC = {"doc": lambda: _doc(_CNA, f"containers struct<cna:struct<problemTypes:{nested.PROBLEM_TYPE}>,adp:array<struct<problemTypes:{nested.PROBLEM_TYPE}>>>")}
 add_columns(
     "nst2_cna_adp_cvss", "records", LINE,
     {
         "entries": lambda: F.array_join(
             F.transform(
-                nested.cna_adp_cvss(_doc(_CNA, fixed.CNA_SCHEMA)["containers"]),
+                nested.cna_adp_cvss(F.col("doc")["containers"]),
                 lambda e: F.concat(e["vectorString"], F.lit(":"), e["baseScore"].cast("string")),
             ),
             ",",
@@ -283,13 +286,14 @@ add_columns(
         "concat_ws(',', CASE WHEN flag <> 'R' THEN 'cna:' || line || '.0' END, "
         "CASE WHEN flag IN ('R', 'A') AND line <> 3 THEN 'adp:' || line || '.5' END) AS entries"
     ),
+    first=_CNA_DOC,
 )
 add_columns(
     "nst3_collect_cwe_cna", "records", LINE,
     {
         "cwes": lambda: F.array_join(
             F.transform(
-                nested.collect_cwe_cna(_doc(_CNA, fixed.CNA_SCHEMA)["containers"]),
+                nested.collect_cwe_cna(F.col("doc")["containers"]),
                 lambda e: F.concat(e["cweId"], F.lit("="), e["cweDescription"]),
             ),
             ",",
@@ -299,19 +303,21 @@ add_columns(
         "concat_ws(',', 'CWE-' || line || '=' || vendor, CASE WHEN status <> 'O' AND line <> 3 "
         "THEN 'CWE-' || (line + 10) || '=' || product END) AS cwes"
     ),
+    first=_CWE_DOC,
 )
 add_columns(
     "nst4_collect_capec", "records", LINE,
     {
         "capecs": lambda: F.array_join(
             F.transform(
-                nested.collect_capec(_doc(_CNA, fixed.CNA_SCHEMA)["containers"]["cna"]["impacts"]),
+                nested.collect_capec(F.col("doc")["containers"]["cna"]["impacts"]),
                 lambda e: F.concat(e["capecId"], F.lit("="), e["capecDescription"]),
             ),
             ",",
         )
     },
     _lines("'CAPEC-' || line || '=' || vendor AS capecs"),
+    first=_CNA_DOC,
 )
 add_columns(
     "nst5_alt_cvss_entry", "records", LINE,
@@ -337,13 +343,14 @@ _NVD = """named_struct('id', cveId, 'lastModified', CAST(lastModified AS STRING)
    named_struct('description', array(named_struct('lang', 'en', 'value', 'CWE-' || line), named_struct('lang', 'fr', 'value', 'CWE-1'))))),
  'configurations', array(named_struct('nodes', array(
    named_struct('cpeMatch', array(named_struct('criteria', 'cpe:2.3:a:' || vendor || ':' || product || ':1')))))))"""
+_NVD_DOC = {"doc": lambda: _doc(_NVD, fixed.NVD_SCHEMA)}
 add_columns(
     "nst6_flatten_metrics_map", "records", LINE,
     {
         "entries": lambda: F.array_join(
             F.array_sort(
                 F.transform(
-                    nested.flatten_metrics_map(_doc(_NVD, fixed.NVD_SCHEMA)["metrics"]),
+                    nested.flatten_metrics_map(F.col("doc")["metrics"]),
                     lambda e: F.concat(e["version"], F.lit(":"), e["baseScore"].cast("string")),
                 )
             ),
@@ -353,15 +360,17 @@ add_columns(
     _lines(
         "concat_ws(',', '2.0:' || line || '.0', CASE WHEN line <> 4 THEN '3.1:' || (line + 1) || '.0' END) AS entries"
     ),
+    first=_NVD_DOC,
 )
 add_columns(
     "nst7_collect_cwe_nvd", "records", LINE,
     {
         "cwes": lambda: F.array_join(
-            F.transform(nested.collect_cwe_nvd(_doc(_NVD, fixed.NVD_SCHEMA)["weaknesses"]), lambda e: e["cweId"]), ","
+            F.transform(nested.collect_cwe_nvd(F.col("doc")["weaknesses"]), lambda e: e["cweId"]), ","
         )
     },
     _lines("CASE WHEN line = 5 THEN '' ELSE 'CWE-' || line END AS cwes"),
+    first=_NVD_DOC,
 )
 _NEW = "array(flag, status, vendor)"
 _OLD = "IF(line = 1, NULL, array(flag, 'O', product))"
@@ -383,6 +392,7 @@ add_columns(
 )
 add_columns(
     "nst9_first_english", "records", LINE,
-    {"description": lambda: nested.first_english(_doc(_NVD, fixed.NVD_SCHEMA)["descriptions"])},
+    {"description": lambda: nested.first_english(F.col("doc")["descriptions"])},
     _lines("CASE WHEN line <> 1 THEN vendor END AS description"),
+    first=_NVD_DOC,
 )

@@ -4,7 +4,8 @@ import datetime as dt
 
 import pytest
 
-from riskloom.plans import queries as registry
+from riskloom.functions import fixed
+from riskloom.plans import queries as registry, upkeep_queries
 from riskloom.sources import sinks
 from tests.conftest import rows
 
@@ -59,3 +60,22 @@ def test_shards_grow_with_the_rows(spark, tmp_path):
 @pytest.mark.parametrize("name", ["nst2_cna_adp_cvss", "nst3_collect_cwe_cna"])
 def test_documents_are_parsed_once(spark, lines, name):
     assert optimized(registry.QUERIES[name](spark, lines)).count("from_json(") == 1
+
+
+def test_carried_windows_write_touched_months_only(spark):
+    cols = "vendor string, product string, cveId string, datePublished timestamp_ntz, severity string, weighted_score double"
+    flags = "".join(f", {f} boolean" for f in fixed.RISK_FLAGS)
+    made = [
+        ("v", f"p{k % 3}", f"C{k}", dt.datetime(2001, 1 + k % 6, 1 + k % 28), "High", 1.0, *[k % 2 == 0] * len(fixed.RISK_FLAGS))
+        for k in range(300)
+    ]
+    df = spark.createDataFrame(made, cols + flags).repartition(4)
+    after = upkeep_queries.carried_parts(spark, df, "vendor", "datePublished >= DATE'2001-06-10'")
+    folders = {}
+    for name in after.inputFiles():
+        folder, month = name.split("/month=")
+        folders.setdefault(month.split("/")[0], []).append(folder)
+    # The first state has one file a month, the touched month one more, written later.
+    assert {m: len(f) for m, f in folders.items()} == {f"2001-0{m}-01": 2 if m == 6 else 1 for m in range(1, 7)}
+    assert len({f for m in range(1, 6) for f in folders[f"2001-0{m}-01"]}) == 1
+    assert after.where("word IS NULL").count() == df.selectExpr("to_date(datePublished)").distinct().count()

@@ -79,3 +79,18 @@ def test_carried_windows_write_touched_months_only(spark):
     assert {m: len(f) for m, f in folders.items()} == {f"2001-0{m}-01": 2 if m == 6 else 1 for m in range(1, 7)}
     assert len({f for m in range(1, 6) for f in folders[f"2001-0{m}-01"]}) == 1
     assert after.where("word IS NULL").count() == df.selectExpr("to_date(datePublished)").distinct().count()
+
+
+@pytest.mark.parametrize("grain, level", [("daily", "vendor"), ("monthly", "global")])
+def test_refreshed_levels_sort_and_count_rows_that_were_dealt_out(spark, lines, grain, level):
+    plan = optimized(registry.QUERIES[f"cdc7_refresh_levels_{grain}_{level}"](spark, lines))
+    # Both the rows of the old lookup and the affected rows after the change.
+    assert plan.count("RebalancePartitions") >= 2
+
+
+def test_sketches_do_not_parse_vectors(spark, lines, monkeypatch):
+    plans = []
+    monkeypatch.setattr(upkeep_queries, "stored", lambda df, name, real=upkeep_queries.stored: (plans.append(optimized(df)), real(df, name))[1])
+    assert registry.QUERIES["agg11_thresholds_sketched"](spark, lines).count() == 9
+    used = "".join(line for p in plans for line in p.split("\n") if "Relation [" not in line)
+    assert "l_shipdate" in used and "l_returnflag" not in used  # of the columns read, only the flags need that one

@@ -145,7 +145,8 @@ def common_shingles(docs: DataFrame, text: str, count: int) -> DataFrame:
 
 
 def parsed(docs: DataFrame, doc_id: str, text: str, common: np.ndarray) -> DataFrame:
-    """doc_id, t (hash of the text), a and b (mark of the set), n, mins and keys of every row; map-only."""
+    """doc_id, t (hash of the text), a and b (mark of the set), n, rare (shingles that are not common), mins and
+    keys of every row; map-only."""
     bits = docs.sparkSession.sparkContext.broadcast(common)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text_of(text)).alias("t"), text_of(text).alias("text"))
 
@@ -155,16 +156,17 @@ def parsed(docs: DataFrame, doc_id: str, text: str, common: np.ndarray) -> DataF
             marks = [mark(s) for s in found]
             mins = [(_SEEDS[:, None] * s[None, :]).min(1) if len(s) else s for s in found]
             keys = [first_share(s, bits.value) for s in found]
+            rare = [int((~in_bitmap(bits.value, s)).sum()) for s in found]
             lists = []
             for values in (mins, keys):
                 ends = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
                 lists.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.uint64), *values]).view(np.int64))))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *(pa.array([m[k] for m in marks], pa.int64()) for k in (0, 1)), pa.array([len(s) for s in found], pa.int64()), *lists],
-                names=["doc_id", "t", "a", "b", "n", "mins", "keys"],
+                [batch.column(0), batch.column(1), *(pa.array([m[k] for m in marks], pa.int64()) for k in (0, 1)), pa.array([len(s) for s in found], pa.int64()), pa.array(rare, pa.int64()), *lists],
+                names=["doc_id", "t", "a", "b", "n", "rare", "mins", "keys"],
             )
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, t long, a long, b long, n long, mins array<long>, keys array<long>")
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, t long, a long, b long, n long, rare long, mins array<long>, keys array<long>")
 
 
 def texts_of(docs: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
@@ -206,12 +208,15 @@ def measured(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def near_pivots(nodes: DataFrame) -> DataFrame:
     """Pairs a (set), b (pivot). Under each minimum hash the set that meets most others under all of its
-    own is a pivot for the others: among copies that is one with few changes, often their original."""
-    rows = nodes.select("node", "n", F.posexplode("mins").alias("seed", "low"))
+    own is a pivot for the others: among copies that is one with few changes, often their original. Many copies of
+    a large family have all of its minimum hashes; of those the one with the fewest rare shingles, which changes
+    make, is within the radius of most others."""
+    rows = nodes.select("node", "n", "rare", F.posexplode("mins").alias("seed", "low"))
     several = stored(rows.groupBy("seed", "low").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "meetings")
     rows = stored(rows.join(several, ["seed", "low"]), "met")
     met = rows.groupBy("node").agg(F.sum("size").alias("met"))
-    best = rows.select("node", "seed", "low").join(met, "node").groupBy("seed", "low").agg(F.max(F.struct("met", (-F.col("node")).alias("node"))).alias("best"))
+    order = F.struct("met", (-F.col("rare")).alias("rare"), (-F.col("node")).alias("node"))
+    best = rows.select("node", "rare", "seed", "low").join(met, "node").groupBy("seed", "low").agg(F.max(order).alias("best"))
     pivots = stored(best.select("seed", "low", (-F.col("best.node")).alias("pivot")), "pivots")
     pairs = rows.join(pivots, ["seed", "low"]).where("node != pivot").groupBy("node", "n", "pivot").agg(F.count(F.lit(1)).alias("agree"))
     pairs = pairs.where(F.col("agree") >= F.least(F.lit(AGREE), "n"))
@@ -389,7 +394,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     common = bitmap(common_shingles(docs, text, rough // 6), "shingle")
     rows = stored(parsed(docs, doc_id, text, common), "sets")
     unique = rows.where("n > 0").groupBy("a", "b").agg(
-        F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.min("t").alias("t"), F.first("mins").alias("mins"), F.first("keys").alias("keys")
+        F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.min("t").alias("t"), F.min("rare").alias("rare"), F.first("mins").alias("mins"), F.first("keys").alias("keys")
     )
     nodes = stored(unique.withColumn("node", F.monotonically_increasing_id()), "nodes")
 

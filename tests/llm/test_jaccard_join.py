@@ -101,6 +101,30 @@ def test_common_shingles_and_bitmaps_only_change_the_work(spark, monkeypatch):
         assert found(jj.classes(documents(spark, rows))) == want
 
 
+def test_a_large_family_meets_under_its_original(spark, monkeypatch):
+    """Copies that keep all minimum hashes of the original are no better pivots than it: the copies stay in few regions."""
+    draw = random.Random(12)
+    base = [f"w{k}" for k in range(150)]
+    texts = [" ".join(base)]
+    for _ in range(120):
+        copy = list(base)
+        for _ in range(draw.randrange(1, 4)):
+            copy[draw.randrange(150)] = f"n{draw.randrange(10**6)}"
+        texts.append(" ".join(copy))
+    rows = list(enumerate(texts, 1))
+    draw.shuffle(rows)
+    seen = []
+    inner = jj.open_pairs
+
+    def watched(keyed, place):
+        seen.append(place.select("region").distinct().count())
+        return inner(keyed, place)
+
+    monkeypatch.setattr(jj, "open_pairs", watched)
+    assert found(jj.classes(documents(spark, rows))) == brute(rows)
+    assert seen[0] <= 2
+
+
 def test_awkward_tables(spark):
     long = " ".join(f"x{k}" for k in range(60_000))
     rows = [(1, long), (2, long + " end"), (None, long), (None, "a b c d e f"), (None, None), (4, "a b c d e f g"), (4, "zz"), (5, "zz"), (4, None), (6, "y" * 2_000_000)]

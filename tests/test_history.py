@@ -134,6 +134,22 @@ def test_merge_leaves_other_buckets_alone(spark):
     assert second.tables["closed"] == {second.run: second.run}
 
 
+def test_merge_writes_only_buckets_that_change(spark):
+    """Rows of a batch that change nothing cause no write; null keys, which match nothing, come in again."""
+    root = shared_dir(spark, "test-store")
+    store.merge_into(spark, root, master_source(spark, *FIRST), ts(1))
+    store.merge_into(spark, root, master_source(spark, *FIRST), ts(2))
+    first = parts.Manifest(1).run
+    assert set(parts.current(spark, root).tables["current"].values()) == {first}
+    third = [*FIRST[2:], ("v9", "p", "CVE-1999-1", 1.0, D(1999, 1, 1), D(1999, 1, 1)), (None, "p", "CVE-1999-1", 1.0, D(1999, 1, 1), D(1999, 1, 1))]
+    expect = history.scd2_merge(staging.empty_master(master_source(spark, *FIRST)), master_source(spark, *FIRST), fixed.RECORD_KEY, ts(1))
+    for day in (3, 4):
+        store.merge_into(spark, root, master_source(spark, *third), ts(day))
+        expect = history.scd2_merge(expect, master_source(spark, *third), fixed.RECORD_KEY, ts(day))
+    assert {p for p, run in parts.current(spark, root).tables["current"].items() if run != first} <= {f"1999-{b}" for b in range(store.BUCKETS)}
+    assert rows(store.read_master(spark, root).select(*expect.columns)) == rows(expect)
+
+
 def test_lost_merge_changes_nothing(spark, monkeypatch):
     root = shared_dir(spark, "test-store")
     store.merge_into(spark, root, master_source(spark, *FIRST), ts(1))

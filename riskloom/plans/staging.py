@@ -16,16 +16,15 @@ _INGEST = ["vendor", "product", "ingestionTimestamp", "ingestionDate"]
 _KEYS = ["vendor", "product", "cveId", "ingestionTimestamp", "ingestionDate"]
 
 
-def _merged_cwe(cna: str, nvd: str) -> Column:
-    """CWE entries of both sources, one text (the greatest) per id, inside the row."""
-    every = F.concat(nested.or_empty(F.col(cna), nested.CWE_TYPE), nested.or_empty(F.col(nvd), nested.CWE_TYPE))
-    ids = F.array_sort(F.array_distinct(F.transform(every, lambda x: x["cweId"])))
+def _all_cwe(cna: str, nvd: str) -> Column:
+    """CWE entries of both sources in order of id and text, nulls first."""
+    return F.sort_array(F.concat(nested.or_empty(F.col(cna), nested.CWE_TYPE), nested.or_empty(F.col(nvd), nested.CWE_TYPE)))
 
-    def entry(i: Column) -> Column:
-        texts = F.transform(F.filter(every, lambda x: x["cweId"] == i), lambda x: x["cweDescription"])
-        return F.struct(i.alias("cweId"), F.array_max(texts).alias("cweDescription"))
 
-    return F.transform(ids, entry)
+def _merged_cwe(every: str) -> Column:
+    """The last entry, which has the greatest text, of each id in a sorted list; null without entries."""
+    last = F.filter(every, lambda x, i: F.coalesce(x["cweId"] != F.get(every, i + 1)["cweId"], F.lit(True)))
+    return F.when(F.size(every) > 0, last)
 
 
 def normalize(raw: DataFrame, drop_unscored: bool = False) -> DataFrame:
@@ -49,9 +48,9 @@ def normalize(raw: DataFrame, drop_unscored: bool = False) -> DataFrame:
         nvd_nonempty={"cvssData": ("cnaCvss", "nvdCvss")},
         keep=["vulnStatus", "dateReserved", "dateUpdated", "datePublic", "lastModified", "cnaCapec", "cnaCwe", "nvdCwe"],
     )
-    finished = merged.withColumns(
+    finished = merged.withColumn("_cwe", _all_cwe("cnaCwe", "nvdCwe")).withColumns(
         {
-            "cweData": text.empty_to_null(_merged_cwe("cnaCwe", "nvdCwe")),
+            "cweData": _merged_cwe("_cwe"),
             "capecData": text.empty_to_null("cnaCapec"),
             "cvssData": text.empty_to_null("cvssData"),
             "Descriptions": text.strip_html("Descriptions"),

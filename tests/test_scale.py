@@ -5,8 +5,10 @@ import datetime as dt
 import pytest
 
 from riskloom.functions import fixed
+from riskloom.operators import keys
 from riskloom.plans import queries as registry, upkeep_queries
 from riskloom.sources import sinks
+from riskloom.sources.staged import stored
 from tests.conftest import rows
 
 
@@ -94,3 +96,25 @@ def test_sketches_do_not_parse_vectors(spark, lines, monkeypatch):
     assert registry.QUERIES["agg11_thresholds_sketched"](spark, lines).count() == 9
     used = "".join(line for p in plans for line in p.split("\n") if "Relation [" not in line)
     assert "l_shipdate" in used and "l_returnflag" not in used  # of the columns read, only the flags need that one
+
+
+def test_consolidate_reads_unique_keys_without_a_join(spark):
+    """Without broadcasts, as over large tables: only rows that the key filter lets through are shuffled."""
+    kind = "k int, n int, a array<struct<i:int,t:string>>"
+    data = [(k, 1, [(2, "x"), (1, None), (2, "x")]) for k in range(50)] + [(7, 2, [(3, "z")]), (None, 1, [(1, "b")]), (None, 3, None)]
+    big = stored(spark.createDataFrame(data, kind), "big")
+    (path,) = {f.rpartition("/")[0].removeprefix("file://") for f in big.inputFiles()}
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.maxMetadataStringLength": "2000"}
+    before = {c: spark.conf.get(c) for c in conf}
+    for c, v in conf.items():
+        spark.conf.set(c, v)
+    try:
+        out = keys.consolidate_first(big, ["k"], ["n"], ["a"])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = {r.k: (r.n, [tuple(e) for e in r.a]) for r in out.collect()}
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert plan.count(path) == 1 and "LeftAnti" not in plan and "LeftSemi" not in plan
+    assert len(got) == 51 and got[7] == (2, [(1, None), (2, "x"), (3, "z")])
+    assert got[8] == (1, [(1, None), (2, "x")]) and got[None] == (3, [(1, "b")])

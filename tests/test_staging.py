@@ -122,3 +122,13 @@ def test_envelope(spark):
     df = spark.createDataFrame([(TS, "v", "p", None, [["a", "b"]]), (TS, "v", "q", [], None)],
                                "ingestionTimestamp string, vendor string, product string, cvelistv5 array<array<string>>, fkie_nvd array<array<string>>")
     assert rows(sinks.build_envelope(df), "ingestionDate", "product", "cveDataAvailable") == [("2025-03-02", "p", True), ("2025-03-02", "q", False)]
+
+
+def test_greatest_text_of_each_cwe(spark):
+    entry = "array<struct<cweId:string,cweDescription:string>>"
+    df = spark.createDataFrame(
+        [(1, [("CWE-2", "a"), ("CWE-1", None), ("CWE-2", "b")], [("CWE-2", None), ("CWE-1", None), ("CWE-10", "c")]), (2, None, []), (3, None, [("CWE-3", None)])],
+        f"id int, cna {entry}, nvd {entry}",
+    ).withColumn("every", staging._all_cwe("cna", "nvd")).select("id", staging._merged_cwe("every").alias("cwe"))
+    got = {r.id: r.cwe and [tuple(e) for e in r.cwe] for r in df.collect()}
+    assert got == {1: [("CWE-1", None), ("CWE-10", "c"), ("CWE-2", "b")], 2: None, 3: [("CWE-3", None)]}

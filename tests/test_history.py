@@ -227,6 +227,24 @@ def test_refresh_equals_full_build(spark, built, table):
     assert step.count() > 0
 
 
+def test_level_tables_read_the_scored_rows_once(spark, built, monkeypatch):
+    """Nine tables come from one reading of the scored rows, however many there are."""
+    read, seen = parts.read, []
+    monkeypatch.setattr(parts, "read", lambda s, r, m, table, *a: seen.append(table) or read(s, r, m, table, *a))
+    new = parts.current(spark, built[1]).next()
+    views._levels(spark, built[1], new, None)
+    assert seen.count("scored") == 1
+
+
+def test_history_rows_are_chosen_by_flag(spark):
+    """No wide rows are built to be filtered: the plan has no function over lists of rows."""
+    source = master_source(spark, *SECOND)
+    current = history.scd2_merge(staging.empty_master(master_source(spark, *FIRST)), master_source(spark, *FIRST), fixed.RECORD_KEY, ts(1))
+    for kept in (True, False):
+        plan = history.scd2_changes(current, source, fixed.RECORD_KEY, ts(3), kept=kept)._jdf.queryExecution().optimizedPlan().toString()
+        assert "inline(" not in plan and "lambda r" not in plan
+
+
 def test_year_without_rows_is_dropped(spark, built):
     assert rows(views.read_view(spark, built[0], "yearly_global"), "year_published") == [(2020,), (2022,), (2023,), (None,)]
 

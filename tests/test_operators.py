@@ -163,6 +163,27 @@ def test_pick_build(spark):
         maps.pick_build(meta, F.lit(now).cast("timestamp"), 72.0).collect()
 
 
+@pytest.mark.parametrize("grain", fixed.GRAINS)
+@pytest.mark.parametrize("level", fixed.LEVELS)
+def test_level_of_sums_equals_level_table(lookup, grain, level):
+    """Nulls in keys and dates, a hot vendor and record; daily and monthly tables of some months only."""
+    one = keys.first_per_key(lookup, fixed.RECORD_KEY, [F.col("datePublished"), F.col("cvssScore"), F.col("vectorString")])
+    one = one.withColumn("datePublished", F.expr("IF(cveId = 'CVE-7', NULL, datePublished)")).cache()
+    own = F.coalesce(F.month("datePublished") != 2, F.lit(True))
+    facts = exposure.day_facts(one, own)
+    got = exposure.level_of_sums(exposure.day_sums(facts), exposure.record_counts(facts), grain, level)
+    want = exposure.level_table(one if grain == "yearly" else one.where(own), grain, level, unique=True)
+    assert got.dtypes == want.dtypes
+    assert rows(got) == rows(want) and got.count() > 1
+
+
+def test_record_counts_group_no_record_twice(lookup):
+    """Facts are placed twice, by record and vendor and by record; grains and levels don't place them again."""
+    plan = exposure.record_counts(exposure.day_facts(lookup))._jdf.queryExecution().executedPlan().toString()
+    placed = [line for line in plan.splitlines() if "Exchange hashpartitioning(cveId" in line]
+    assert len(placed) <= 4 and sum("_g#" in line for line in placed) == 0  # the first placing, twice planned, is run once
+
+
 def test_serving_layouts():
     assert len(serving.serving_tables()) == 20
     time, dims = serving.layout("daily_vendor_running")

@@ -64,6 +64,12 @@ def test_choose_cvss(spark):
     assert got[4].baseScore == 0.0
 
 
+def test_choose_cvss_searches_once(spark):
+    """The search for the best entry is written once, not once per field and once for its test."""
+    df = spark.createDataFrame([([],)], f"c array<{fixed.CVSS_STRUCT}>").select(scoring.choose_cvss("c").alias("x"))
+    assert df._jdf.queryExecution().analyzed().toString().count("array_max") == 1
+
+
 def test_names(spark):
     df = spark.createDataFrame(
         [(" acme\\_corp ", " *** N/A *** ", "---"), ("X_y", " Foo ", ".a b/ü"), (None, "", None)], "a string, b string, c string"
